@@ -18,15 +18,11 @@ def letters(c: Column) -> Column:
 
 
 def same_fields(c: Column) -> Column:
-    """One form of a flat JSON object: its fields by name. Text that is no JSON object stands for itself.
+    """One form of a JSON text: without white space, fields of every object by name. Text that is no JSON stands for itself.
 
-    Values are compared as JSON text, so 4 and "4" differ; nested values are compared as written.
+    4 and "4" differ, as do a missing field and one that is null.
     """
-    v = F.try_parse_json(c)
-    obj = F.schema_of_variant(v).startswith("OBJECT")
-    kv = F.from_json(F.when(obj, F.to_json(v)), "map<string,string>")
-    kinds = F.regexp_replace(F.schema_of_variant(v), " NOT NULL", "")
-    return F.coalesce(F.concat(F.to_json(F.array_sort(F.map_entries(kv))), kinds), c)
+    return F.coalesce(F.to_json(F.try_parse_json(c)), c)
 
 
 def canonical(key_cols: list[Column]) -> Column:
