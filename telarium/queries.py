@@ -1,0 +1,42 @@
+"""Registry of the core queries and of their SQL."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from telarium.operators import shred
+from telarium.session import settle, table
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLE: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[name] = f
+        if sql is not None:
+            ORACLE[name] = sql
+        return f
+
+    return add
+
+
+@query("p3_found")
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return shred.found_nodes(shred.shred(table(spark, d, "nested_records")))
+
+
+@query("p3_totals")
+def p3_totals(spark: SparkSession, d: str) -> DataFrame:
+    return shred.totals(settle(shred.shred(table(spark, d, "nested_records"))))
+
+
+def _entity(name: str) -> Query:
+    return lambda spark, d: shred.entity_table(settle(shred.shred(table(spark, d, "nested_records"))), name, shred.FIELDS[name])
+
+
+for _e in shred.FIELDS:
+    QUERIES[f"p3_{_e}s" if _e != "criterion" else "p3_criteria"] = _entity(_e)
