@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telarium.llm import copies
+from telarium.llm import copies, lookalike
 from telarium.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,3 +55,17 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 def p6_counts(spark: SparkSession, d: str) -> DataFrame:
     a, b = (x.select(F.lit(n).alias("table_name"), "keep_id", "n_copies") for n, x, _ in _p6(spark, d))
     return a.unionByName(b)
+
+
+def _p5(spark: SparkSession, d: str) -> list[tuple[str, DataFrame]]:
+    return [(n, table(spark, d, n)) for n in ("objectives", "bases_objectives")]
+
+
+@query("p5_found")
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return lookalike.changed(_p5(spark, d)).select("table_name", "row_id")
+
+
+@query("p5_text")
+def p5_text(spark: SparkSession, d: str) -> DataFrame:
+    return lookalike.normalized(_p5(spark, d))
