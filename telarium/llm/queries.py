@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telarium.llm import copies, lookalike
+from telarium.llm import copies, lookalike, packing, tokens
 from telarium.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,3 +69,18 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 @query("p5_text")
 def p5_text(spark: SparkSession, d: str) -> DataFrame:
     return lookalike.normalized(_p5(spark, d))
+
+
+@query("p7_ids")
+def p7_ids(spark: SparkSession, d: str) -> DataFrame:
+    return tokens.encode(table(spark, d, "documents"))
+
+
+@query("p8_packed")
+def p8_packed(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack(tokens.lengths(table(spark, d, "documents")), table(spark, d, "containers"))
+
+
+@query("p8_fill")
+def p8_fill(spark: SparkSession, d: str) -> DataFrame:
+    return packing.fills(p8_packed(spark, d), table(spark, d, "containers"))
