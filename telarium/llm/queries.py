@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telarium.llm import copies, lookalike, packing, tokens
-from telarium.session import table
+from telarium.llm import copies, lookalike, neardup, packing, tokens
+from telarium.session import settle, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -84,3 +84,9 @@ def p8_packed(spark: SparkSession, d: str) -> DataFrame:
 @query("p8_fill")
 def p8_fill(spark: SparkSession, d: str) -> DataFrame:
     return packing.fills(p8_packed(spark, d), table(spark, d, "containers"))
+
+
+@query("p4_found")
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    pairs, dup = neardup.similar(table(spark, d, "objectives"))
+    return neardup.expand(settle(pairs), dup)
