@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 #: Items of a group at most, on average; each group wastes less than one container beyond its bound.
 GROUP = 20_000
 #: Underfull bins that one search looks at.
-WINDOW = 400
+WINDOW = 64
 #: Exchanges of one group at most.
 STEPS = 20_000
 
@@ -83,12 +83,29 @@ def _exchange(donor: list[int], other: list[int], sizes: list[int], room: int) -
     return best
 
 
+def least_bins(sizes: list[int], capacity: int) -> int:
+    """Bins that any packing needs: items above half the capacity share none with each other, and those above
+    capacity - k none with items of k or more (the bound L2 of Martello and Toth, over all k)."""
+    if not sizes:
+        return 0
+    n = np.bincount(np.asarray(sizes), minlength=capacity + 1)[:capacity + 1]
+    count, weight = np.concatenate([[0], np.cumsum(n)]), np.concatenate([[0], np.cumsum(n * np.arange(capacity + 1))])
+    half = capacity // 2
+    k = np.arange(0, half + 1)
+    big = count[capacity + 1] - count[capacity - k + 1]
+    mid = count[np.maximum(capacity - k, half) + 1] - count[half + 1]
+    mid_weight = weight[np.maximum(capacity - k, half) + 1] - weight[half + 1]
+    low = weight[half + 1] - weight[k]
+    more = np.maximum(0, -(-(low - (mid * capacity - mid_weight)) // capacity))
+    return max(1, int((big + mid + more).max()))
+
+
 def improve(bins: list[list[int]], sizes: list[int], capacity: int, steps: int = STEPS, window: int = WINDOW) -> list[list[int]]:
-    """Empty bins by exchanges that raise the sum of squared fills; a bin is taken up only while the bound on bins isn't reached.
+    """Empty bins by exchanges that raise the sum of squared fills; the search ends once no packing could have fewer bins.
 
     Weight always moves from an emptier bin to a fuller one, so each step raises the sum and the search ends.
     """
-    bound = max(1, -(-sum(sizes) // capacity)) if bins else 0
+    bound = least_bins(sizes, capacity)
     fill = [sum(sizes[i] for i in b) for b in bins]
     count = sum(1 for b in bins if b)
     stuck: set[int] = set()
@@ -163,7 +180,7 @@ def pack(items: DataFrame, containers: DataFrame, id_col: str = "doc_id", size_c
             "n_tokens": np.concatenate([rest[open_], np.full(len(which), cap)]).astype("int32"),
         })
 
-    return dealt.groupBy("kind", "g").applyInPandas(run, "container_kind string, container_id long, doc_id long, piece int, start int, n_tokens int")
+    return dealt.repartition(groups * max(1, len(kinds)), "kind", "g").groupBy("kind", "g").applyInPandas(run, "container_kind string, container_id long, doc_id long, piece int, start int, n_tokens int")
 
 
 def fills(packed: DataFrame, containers: DataFrame) -> DataFrame:
