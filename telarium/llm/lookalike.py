@@ -95,6 +95,7 @@ _ODD_SET = frozenset(PUT) | IGNORABLE | frozenset(LOOKALIKES)
 _ODD = re.compile(f"[{_MARKS}{_klass(_ODD_SET)}]")
 #: Java regex of text that may need work: anything but printable ASCII, white space and common ordinary characters.
 MAYBE = "[^\\t\\n\\r -~áéíóúñüÁÉÍÓÚÑÜ¿¡«»“”…•°ºª²½–—·’‘›‹€�]"
+_MAYBE = re.compile(MAYBE)
 #: Java regex of ordinary lower-case words.
 WORD = "[a-záéíóúñü]+"
 
@@ -117,7 +118,7 @@ def table_form(token: str) -> str:
 
 def consistent(text: str | None) -> str | None:
     """Normalization by table of a whole text; null stays null."""
-    if text is None or not _ODD.search(text):
+    if text is None or not _MAYBE.search(text) or not _ODD.search(text):
         return text
     out, at = [], 0
     for m in _TOKEN.finditer(text):

@@ -43,15 +43,20 @@ BLOCK = 16_384
 SMALL = 24
 
 _WORD = re.compile(r"[^\W_]+")
-_PLAIN = {ord(c): b for c in map(chr, range(0xC0, 0x250)) if (b := "".join(x for x in U.normalize("NFD", c) if not U.combining(x))) != c}
+_ACCENTED = [(c, U.normalize("NFD", c)[0]) for c in "áéíóúñü"]
+_APART = bytes(c if chr(c).isalnum() and c < 128 else 32 for c in range(256))
 
 
 def words(text: str) -> str:
     """Distinct words of a text in order, joined by spaces: runs of letters and digits, lower case, without accents, in the consistent form."""
-    s = consistent(text).lower().translate(_PLAIN)
+    s = consistent(text).lower()
+    for c, plain in _ACCENTED:
+        s = s.replace(c, plain)
     if not s.isascii():
         s = "".join(c for c in U.normalize("NFD", s) if U.category(c) != "Mn")
-    return " ".join(sorted(set(_WORD.findall(s))))
+        if not s.isascii():
+            return " ".join(sorted(set(_WORD.findall(s))))
+    return b" ".join(sorted(set(s.encode().translate(_APART).split()))).decode()
 
 
 def _map(df: DataFrame, schema: str, arrow: pa.Schema, rows) -> DataFrame:
