@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telarium.llm import copies, lookalike, neardup, packing, tokens
+from telarium.llm import copies, lookalike, neardup, packing, residue, tokens
 from telarium.session import settle, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,3 +90,13 @@ def p8_fill(spark: SparkSession, d: str) -> DataFrame:
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     pairs, dup = neardup.similar(table(spark, d, "objectives"))
     return neardup.expand(settle(pairs), dup)
+
+
+@query("p9_found")
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return residue.residue(table(spark, d, "documents")).select("doc_id")
+
+
+@query("p9_templates")
+def p9_templates(spark: SparkSession, d: str) -> DataFrame:
+    return residue.templates(table(spark, d, "documents"))
