@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telarium.llm import copies, lookalike, neardup, packing, residue, tokens
+from telarium.llm import copies, lookalike, neardup, packing, residue, tokens, truncation
 from telarium.session import settle, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,3 +100,17 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 @query("p9_templates")
 def p9_templates(spark: SparkSession, d: str) -> DataFrame:
     return residue.templates(table(spark, d, "documents"))
+
+
+def _p1(spark: SparkSession, d: str) -> list[tuple[str, DataFrame]]:
+    return [(n, table(spark, d, n)) for n in ("objectives", "raw_objectives")]
+
+
+@query("p1_found")
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.cuts(_p1(spark, d)).select("table_name", "row_id")
+
+
+@query("p1_sources")
+def p1_sources(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.by_source(_p1(spark, d))
