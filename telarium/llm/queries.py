@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telarium.llm import copies, lookalike, neardup, packing, residue, tokens, truncation
+from telarium.llm import copies, lookalike, neardup, packing, residue, scans, tokens, truncation
 from telarium.session import settle, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,3 +114,17 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 @query("p1_sources")
 def p1_sources(spark: SparkSession, d: str) -> DataFrame:
     return truncation.by_source(_p1(spark, d))
+
+
+def _p2(spark: SparkSession, d: str) -> DataFrame:
+    return scans.read(table(spark, d, "bases_pages"), [("table_rows", table(spark, d, "table_rows"), "row_id", "indicators"), ("expected_learnings", table(spark, d, "expected_learnings"), "row_id", "criteria")])
+
+
+@query("p2_found")
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return scans.found(_p2(spark, d))
+
+
+@query("p2_text")
+def p2_text(spark: SparkSession, d: str) -> DataFrame:
+    return scans.repaired(_p2(spark, d))
