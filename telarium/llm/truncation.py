@@ -34,12 +34,16 @@ _MARK = r"(?:…|\[\s*(?:…|\.\.\.)\s*\]|\(\s*(?:…|\.\.\.)\s*\)|(?:\.\.\.|…
 # What reprints append to a closed text.
 _DECOR = r"(?:(?<=[.\s\)»”!])[;!]|!|(?<!\.)\.\.\.|\s)+$"
 
+#: Marks and what reprints append are looked for in so many last characters.
+TAIL = 48
+
 _BASE = rf"""
-SELECT *, {_WORDS} AS w, right(body, 1) AS e
+SELECT table_name, row_id, source, chars, bytes, marked, dotted, right(body, 1) AS e,
+  length(body) - length(replace(body, '(', '')) > length(body) - length(replace(body, ')', ''))
+    OR length(body) - length(replace(body, '«', '')) > length(body) - length(replace(body, '»', '')) AS unclosed, {_WORDS} AS w
 FROM (
-  SELECT table_name, row_id, source, statement, regexp_like(statement, r'{_MARK}') AS marked, statement RLIKE r'\.\.\.\s*$' AS dotted, length(statement) AS chars, octet_length(statement) AS bytes,
-    regexp_replace(regexp_replace(statement, r'{_MARK}', ''), r'{_DECOR}', '') AS body
-  FROM :rows WHERE statement RLIKE r'\S'
+  SELECT *, concat(left(statement, chars - {TAIL}), regexp_replace(regexp_replace(tail, r'{_MARK}', ''), r'{_DECOR}', '')) AS body, tail RLIKE r'{_MARK}' AS marked, tail RLIKE r'\.\.\.\s*$' AS dotted
+  FROM (SELECT *, length(statement) AS chars, octet_length(statement) AS bytes, right(statement, {TAIL}) AS tail FROM :rows WHERE statement RLIKE r'\S')
 )"""
 
 _STATE = r"""
@@ -48,8 +52,7 @@ SELECT *, size(w) AS n, element_at(w, -1) AS last,
   CASE WHEN marked OR e = '\uFFFD' THEN 'cut'
        WHEN dotted THEN 'dots'
        WHEN e RLIKE r'[.!?．\)»"”\]]' THEN 'closed'
-       WHEN e RLIKE r'[:,;«“¿¡\(\[–-]' THEN 'cut'
-       WHEN length(body) - length(replace(body, '(', '')) > length(body) - length(replace(body, ')', '')) OR length(body) - length(replace(body, '«', '')) > length(body) - length(replace(body, '»', '')) THEN 'cut'
+       WHEN e RLIKE r'[:,;«“¿¡\(\[–-]' OR unclosed THEN 'cut'
        ELSE 'open' END AS state
 FROM :base WHERE size(w) > 0"""
 
@@ -149,7 +152,7 @@ def cuts(tables: list[tuple[str, DataFrame]]) -> DataFrame:
 
     rows = rows_of(tables)
     spark = rows.sparkSession
-    state = _sql(spark, _STATE, base=_sql(spark, _BASE, rows=rows))
+    state = _sql(spark, _STATE, base=settle(_sql(spark, _BASE, rows=rows)))
     open_ = settle(_sql(spark, "SELECT table_name, row_id, source, chars, bytes, state, last, tri FROM :state WHERE state <> 'closed'", state=state))
     trigrams = _sql(spark, _TRIGRAMS, state=state, filter=_filter(spark, open_), size=FILTER_WORDS)
     words = settle(_sql(spark, _COUNTS, state=state))
