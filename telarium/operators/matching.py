@@ -6,12 +6,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from telarium.functions import text as T
+from telarium.session import settle
 
 THRESHOLD, MARGIN, LEAST, GRAM, SAMPLE = 0.55, 0.10, 25, 5, 400
 
 
 def _grams(df: DataFrame, key: str, group: str, c: Column) -> DataFrame:
-    return df.select(F.col(key).alias(f"{key}_"), F.col(group).alias("g_"), T.compact(c).alias("t")).where(F.length("t") >= LEAST).select(f"{key}_", "g_", T.grams(F.col("t"), GRAM).alias("grams"))
+    """Grams of each text. The compact text is written first, else each gram would make it anew."""
+    t = settle(df.select(F.col(key).alias(f"{key}_"), F.col(group).alias("g_"), T.compact(c).alias("t")).where(F.length("t") >= LEAST))
+    return t.select(f"{key}_", "g_", T.grams(F.col("t"), GRAM).alias("grams"))
 
 
 def scores(rows: DataFrame, objectives: DataFrame, row_key: str, objective_key: str, group: str, statement: str = "statement", least: float = 0.0) -> DataFrame:

@@ -62,7 +62,7 @@ def bm25(df: DataFrame, key: str, text: Column, query: str, k1: float = 1.2, b:
     x = toks.where(F.size("t") > 0).join(F.broadcast(stats))
     total = F.lit(0.0)
     for i, w in enumerate(q):
-        tf = F.size(F.filter("t", lambda y, w=w: y == w))
+        tf = F.size("t") - F.size(F.array_remove("t", w))
         idf = F.log(1 + (F.col("N") - F.col(f"df{i}") + 0.5) / (F.col(f"df{i}") + 0.5))
         total = total + idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("len") / F.col("avg_len")))
     return x.select(key, total.alias("score"))
