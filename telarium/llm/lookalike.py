@@ -67,7 +67,7 @@ def _table() -> tuple[dict[str, str], set[str]]:
             gone.add(ch)
         elif cat == "Cc" and cp != 0x85:
             gone.add(ch)
-        elif (c := _compat(ch)) is not None:
+        elif ch not in SIGNS and (c := _compat(ch)) is not None:
             put[ch] = c
     gone |= {chr(c) for c in (*range(0, 9), 11, 12, *range(14, 32), 127)} - {"\x0b", "\x0c"}
     return put, gone
