@@ -15,7 +15,7 @@ from telarium.functions import text as T
 COLUMN_GAP, MARKER_DRIFT, BULLET_DRIFT, CONTINUATION_DRIFT, ROW = 55.0, 40.0, 20.0, 45.0, 10.0
 LEAST, SAMPLE = 12, 400
 _PAGE = ["doc", "page"]
-_OBJ, _IND = r"(?i)objetivos\s+de\s+aprendizaje", r"(?i)indicadores\s+de\s+evaluaci"
+_OBJ, _IND = r"(?iu)objetivos\s+de\s+aprendizaje", r"(?iu)indicadores\s+de\s+evaluaci"
 _STANDALONE, _PREFIXED, _BARE = r"^OA\s*(\d{1,2}|[A-Za-z])\.?$", r"^OA\s*(\d{1,2}|[A-Za-z])\s*[.:)]\s", r"^(\d{1,2}|[a-zA-Z])[.)]\s"
 _CAPTION = r"(?i)se espera que|l[ao]s(?: y l[ao]s)? estudiantes que"
 _BULLET = r"^\s*(?:•|›|>>|‣|●|>(?=\s+[A-ZÁÉÍÓÚÑ])|ú(?=\s))"
@@ -82,8 +82,8 @@ def median_size(spans: DataFrame) -> DataFrame:
 
 # ---- modules --------------------------------------------------------------------------------------------------------
 
-_HEADER = r"(?is)M[oó]dulo\s+(\d+)\s*[·:.•\-]\s*(.{1,160}?)\s+(\d+)\s*Horas"
-_GRADE = r"(?is)Horas.{0,60}?(Tercero|Cuarto)\s+medio"
+_HEADER = r"(?isu)M[oó]dulo\s+(\d+)\s*[·:.•\-]\s*(.{1,160}?)\s+(\d+)\s*Horas"
+_GRADE = r"(?isu)Horas.{0,60}?(Tercero|Cuarto)\s+medio"
 _CRITERION, _EXPECTED, _LONE = r"^(\d{1,2})\.(\d{1,2})\s+", r"^(\d{1,2})(?:[.)]\s+(?:\d{1,2}[.)]\s+)?(?=\D)|\s+(?=[A-ZÁÉÍÓÚÑ]))", r"^(\d{1,2})[.)]$"
 MOST = 30
 
@@ -97,7 +97,7 @@ def module_events(blocks: DataFrame) -> DataFrame:
     page = Window.partitionBy(*_PAGE)
     whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", F.coalesce("text", F.lit("")).alias("t"))).over(page)), lambda x: x["t"]), "\n")
     b = blocks.withColumn("whole", whole)
-    b = b.withColumn("in_section", F.col("whole").rlike(r"(?is)aprendizajes\s+esperados.{0,40}criterios\s+de\s+evaluaci"))
+    b = b.withColumn("in_section", F.col("whole").rlike(r"(?isu)aprendizajes\s+esperados.{0,40}criterios\s+de\s+evaluaci"))
     head = F.struct(F.regexp_extract("whole", _HEADER, 1).cast("int").alias("number"), T.clean_extracted(F.regexp_extract("whole", _HEADER, 2)).alias("name"), F.regexp_extract("whole", _HEADER, 3).cast("int").alias("hours"), F.nullif(F.concat(F.initcap(F.regexp_extract("whole", _GRADE, 1)), F.lit(" medio")), F.lit(" medio")).alias("grade"))
     none = F.struct(F.lit(None).cast("int").alias("number"), F.lit(None).cast("string").alias("name"), F.lit(None).cast("int").alias("hours"), F.lit(None).cast("string").alias("grade"))
     event = F.when(F.col("in_section") & F.col("whole").rlike(_HEADER), head).when(~F.col("in_section") & ~F.col("whole").rlike(_HEADER), none)
