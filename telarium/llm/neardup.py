@@ -36,6 +36,8 @@ COMMON = 1 / 65_536
 EVERYWHERE = 1 / 8
 #: Words of one key at most.
 DEPTH = 8
+#: Sets of so many words or more also make keys of one word, and of those with more than LONG / similarity words only such.
+LONG = 64
 #: Buckets beyond this size are compared in blocks by further tasks.
 SPLIT = 65_536
 BLOCK = 16_384
@@ -101,10 +103,16 @@ def set_keys(ws: list[tuple[int, int]], n_sets: int, t: float, bucket: int) -> l
 
     Of two sets with similarity t or more, each has at most n - ceil(t n) words that the other lacks. So their first,
     second, ... common words stand so early that both sets make the key of them; sets whose common words
-    may be used up before the key is long enough also make the key that says so.
+    may be used up before the key is long enough also make the key that says so. Long sets would make too many keys of several
+    words; sets of LONG words or more make keys of one word (told apart by a mark), and keys of several only up to the size
+    that a similar set below LONG can have.
     """
     n = len(ws)
     out: list[int] = []
+    if n >= LONG:
+        out = [(h * 0x9E3779B97F4A7C15 ^ 0x5851F42D4C957F2D) & _MASK for _, h in ws[:n - math.ceil(t * n - 1e-9) + 1]]
+        if n * t > LONG:
+            return out
     stack = [(0, 0, n - math.ceil(t * n - 1e-9), float(n_sets), 0)]
     while stack:
         key, at, miss, rows, depth = stack.pop()
@@ -304,15 +312,21 @@ def _emit(a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1]), pa.nulls(len(x), pa.int64())], schema=_PAIR)
 
 
-def candidates(keys: DataFrame, t: float, split: int = SPLIT, block: int = BLOCK) -> DataFrame:
+def candidates(keys: DataFrame, t: float, split: int = SPLIT, block: int = BLOCK, hold: int = 200_000) -> DataFrame:
     """(a, b): pairs of sets that share a key and whose sketches are within the radius."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
+        more = 0  # rows of the first held bucket that were counted and let go
+
+        def counted(k: int, n: int) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([int(k)]), pa.nulls(1, pa.int64()), pa.array([int(n)])], schema=_PAIR)
 
         def do(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
             """rows: whole buckets, sorted by key."""
             k = rows[0]
+            if not len(k):
+                return
             cut = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1], [True]]))
             size = np.diff(cut)
             ids, s, n = rows[1], rows[2].view(np.uint64), rows[3]
@@ -324,7 +338,7 @@ def candidates(keys: DataFrame, t: float, split: int = SPLIT, block: int = BLOCK
             for j in np.flatnonzero(size > SMALL):
                 x = slice(cut[j], cut[j + 1])
                 if size[j] > split:
-                    yield pa.RecordBatch.from_arrays([pa.array([int(k[cut[j]])]), pa.nulls(1, pa.int64()), pa.array([int(size[j])])], schema=_PAIR)
+                    yield counted(k[cut[j]], size[j])
                     continue
                 a, b = compare(ids[x], s[x], n[x], t)
                 A.append(a)
@@ -335,13 +349,26 @@ def candidates(keys: DataFrame, t: float, split: int = SPLIT, block: int = BLOCK
             if not batch.num_rows:
                 continue
             held.append(np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns]))
-            if sum(h.shape[1] for h in held) >= 200_000 and held[-1][0, 0] != held[-1][0, -1]:
+            if sum(h.shape[1] for h in held) >= hold:
                 rows = np.concatenate(held, axis=1)
                 end = int(np.searchsorted(rows[0], rows[0, -1]))
-                yield from do(rows[:, :end])
-                held = [rows[:, end:]]
+                if end:
+                    if more:
+                        yield counted(rows[0, 0], more + int(np.searchsorted(rows[0], rows[0, 0], "right")))
+                        rows, more = rows[:, np.searchsorted(rows[0], rows[0, 0], "right"):], 0
+                        end = int(np.searchsorted(rows[0], rows[0, -1]))
+                    yield from do(rows[:, :end])
+                    held = [rows[:, end:]]
+                elif rows.shape[1] > split:  # one bucket so far, too large to be compared here: its rows are only counted
+                    more += rows.shape[1] - 1
+                    held = [rows[:, -1:]]
         if held:
-            yield from do(np.concatenate(held, axis=1))
+            rows = np.concatenate(held, axis=1)
+            if more:
+                own = int(np.searchsorted(rows[0], rows[0, 0], "right"))
+                yield counted(rows[0, 0], more + own)
+                rows = rows[:, own:]
+            yield from do(rows)
 
     out = settle(keys.repartition("k").sortWithinPartitions("k").mapInArrow(run, "a long, b long, rows long"))
     pairs = out.where("rows IS NULL").select("a", "b")

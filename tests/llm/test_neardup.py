@@ -90,10 +90,15 @@ def test_big_buckets_are_compared_in_blocks(spark):
     whole = {tuple(r) for r in N.candidates(keys, 0.7).collect()}
     parts = {tuple(r) for r in N.candidates(keys, 0.7, split=30, block=10).collect()}
     assert whole == parts and whole
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    few = {tuple(r) for r in N.candidates(keys, 0.7, split=30, block=10, hold=20).collect()}
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert few == whole
 
 
-def test_keys_of_similar_sets_meet():
+def test_keys_of_similar_sets_meet(monkeypatch):
     r = random.Random(9)
+    monkeypatch.setattr(N, "LONG", 9)
     for _ in range(300):
         n = r.randint(1, 20)
         a = [(r.choice([0, 50, 500]), h) for h in r.sample(range(10**6), n)]
