@@ -117,3 +117,17 @@ def code_order(c: Column) -> Column:
 
 def first_by(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     return df.withColumn("_k", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where("_k = 1").drop("_k")
+
+
+def highlight(c: Column, query: str, least: int = 2) -> Column:
+    """Text as HTML in which the query's tokens of ``least`` letters or more are marked, whatever their accents and case; a longer token wins over one that it contains."""
+    toks = sorted((t for t in _query_tokens(query) if len(t) >= least), key=lambda t: (-len(t), t))
+    safe = T.escape_html(F.coalesce(c, F.lit("")))
+    if not toks:
+        return safe
+    variants = {}
+    for a, b in zip(T._FROM, T._TO):
+        variants.setdefault(b.lower(), set()).add(a.lower())
+    one = lambda ch: "[" + ch + "".join(sorted(variants.get(ch, ()))) + "][\\u0300-\\u036f]*" if ch.isalpha() else ch
+    pattern = "|".join("".join(map(one, t)) for t in toks)
+    return F.regexp_replace(safe, f"(?iu)(?<!&)({pattern})(?![a-z]{{0,4}};)", "<mark>$1</mark>")

@@ -67,3 +67,23 @@ def star(rows: DataFrame, learnings: DataFrame) -> dict[str, DataFrame]:
         "criteria": learnings.select("row_id", F.posexplode("criteria").alias("position", "text")),
         "generic": learnings.select("row_id", F.posexplode("generic_objectives").alias("position", "letter")),
     }
+
+
+def manifest(df: DataFrame, offerings: DataFrame) -> DataFrame:
+    """One row that says what a build holds: counters, sources and what is known to be missing."""
+    a = df.agg(
+        F.count("*").alias("objectives"), F.countDistinct("offering_key").alias("offerings"), F.countDistinct("code").alias("codes"), F.count_if("prioritized").alias("prioritized"),
+        F.count_if(F.col("statement").isNull()).alias("without_statement"), F.count_if(F.col("source").isNull()).alias("without_source"), F.max("retrieved_at").alias("last_retrieved"),
+    )
+    known = offerings.agg(F.countDistinct("offering_key").alias("expected_offerings"))
+    x = a.join(F.broadcast(known))
+    notes = F.array_compact(F.array(F.when(F.col("without_statement") > 0, "objectives without a statement"), F.when(F.col("without_source") > 0, "objectives without a source"), F.when(F.col("offerings") < F.col("expected_offerings"), "offerings without objectives")))
+    return x.withColumn("limitations", F.array_join(notes, "; "))
+
+
+def document_index(df: DataFrame, offerings: DataFrame) -> DataFrame:
+    """(document, title, offerings, objectives): one document for each track and subject, in their order."""
+    o = offerings.select("offering_key", F.coalesce("track", F.lit("otro")).alias("area"), T.canonical_subject_name(F.col("subject_name")).alias("title"))
+    n = df.groupBy("offering_key").agg(F.count("*").alias("n"))
+    x = o.join(n, "offering_key", "left").groupBy("area", "title").agg(F.countDistinct("offering_key").alias("offerings"), F.coalesce(F.sum("n"), F.lit(0)).alias("objectives"))
+    return x.select(F.concat_ws("_", "area", T.slugify(F.col("title"))).alias("document"), "title", "offerings", "objectives").orderBy("document")

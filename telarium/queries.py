@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telarium.functions import text as T
-from telarium.operators import aggregates, audits, matching, merging, ordering, search, shred
+from telarium.operators import aggregates, audits, dimensions, matching, merging, ordering, search, shred
 from telarium.plans import exports
 from telarium.sources import prose
 from telarium.session import settle, table
@@ -569,3 +569,37 @@ def prose_ideas(spark, d):
 @query("prose_problems")
 def prose_problems(spark, d):
     return prose.problems(settle(prose.objectives(table(spark, d, "bases_pages"))))
+
+
+@query("manifest", """
+SELECT *, concat_ws('; ', CASE WHEN without_statement > 0 THEN 'objectives without a statement' END, CASE WHEN without_source > 0 THEN 'objectives without a source' END, CASE WHEN offerings < expected_offerings THEN 'offerings without objectives' END) AS limitations
+FROM (SELECT count(*) AS objectives, count(DISTINCT offering_key) AS offerings, count(DISTINCT code) AS codes, count(*) FILTER (WHERE prioritized) AS prioritized, count(*) FILTER (WHERE statement IS NULL) AS without_statement, count(*) FILTER (WHERE source IS NULL) AS without_source, max(retrieved_at) AS last_retrieved FROM objectives),
+  (SELECT count(DISTINCT offering_key) AS expected_offerings FROM offerings)""")
+def manifest(spark, d):
+    return exports.manifest(objectives(spark, d), table(spark, d, "offerings"))
+
+
+_TITLE = "coalesce(nullif(trim(regexp_replace(subject_name, '(?i)\\s+\\d+\\s*[°º]?(?:\\s*(?:básico|basico|medio))?\\s*$', '')), ''), subject_name)"
+
+
+@query("document_index", f"""
+WITH o AS (SELECT offering_key, coalesce(track, 'otro') AS area, {_TITLE} AS title FROM offerings), n AS (SELECT offering_key, count(*) AS n FROM objectives GROUP BY offering_key)
+SELECT concat_ws('_', area, {_SLUG.format('title', '_')}) AS document, title, count(DISTINCT o.offering_key) AS offerings, coalesce(sum(n), 0)::BIGINT AS objectives FROM o LEFT JOIN n ON o.offering_key = n.offering_key GROUP BY area, title""")
+def document_index(spark, d):
+    return exports.document_index(objectives(spark, d), table(spark, d, "offerings"))
+
+
+@query("offering_lookup", "SELECT o.row_id, coalesce(f.subject_name, '?') AS subject, f.level_name AS level, CASE WHEN f.is_epja THEN 'adultos' WHEN f.track = 'tp' THEN 'tp' ELSE 'general' END AS area FROM objectives o LEFT JOIN offerings f USING (offering_key)")
+def offering_lookup(spark, d):
+    x = dimensions.lookup(objectives(spark, d), table(spark, d, "offerings"), {"offering_key": "offering_key"}, {"subject_name": "subject", "level_name": "level", "is_epja": "adult", "track": "track"}, {"subject": F.lit("?")})
+    return dimensions.by_rule(x, [("adult", "adultos"), ("track = 'tp'", "tp")], "general", "area").select("row_id", "subject", "level", "area")
+
+
+@query("child_counts", "SELECT f.offering_key, count(o.row_id) AS children FROM offerings f LEFT JOIN objectives o USING (offering_key) GROUP BY f.offering_key")
+def child_counts(spark, d):
+    return dimensions.child_counts(table(spark, d, "offerings").select("offering_key"), objectives(spark, d), "offering_key", "offering_key").select("offering_key", "children")
+
+
+@query("search_highlighted")
+def search_highlighted(spark, d):
+    return objectives(spark, d).where(F.contains(T.fold(F.col("statement")), F.lit("celula"))).select("row_id", search.highlight(F.col("statement"), "célula").alias("html"))
