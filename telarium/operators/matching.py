@@ -14,32 +14,31 @@ THRESHOLD, MARGIN, LEAST, GRAM, SAMPLE = 0.55, 0.10, 25, 5, 400
 def _grams(df: DataFrame, key: str, group: str, c: Column) -> DataFrame:
     """Grams of each text. The compact text is written first, else each gram would make it anew."""
     t = settle(df.select(F.col(key).alias(f"{key}_"), F.col(group).alias("g_"), T.compact(c).alias("t")).where(F.length("t") >= LEAST))
-    return t.select(f"{key}_", "g_", T.grams(F.col("t"), GRAM).alias("grams"))
+    return t.where(F.col("g_").isNotNull()).select(f"{key}_", "g_", T.grams(F.col("t"), GRAM).alias("grams"))
 
 
 def scores(rows: DataFrame, objectives: DataFrame, row_key: str, objective_key: str, group: str, statement: str = "statement", least: float = 0.0) -> DataFrame:
     """(row, objective, score): containment of 5-grams between rows and objectives of the same group.
 
     Grams are exploded once on each side and meet in an equi-join on (group, gram); pairs without a common gram have no row.
-    With ``least`` above 0 only grams are exploded that pairs with that score must share: of the side with fewer grams all
-    but the most frequent (1 - least), so grams that everything contains meet nothing.
+    With ``least`` above 0 pairs are only made by grams that a pair with that score must share: of the side with fewer grams, its
+    rarest ones down to the share that may be missing. Grams that everything contains then make no pairs.
     """
     a = _grams(rows, row_key, group, T.without_row_code(F.substring(F.col(statement), 1, SAMPLE)))
     b = _grams(objectives, objective_key, group, F.col(statement))
     rk, ok = f"{row_key}_", f"{objective_key}_"
     na, nb = a.select(F.col(rk).alias("ra"), F.size("grams").alias("na")), b.select(F.col(ok).alias("ob"), F.size("grams").alias("nb"))
-    x = a.select(rk, "g_", F.explode("grams").alias("gram"))
-    y = b.select(ok, "g_", F.explode("grams").alias("gram"))
     if least > 0:
-        x, y = x.withColumn("n", F.lit(1)), y.withColumn("n", F.lit(1))
-        df = x.select("g_", "gram").unionByName(y.select("g_", "gram")).groupBy("g_", "gram").agg(F.count("*").alias("df"))
-        order = lambda k: Window.partitionBy(k).orderBy("df", "gram")
-        size = lambda k: F.count("*").over(Window.partitionBy(k))
-        mark = lambda d, k: d.join(df, ["g_", "gram"]).withColumn("rare", F.row_number().over(order(k)) <= size(k) - F.ceil(size(k) * least) + 1)
-        x, y = mark(x, rk), mark(y, ok)
-        pairs = x.where("rare").join(y, ["g_", "gram"]).select(rk, ok).unionByName(x.join(y.where("rare"), ["g_", "gram"]).select(rk, ok)).distinct()
-        common = pairs.join(a, rk).join(b.select(ok, F.col("grams").alias("other")), ok).select(rk, ok, F.size(F.array_intersect("grams", "other")).alias("common"))
+        h = F.transform("grams", lambda g: F.xxhash64("g_", g))  # equal hashes of different grams only make a pair that is then dropped
+        x, y = a.select(rk, F.explode(h).alias("h")), b.select(ok, F.explode(h).alias("h"))
+        n = x.select("h").unionByName(y.select("h")).groupBy("h").agg(F.count("*").alias("df"))
+        rare = lambda d, k: d.join(n, "h").groupBy(k).agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("s")).select(
+            k, F.explode(F.slice("s", F.lit(1), F.size("s") - F.ceil(F.size("s") * least).cast("int") + 1)).alias("s")).select(k, "s.h")
+        pairs = rare(x, rk).join(y, "h").select(rk, ok).unionByName(x.join(rare(y, ok), "h").select(rk, ok)).distinct()
+        both = pairs.join(a, rk).join(b.select(ok, F.col("g_").alias("g2"), F.col("grams").alias("other")), ok).where("g_ = g2")
+        common = both.select(rk, ok, F.size(F.array_intersect("grams", "other")).alias("common"))
     else:
+        x, y = a.select(rk, "g_", F.explode("grams").alias("gram")), b.select(ok, "g_", F.explode("grams").alias("gram"))
         common = x.join(y, ["g_", "gram"]).groupBy(rk, ok).agg(F.count("*").alias("common"))
     s = common.join(na, F.col(rk) == F.col("ra")).join(nb, F.col(ok) == F.col("ob"))
     out = s.select(F.col(rk).alias("row"), F.col(ok).alias("objective"), (F.col("common") / F.least("na", "nb")).alias("score"))
