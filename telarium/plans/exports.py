@@ -87,3 +87,16 @@ def document_index(df: DataFrame, offerings: DataFrame) -> DataFrame:
     n = df.groupBy("offering_key").agg(F.count("*").alias("n"))
     x = o.join(n, "offering_key", "left").groupBy("area", "title").agg(F.countDistinct("offering_key").alias("offerings"), F.coalesce(F.sum("n"), F.lit(0)).alias("objectives"))
     return x.select(F.concat_ws("_", "area", T.slugify(F.col("title"))).alias("document"), "title", "offerings", "objectives").orderBy("document")
+
+
+def module_block(number: Column, name: Column, hours: Column, learnings: Column) -> Column:
+    """Markdown of a module; learnings is array<struct<number, statement, criteria array<string>>> in order."""
+    one = lambda x: F.concat(F.lit("\n**"), x["number"].cast("string"), F.lit(".** "), F.coalesce(x["statement"], F.lit("")), F.coalesce(F.array_join(F.transform(x["criteria"], lambda c: F.concat(F.lit("\n- "), c)), ""), F.lit("")), F.lit("\n"))
+    head = F.concat(F.lit("#### "), F.concat_ws(" · ", F.concat(F.lit("Módulo "), number.cast("string")), name, F.concat(hours.cast("string"), F.lit(" horas"))), F.lit("\n"))
+    return F.concat(head, F.array_join(F.transform(learnings, one), ""))
+
+
+def modules_document(learnings: DataFrame) -> DataFrame:
+    """(source_pdf, module_number, block): each module of a file with its learnings and criteria."""
+    x = learnings.groupBy("source_pdf", "module_number").agg(F.min("module_name").alias("name"), F.max("hours").alias("hours"), F.array_sort(F.collect_list(F.struct("number", "row_id", "statement", "criteria"))).alias("l"))
+    return x.select("source_pdf", "module_number", module_block(F.col("module_number"), F.col("name"), F.col("hours"), F.col("l")).alias("block"))

@@ -603,3 +603,11 @@ def child_counts(spark, d):
 @query("search_highlighted")
 def search_highlighted(spark, d):
     return objectives(spark, d).where(F.contains(T.fold(F.col("statement")), F.lit("celula"))).select("row_id", search.highlight(F.col("statement"), "célula").alias("html"))
+
+
+@query("export_modules", """
+SELECT source_pdf, module_number, '#### ' || concat_ws(' · ', 'Módulo ' || module_number, min(module_name), max(hours) || ' horas') || chr(10) ||
+  string_agg(chr(10) || '**' || number || '.** ' || coalesce(statement, '') || coalesce(array_to_string(list_transform(list_filter(criteria, lambda c: c IS NOT NULL), lambda c: chr(10) || '- ' || c), ''), '') || chr(10), '' ORDER BY number, row_id) AS block
+FROM expected_learnings WHERE number IS NOT NULL GROUP BY source_pdf, module_number""")
+def export_modules(spark, d):
+    return exports.modules_document(table(spark, d, "expected_learnings").where("number IS NOT NULL"))

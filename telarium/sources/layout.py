@@ -128,3 +128,27 @@ def learnings(events: DataFrame) -> DataFrame:
     pick = lambda k: F.array_distinct(F.transform(F.array_sort(F.collect_list(F.when(F.col("kind") == k, F.struct("page", "ord", "text")))), lambda x: x["text"]))
     x = events.where("number IS NOT NULL").groupBy("doc", "module", "number").agg(pick("learning").alias("s"), pick("criterion").alias("criteria"), pick("generic").alias("generic"))
     return x.where(F.size("s") + F.size("criteria") > 0).select("doc", "module", "number", F.try_element_at("s", F.lit(1)).alias("statement"), "criteria", "generic")
+
+
+# ---- fall-back on the text of a page ----------------------------------------------------------------------------------
+
+_OA_IN_TEXT = r"\bOA\s*([0-9]{1,2}|[A-Za-z])\s*[.:)]\s"
+_SECTION_END = r"(?m)^\s*(?:DURACI[ÓO]N|Duraci[óo]n|DESARROLLO|INICIO|CIERRE|RECURSOS|ORIENTACIONES|Observaciones al docente|Actividad|Recordemos|Se puede usar|Se sugiere delimitar)\b"
+
+
+def rows_from_text(pages: DataFrame) -> DataFrame:
+    """(doc, page, code, statement, indicators): joint rows of pages whose layout doesn't tell the columns apart.
+
+    pages(doc, page, text). Codes stand between the captions of the columns, bulleted items behind the second one up to the next section;
+    every code gets all distinct items. Pages without both captions, codes or items give no row.
+    """
+    obj, ind = r"(?isu)objetivos\s+de\s+aprendizaje", r"(?isu)indicadores\s+de\s+evaluaci\w*"
+    after = F.split("text", obj, 2)
+    halves = F.split(F.when(F.size(after) == 2, after[1]), ind, 2)
+    x = pages.where(F.col("text").isNotNull()).select("doc", "page", halves.alias("h")).where("size(h) = 2")
+    tail = F.split(F.col("h")[1], _SECTION_END, 2)[0]
+    items = F.array_distinct(F.filter(F.transform(T.split_bullets(tail), T.clean_extracted), lambda i: ~T.is_furniture(i)))
+    codes = F.regexp_extract_all(F.col("h")[0], F.lit(_OA_IN_TEXT), F.lit(1))
+    said = F.slice(F.split(F.col("h")[0], _OA_IN_TEXT), 2, 1 << 20)
+    pairs = F.explode(F.arrays_zip(codes.alias("code"), F.transform(said, T.clean_extracted).alias("statement")))
+    return x.select("doc", "page", items.alias("indicators"), pairs.alias("p")).where("size(indicators) > 0 AND p.code IS NOT NULL").select("doc", "page", "p.code", "p.statement", "indicators")

@@ -53,6 +53,13 @@ def test_joint_rows(spark):
     assert layout.table_rows(b.limit(0)).count() == 0
 
 
+def test_rows_from_text(spark):
+    text = "Título\nObjetivos de Aprendizaje\nOA 3. Medir el agua\ndel lago.\nOA c: Leer el cuento.\nINDICADORES DE EVALUACIÓN\n• Miden el agua con cuidado.\n• Leen el cuen-\nto completo.\n• 12\nDURACIÓN\n• Otra cosa que no cuenta."
+    df = spark.createDataFrame([("d", 1, text), ("d", 2, None), ("d", 3, "Objetivos de Aprendizaje OA 1. x"), ("d", 4, "")], "doc string, page int, text string")
+    items = ["Miden el agua con cuidado.", "Leen el cuento completo."]
+    assert [tuple(r) for r in layout.rows_from_text(df).collect()] == [("d", 1, "3", "Medir el agua del lago.", items), ("d", 1, "c", "Leer el cuento.", items)]
+
+
 def test_median(spark):
     s = spark.createDataFrame([("d", 1, 5.0, 10), ("d", 1, 12.0, 5), ("d", 2, 8.0, 1), ("d", 2, 9.0, 1)], "doc string, page int, size double, n_chars int")
     assert {r.page: r["size"] for r in layout.median_size(s).collect()} == {1: 5.0, 2: 9.0}
