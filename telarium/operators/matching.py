@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from telarium.functions import text as T
 from telarium.session import settle
 
+# Least similarity, margin to the second, least length, length of grams, characters of a row that count.
 THRESHOLD, MARGIN, LEAST, GRAM, SAMPLE = 0.55, 0.10, 25, 5, 400
 
 

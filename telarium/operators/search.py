@@ -39,13 +39,18 @@ def matching(post: DataFrame, key: str, query: str) -> DataFrame:
     return found.select(key)
 
 
+# Weights of a token by where it stands, and of a prioritized record.
+WEIGHTS = {"code": 40, "start": 12, "statement": 10, "keywords": 5, "strand": 3, "indicators": 2, "prioritized": 1}
+
+
 def score(query: str, code: Column, statement: Column, keywords: Column, strand: Column, indicators: Column, prioritized: Column) -> Column:
     """Weight of a hit: code 40, start of the statement 12, statement 10, keywords 5, strand 3, indicators 2 for each token; 1 for prioritized."""
     c, s, k, st, i = (T.fold(x) for x in (code, statement, keywords, strand, indicators))
-    total = F.coalesce(prioritized, F.lit(False)).cast("int")
+    g = WEIGHTS
+    total = F.coalesce(prioritized, F.lit(False)).cast("int") * g["prioritized"]
     for t in _query_tokens(query):
         w = lambda cond, n: F.when(cond, n).otherwise(0)
-        total = total + w(F.contains(c, F.lit(t)), 40) + w(F.startswith(s, F.lit(t)), 12) + w(F.contains(s, F.lit(t)), 10) + w(F.contains(k, F.lit(t)), 5) + w(F.contains(st, F.lit(t)), 3) + w(F.contains(i, F.lit(t)), 2)
+        total = total + w(F.contains(c, F.lit(t)), g["code"]) + w(F.startswith(s, F.lit(t)), g["start"]) + w(F.contains(s, F.lit(t)), g["statement"]) + w(F.contains(k, F.lit(t)), g["keywords"]) + w(F.contains(st, F.lit(t)), g["strand"]) + w(F.contains(i, F.lit(t)), g["indicators"])
     return total
 
 
@@ -55,17 +60,16 @@ def substring(df: DataFrame, query: str, fields: list[Column]) -> DataFrame:
 
 
 def bm25(df: DataFrame, key: str, text: Column, query: str, k1: float = 1.2, b: float = 0.75) -> DataFrame:
-    """(key, score) of rows with any token of the query. Two aggregates of one row each are broadcast."""
+    """(key, score) of rows with any token of the query. The corpus' counts are one row, read first."""
     q = _query_tokens(query)
     toks = df.select(key, T.tokens(text).alias("t")).select(key, F.size("t").alias("len"), F.filter("t", lambda x: x.isin(q)).alias("t"))
-    stats = toks.agg(F.count("*").alias("N"), F.avg("len").alias("avg_len"), *[F.count_if(F.array_contains("t", x)).alias(f"df{i}") for i, x in enumerate(q)])
-    x = toks.where(F.size("t") > 0).join(F.broadcast(stats))
+    n, avg, *df = toks.agg(F.count("*"), F.avg("len"), *[F.count_if(F.array_contains("t", x)) for x in q]).first()
     total = F.lit(0.0)
-    for i, w in enumerate(q):
+    for w, d in zip(q, df):
         tf = F.size("t") - F.size(F.array_remove("t", w))
-        idf = F.log(1 + (F.col("N") - F.col(f"df{i}") + 0.5) / (F.col(f"df{i}") + 0.5))
-        total = total + idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("len") / F.col("avg_len")))
-    return x.select(key, total.alias("score"))
+        idf = F.log(F.lit(1 + (n - d + 0.5) / (d + 0.5)))
+        total = total + idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("len") / F.lit(avg or 1.0)))
+    return toks.where(F.size("t") > 0).select(key, total.alias("score"))
 
 
 def facets(df: DataFrame, cols: list[str]) -> DataFrame:

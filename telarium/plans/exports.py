@@ -75,8 +75,7 @@ def manifest(df: DataFrame, offerings: DataFrame) -> DataFrame:
         F.count("*").alias("objectives"), F.countDistinct("offering_key").alias("offerings"), F.countDistinct("code").alias("codes"), F.count_if("prioritized").alias("prioritized"),
         F.count_if(F.col("statement").isNull()).alias("without_statement"), F.count_if(F.col("source").isNull()).alias("without_source"), F.max("retrieved_at").alias("last_retrieved"),
     )
-    known = offerings.agg(F.countDistinct("offering_key").alias("expected_offerings"))
-    x = a.join(F.broadcast(known))
+    x = a.withColumn("expected_offerings", F.lit(offerings.agg(F.countDistinct("offering_key")).first()[0]))
     notes = F.array_compact(F.array(F.when(F.col("without_statement") > 0, "objectives without a statement"), F.when(F.col("without_source") > 0, "objectives without a source"), F.when(F.col("offerings") < F.col("expected_offerings"), "offerings without objectives")))
     return x.withColumn("limitations", F.array_join(notes, "; "))
 

@@ -15,6 +15,7 @@ from telarium.functions import text as T
 COLUMN_GAP, MARKER_DRIFT, BULLET_DRIFT, CONTINUATION_DRIFT, ROW = 55.0, 40.0, 20.0, 45.0, 10.0
 LEAST, SAMPLE = 12, 400
 _PAGE = ["doc", "page"]
+# Captions of columns, markers of objectives, bullets.
 _OBJ, _IND = r"(?iu)objetivos\s+de\s+aprendizaje", r"(?iu)indicadores\s+de\s+evaluaci"
 _STANDALONE, _PREFIXED, _BARE = r"^OA\s*(\d{1,2}|[A-Za-z])\.?$", r"^OA\s*(\d{1,2}|[A-Za-z])\s*[.:)]\s", r"^(\d{1,2}|[a-zA-Z])[.)]\s"
 _CAPTION = r"(?i)se espera que|l[ao]s(?: y l[ao]s)? estudiantes que"
@@ -82,6 +83,7 @@ def median_size(spans: DataFrame) -> DataFrame:
 
 # ---- modules --------------------------------------------------------------------------------------------------------
 
+# Headers of modules, criteria and learnings.
 _HEADER = r"(?isu)M[oó]dulo\s+(\d+)\s*[·:.•\-]\s*(.{1,160}?)\s+(\d+)\s*Horas"
 _GRADE = r"(?isu)Horas.{0,60}?(Tercero|Cuarto)\s+medio"
 _CRITERION, _EXPECTED, _LONE = r"^(\d{1,2})\.(\d{1,2})\s+", r"^(\d{1,2})(?:[.)]\s+(?:\d{1,2}[.)]\s+)?(?=\D)|\s+(?=[A-ZÁÉÍÓÚÑ]))", r"^(\d{1,2})[.)]$"
@@ -132,6 +134,7 @@ def learnings(events: DataFrame) -> DataFrame:
 
 # ---- fall-back on the text of a page ----------------------------------------------------------------------------------
 
+# Codes in running text, and headings that end the section.
 _OA_IN_TEXT = r"\bOA\s*([0-9]{1,2}|[A-Za-z])\s*[.:)]\s"
 _SECTION_END = r"(?m)^\s*(?:DURACI[ÓO]N|Duraci[óo]n|DESARROLLO|INICIO|CIERRE|RECURSOS|ORIENTACIONES|Observaciones al docente|Actividad|Recordemos|Se puede usar|Se sugiere delimitar)\b"
 

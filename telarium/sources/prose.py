@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from telarium.functions import text as T
 
+# Starts of objectives and of items, and the strand at the end.
 _START, _ITEM = r"^OA\s*(\d+)\.\s*", r"^(?:[-•›‣●*]|\ty)\s*"
 _STRAND = r"\(([^()]{2,80})\)\s*$"
 
