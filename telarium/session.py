@@ -40,20 +40,31 @@ def local_path(url: str) -> str:
     return url[len("file://"):] if url.startswith("file://") else url[len("file:"):] if url.startswith("file:") else url
 
 
-def settle(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
+_settled: list[str] = []
+
+
+def settle(df: DataFrame) -> DataFrame:
     """Write df once to the shared folder and read it back.
 
     Cuts the lineage and keeps the rows through the loss of an executor; columnar and
-    compressed, so cheaper on disk than checkpoint().
+    compressed, so cheaper on disk than checkpoint(). release() removes the tables.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/t-{uuid.uuid4().hex}.parquet"
-    w = df.write
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    df.write.parquet(path)
+    _settled.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> int:
+    """Remove the tables that settle() wrote so far; call it when the results built on them are written. The number removed."""
+    conf, jvm = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm
+    n = 0
+    while _settled:
+        path = jvm.org.apache.hadoop.fs.Path(_settled.pop())
+        n += bool(path.getFileSystem(conf).delete(path, True))
+    return n
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
