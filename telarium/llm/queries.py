@@ -37,6 +37,28 @@ WITH r AS (
 ), g AS (SELECT *, min(row_id) OVER w AS keep_id, count(*) OVER w AS n FROM r WINDOW w AS (PARTITION BY table_name, s, k, a))
 """
 
+# The consistent form in SQL, for comparison: the same fixed tables, applied by translate and regular expressions.
+_WIDE = "".join(chr(c) for c in range(0xFF01, 0xFF5F)), "".join(chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F))
+_GREEK = {k: v[0] for k, v in lookalike.LOOKALIKES.items() if "\u0370" <= k <= "\u03ff" and k not in "οΟ"}
+_OTHERS = {k: v[0] for k, v in lookalike.LOOKALIKES.items() if k not in _GREEK and not (k.isascii())}
+_GONE = "[\\x{AD}\\x{200B}-\\x{200F}\\x{202A}-\\x{202E}\\x{2060}-\\x{2064}\\x{FEFF}]"
+_SPACES = "[\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{202F}\\x{205F}\\x{3000}]"
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _consistent_sql(c: str) -> str:
+    c = f"regexp_replace(regexp_replace({c}, '{_GONE}', '', 'g'), '{_SPACES}', ' ', 'g')"
+    c = f"translate(translate({c}, {_quoted(_WIDE[0])}, {_quoted(_WIDE[1])}), {_quoted(''.join(_OTHERS) + '‐‑')}, {_quoted(''.join(_OTHERS.values()) + '--')})"
+    for a, b in (("ﬀ", "ff"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬃ", "ffi"), ("ﬄ", "ffl")):
+        c = f"replace({c}, '{a}', '{b}')"
+    for a, b in _GREEK.items():
+        c = f"regexp_replace(regexp_replace({c}, '([\\p{{L}}\\p{{M}}]){a}', '\\1{b}', 'g'), '{a}(\\p{{L}})', '{b}\\1', 'g')"
+    return f"nfc_normalize({c})"
+
+
 
 def _p6(spark: SparkSession, d: str) -> list[tuple[str, DataFrame, DataFrame]]:
     return [
@@ -61,12 +83,12 @@ def _p5(spark: SparkSession, d: str) -> list[tuple[str, DataFrame]]:
     return [(n, table(spark, d, n)) for n in ("objectives", "bases_objectives")]
 
 
-@query("p5_found")
+@query("p5_found", " UNION ALL ".join(f"SELECT '{n}' AS table_name, row_id FROM {n} WHERE statement <> {_consistent_sql('statement')}" for n in ("objectives", "bases_objectives")))
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return lookalike.changed(_p5(spark, d)).select("table_name", "row_id")
 
 
-@query("p5_text")
+@query("p5_text", " UNION ALL ".join(f"SELECT '{n}' AS table_name, row_id, {_consistent_sql('statement')} AS statement FROM {n}" for n in ("objectives", "bases_objectives")))
 def p5_text(spark: SparkSession, d: str) -> DataFrame:
     return lookalike.normalized(_p5(spark, d))
 
@@ -86,7 +108,11 @@ def p8_fill(spark: SparkSession, d: str) -> DataFrame:
     return packing.fills(p8_packed(spark, d), table(spark, d, "containers"))
 
 
-@query("p4_found")
+@query("p4_found", f"""
+WITH n AS (SELECT row_id, {_CANON.format('statement')} AS c, list_distinct(regexp_extract_all(lower(strip_accents({_consistent_sql('statement')})), '[\\p{{L}}\\p{{N}}]+')) AS ws FROM objectives WHERE regexp_matches(statement, '\\p{{L}}')),
+w AS (SELECT row_id, c, len(ws) AS n, unnest(ws) AS w FROM n),
+p AS (SELECT a.row_id AS row_a, b.row_id AS row_b, a.n + b.n AS total, count(*) AS shared FROM w a JOIN w b ON a.w = b.w AND a.row_id < b.row_id AND a.c <> b.c GROUP BY ALL)
+SELECT row_a, row_b FROM p WHERE shared >= 0.7 * (total - shared)""")
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     pairs, dup = neardup.similar(table(spark, d, "objectives"))
     return neardup.expand(settle(pairs), dup)
