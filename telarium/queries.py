@@ -28,7 +28,35 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-@query("p3_found")
+def _opened(x: str) -> str:
+    return f"CASE WHEN json_type({x}) = 'VARCHAR' AND left(ltrim({x} ->> '$'), 1) IN ('[', '{{') AND json_valid({x} ->> '$') THEN CAST({x} ->> '$' AS JSON) ELSE {x} END"
+
+
+def _children(parent: str, field: str, prefix: str) -> str:
+    """Rows (record_id, parent_path, path, v) of the children in a field of the rows of parent."""
+    c = f"(SELECT record_id, path AS parent_path, {_opened(f'json_extract(v, {chr(39)}$.{field}{chr(39)})')} AS c, row_number() OVER () AS u FROM {parent} WHERE json_type(v) = 'OBJECT')"
+    if not prefix:
+        return f"SELECT record_id, parent_path, parent_path || '/' || e.key AS path, {_opened('e.value')} AS v FROM {c} x, json_each(x.c) e WHERE json_type(x.c) = 'OBJECT' AND json_type(e.value) <> 'NULL'"
+    numbered = "len(json_keys(x.c)) > 0 AND len(list_filter(json_keys(x.c), lambda k: NOT regexp_full_match(k, '\\d+'))) = 0"
+    return f"""
+SELECT record_id, parent_path, parent_path || '/{prefix}' || e.key AS path, {_opened('e.value')} AS v FROM {c} x, json_each(x.c) e WHERE json_type(x.c) = 'ARRAY' AND json_type(e.value) <> 'NULL'
+UNION ALL SELECT record_id, parent_path, parent_path || '/{prefix}' || k AS path, v FROM (
+  SELECT record_id, parent_path, {_opened('e.value')} AS v, row_number() OVER (PARTITION BY x.u ORDER BY CAST(e.key AS INT)) - 1 AS k FROM {c} x, json_each(x.c) e WHERE json_type(x.c) = 'OBJECT' AND {numbered}) WHERE json_type(v) <> 'NULL'
+UNION ALL SELECT record_id, parent_path, parent_path || '/{prefix}0' AS path, x.c AS v FROM {c} x WHERE json_type(x.c) NOT IN ('ARRAY', 'NULL') AND NOT (json_type(x.c) = 'OBJECT' AND ({numbered} OR len(json_keys(x.c)) = 0)) AND x.c <> '\"\"'"""
+
+
+def _nested_sql() -> str:
+    """Paths of the nested records, by one table for each entity of shred.CHILDREN."""
+    above: dict[str, list[tuple[str, str, str]]] = {e: [] for e in shred.ENTITIES}
+    for parent, fields in shred.CHILDREN.items():
+        for field, (child, prefix) in fields.items():
+            above[child].append((parent, field, prefix))
+    ctes = ["n_record AS (SELECT record_id, '' AS parent_path, 'root' AS path, CAST(body AS JSON) AS v FROM nested_records WHERE json_valid(body))"]
+    ctes += [f"n_{e} AS MATERIALIZED (" + " UNION ALL ".join(_children(f"n_{p}", f, x) for p, f, x in above[e]) + ")" for e in shred.ENTITIES[1:]]
+    return "WITH " + ", ".join(ctes) + " " + " UNION ALL ".join(f"SELECT record_id, '{e}' AS node, path, parent_path FROM n_{e}" for e in shred.ENTITIES)
+
+
+@query("p3_found", _nested_sql())
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return shred.found_nodes(shred.shred(table(spark, d, "nested_records")))
 
