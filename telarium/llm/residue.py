@@ -1,15 +1,16 @@
 """Template residue and error-page text.
 
 Messages (sentences of lines) descend a prefix tree of fixed depth: number of tokens, signal words
-with their places, first token. In a leaf they join the template most like them, whose differing tokens
-become wildcards. Signal words never do, so all messages of a template mean the same: each template is
-judged once and its messages take over the verdict. Unresolved slots are looked for separately, in
-every message that isn't about such things.
+with their places, first token; where a leaf is full, one token more. In a leaf they join the template most
+like them, whose differing tokens become wildcards. The patterns of the verdict read any word of a message, so
+only messages equal to the one a template was judged by take over its verdict; all others are judged by
+their own text. Unresolved slots are looked for separately, in every message that isn't about such things.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 #: Share of equal tokens from which a message joins a template.
 ALIKE = 0.5
-#: Templates of one leaf; beyond, messages take the verdict of the leaf's first template, which has the same signal words.
+#: Templates of one leaf; beyond, messages descend by their next token.
 CHILDREN = 100
 #: Templates that one task keeps before it starts over.
 MEMORY = 200_000
@@ -162,33 +163,42 @@ class Tree:
         self.leaves: dict[tuple, list[list]] = {}
         self.n = 0
 
-    def add(self, tokens: list[str]) -> list:
-        """The template [tokens, count, verdict] that the message joins."""
+    def add(self, tokens: list[str], said: str | None = None) -> list:
+        """The template [tokens, count, verdict, text judged, counts of verdicts] that the message joins. said: its text, if the tokens aren't."""
+        if self.n > MEMORY:  # judged again when met
+            self.leaves.clear()
+            self.n = 0
         signals = tuple([(i, w) for i, t in enumerate(tokens) if (w := t.strip(".,;:…!?¡¿()[]<>/«»\"'")) in SIGNALS])
         key = (len(tokens), signals, tokens[0] if not tokens[0][:1].isdigit() else WILD)
-        leaf = self.leaves.get(key)
-        if leaf is None:
-            if self.n > MEMORY:  # judged again when met
-                self.leaves.clear()
-                self.n = 0
-            leaf = self.leaves[key] = []
-        best, most = None, ALIKE * len(tokens)
-        for t in leaf:
-            same = sum(map(str.__eq__, t[0], tokens))
-            if same >= most:
-                best, most = t, same + 1
-        if best is None:
-            if len(leaf) >= CHILDREN:
-                best = leaf[0]
-            else:
-                best = [tokens, 0, verdict(" ".join(tokens)) if signals else None]
-                leaf.append(best)
+        best = None
+        for t in [*tokens, None]:  # below all tokens lie equal messages only
+            leaf = self.leaves.setdefault(key, [])
+            most = ALIKE * len(tokens)
+            for x in leaf:
+                same = sum(map(str.__eq__, x[0], tokens))
+                if same >= most:
+                    best, most = x, same + 1
+            if best is not None:
+                break
+            if len(leaf) < CHILDREN:
+                said = " ".join(tokens) if said is None else said
+                leaf.append(best := [tokens, 0, verdict(said), said, Counter()])
                 self.n += 1
+                break
+            key += (t,)
         if best[0] != tokens:
             best[0] = [a if a == b else WILD for a, b in zip(best[0], tokens)]
         best[1] += 1
         return best
 
+    def verdict(self, tokens: list[str], said: str | None = None) -> str | None:
+        """The verdict of the message's own text, counted in its template."""
+        said = " ".join(tokens) if said is None else said
+        t = self.add(tokens, said)
+        kind = t[2] if said == t[3] else verdict(said)
+        t[4][kind] += 1
+        return kind
+
 
 def judge(text: str | None, tree: Tree) -> str | None:
     """Why a document is residue: slot, error, script or filler; None if it isn't.
@@ -203,7 +213,7 @@ def judge(text: str | None, tree: Tree) -> str | None:
         for j, m in enumerate(messages(low.strip())):
             words, kind = m.encode("utf-8", "replace").translate(_APART).split(), None
             if not _SIGNALS.isdisjoint(words):
-                kind = tree.add(m.split())[2]
+                kind = tree.verdict(m.split())
             if kind is None and (may_slot or len(words) >= 5 and _FUNCTIONS.isdisjoint(words)):
                 whole = whole or messages(line.strip())
                 said = whole[j] if j < len(whole) else line
@@ -224,7 +234,7 @@ def residue(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """(doc_id, reason) of the documents that hold residue.
 
     Null, empty and blank texts are none. Repeated rows are judged alike and all come out. The verdict of a message
-    depends on its own signal words only, so it is the same however rows fall into tasks; only the two named
+    depends on its own text only, so it is the same however rows fall into tasks; only the two named
     columns are read, texts are read whole, and nothing is shuffled.
     """
 
@@ -238,26 +248,30 @@ def residue(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def templates(docs: DataFrame, text_col: str = "text", min_count: int = 3) -> DataFrame:
-    """(template, n, verdict): the message templates of all texts with signal words, mined within tasks and merged by equal form; those seen ``min_count`` times or more."""
+    """(template, n, verdict): the message templates of all texts with signal words, mined within tasks and merged by equal form; those seen ``min_count`` times or more.
+
+    A template whose messages have several verdicts has a row for each.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree = Tree()
 
         def rows():
-            t = [(" ".join(x[0]), x[1], x[2]) for key, leaf in tree.leaves.items() if key[1] for x in leaf]
+            t = [(" ".join(x[0]), n, kind) for leaf in tree.leaves.values() for x in leaf for kind, n in x[4].items()]
             return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*t) if t else [[]] * 3, (pa.string(), pa.int64(), pa.string()))], ["template", "n", "verdict"])
 
         for b in batches:
             for text in b.column(0).to_pylist():
                 for line in (text or "").split("\n"):
                     for m in messages(line.strip()):
-                        tokens = re.sub(r"\d+", "#", _plain(m)).split()
+                        said = " ".join(_plain(m).split())
+                        tokens = re.sub(r"\d+", "#", said).split()
                         if not _SIGNALS.isdisjoint(" ".join(tokens).encode("utf-8", "replace").translate(_APART).split()):
-                            tree.add(tokens)
-            if tree.n > MEMORY // 2:
-                yield rows()
-                tree.leaves.clear()
-                tree.n = 0
+                            tree.verdict(tokens, said)
+                        if tree.n > MEMORY // 2:  # before the tree starts over, else its counts would be lost
+                            yield rows()
+                            tree.leaves.clear()
+                            tree.n = 0
         yield rows()
 
     return docs.select(F.col(text_col).cast("string")).mapInArrow(run, "template string, n long, verdict string").groupBy("template", "verdict").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count).select("template", "n", "verdict")

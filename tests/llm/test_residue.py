@@ -53,3 +53,24 @@ def test_templates(spark):
     df = spark.createDataFrame([("El recurso no pudo cargarse.",)] * 4 + [(None,), ("Se lee el cuento del error.",)], "text string")
     got = {r.template: (r.n, r.verdict) for r in R.templates(df).collect()}
     assert got == {"el recurso no pudo cargarse.": (4, "error")}
+
+
+ALIKE = ["El recurso no está disponible por ahora", "El recurso ya está disponible por ahora"]
+
+
+@pytest.mark.parametrize("texts", [ALIKE, ALIKE[::-1]])
+def test_alike_messages_are_judged_by_their_own_text(spark, texts):
+    tree = R.Tree()
+    assert [R.judge(t, tree) for t in texts] == ["error" if " no " in t else None for t in texts]
+    got = {(r.template, r.n, r.verdict) for r in R.templates(spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1), min_count=1).collect()}
+    assert got == {("el recurso <*> esta disponible por ahora", 1, "error"), ("el recurso <*> esta disponible por ahora", 1, None)}
+
+
+def test_messages_beyond_a_full_leaf():
+    tree = R.Tree()
+    for i in range(2 * R.CHILDREN):
+        tree.add(f"el {i}a {i}b {i}c {i}d {i}e error interno {i}g servidor".split())
+    bad = "el sitio dice que hubo un error interno del servidor"
+    assert R.judge(bad, tree) == "error" and R.judge(bad, tree) == "error"
+    assert tree.add(bad.split())[0] == bad.split()  # no other message's template
+    assert R.judge("el 7a 7b 7c 7d 7e error interno 7g servidor", tree) is None
