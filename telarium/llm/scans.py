@@ -8,7 +8,11 @@ text is put together into paragraphs.
 from __future__ import annotations
 
 import math
+import mmap
+import os
 import re
+import tempfile
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -34,7 +38,7 @@ _WEAK = {("n", "u"), ("u", "n"), ("h", "b"), ("b", "h"), ("o", "c"), ("c", "o"),
 
 #: A linked neighbour is this much more frequent; with a weak edit, this much.
 RATIO, WEAK_RATIO = 8, 40
-#: Words of the vocabulary are seen this often, and make this share of all words; so it has at most 1 / SHARE words.
+#: Words of the vocabulary are seen this often. Those that make this share of all words are kept in memory, so 1 / SHARE at most; the others lie in files.
 MIN_COUNT, SHARE = 4, 1 / (1 << 20)
 #: Vectors: words that have one, buckets of context words, dimensions, window, rounds, negative samples.
 WORDS, CONTEXTS, DIM, WINDOW, ROUNDS, NEGATIVE = 4096, 1024, 24, 2, 60, 5
@@ -99,6 +103,71 @@ def edits(word: str, depth: int = 2) -> dict[str, bool]:
     return out
 
 
+class Counts(dict):
+    """Counts of words: the frequent ones in memory, the others in two files in the folder all executors share, which workers map.
+
+    The files hold the words in the order of their bytes, and of each word the place where it ends and its count.
+    """
+
+    def __init__(self, head: dict[str, int], path: str) -> None:
+        super().__init__(head)
+        self.path = path
+
+    def get(self, w: str, default=None):
+        n = super().get(w)
+        n = _rare(self.path, w.encode("utf-8", "replace")) if n is None else n
+        return default if n is None else n
+
+    def __contains__(self, w) -> bool:
+        return self.get(w) is not None
+
+
+@lru_cache(8)
+def _mapped(path: str) -> tuple[mmap.mmap, memoryview]:
+    if "://" in path:
+        from pyspark import SparkFiles
+
+        path = SparkFiles.get(path.rpartition("/")[2])
+    with open(f"{path}.words", "rb") as a, open(f"{path}.index", "rb") as b:
+        return mmap.mmap(a.fileno(), 0, access=mmap.ACCESS_READ), memoryview(mmap.mmap(b.fileno(), 0, access=mmap.ACCESS_READ)).cast("q")
+
+
+def _rare(path: str, w: bytes) -> int | None:
+    words, index = _mapped(path)
+    lo, hi = 0, len(index) // 2
+    while lo < hi:
+        k = (lo + hi) // 2
+        at = words[index[2 * k - 2] if k else 0:index[2 * k]]
+        if at == w:
+            return index[2 * k + 1]
+        lo, hi = (k + 1, hi) if at < w else (lo, k)
+    return None
+
+
+def _counts(df: DataFrame, bound: int, least: int) -> dict[str, int]:
+    """The counts (w, n) of least or more; those under bound, if there are any, go row by row into files."""
+    from telarium.session import local_path, shared_dir
+
+    spark, got = df.sparkSession, df.where(F.col("n") >= max(bound, least)).toPandas()
+    head = dict(zip(got.w, got.n.astype(int)))
+    rest = df.where((F.col("n") >= least) & (F.col("n") < bound) & (F.col("w") != "")).orderBy("w") if bound > least else None
+    if rest is None or rest.isEmpty():
+        return head
+    url = f"{shared_dir(spark)}/counts-{uuid.uuid4().hex}"
+    path = local_path(url)
+    here = path if "://" not in path else f"{tempfile.mkdtemp()}/{url.rpartition('/')[2]}"
+    os.makedirs(os.path.dirname(here), exist_ok=True)
+    end = 0
+    with open(f"{here}.words", "wb") as a, open(f"{here}.index", "wb") as b:
+        for w, n in rest.toLocalIterator(prefetchPartitions=True):
+            end += a.write(w.encode())
+            b.write(end.to_bytes(8, "little") + n.to_bytes(8, "little"))
+    if here != path:
+        for kind in ("words", "index"):  # executors keep their own copy
+            spark.sparkContext.addFile(f"{here}.{kind}")
+    return Counts(head, path)
+
+
 class Reader:
     """Links words to the vocabulary."""
 
@@ -386,8 +455,8 @@ def labels(lines: DataFrame) -> DataFrame:
     return lines.where("label IS NOT NULL AND source_pdf IS NOT NULL").select("source_pdf", "label").distinct().join(known, "label").groupBy("source_pdf").agg(F.collect_list("label").alias("labels"))
 
 
-def item_strips(items: DataFrame) -> set[str]:
-    """Skeletons of what follows the last point of items, if it repeats and SHARE of all items or more have it; so at most 1 / SHARE of them."""
+def item_strips(items: DataFrame) -> dict[str, int]:
+    """Counts of the skeletons of what follows the last point of items, if it repeats."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -399,11 +468,11 @@ def item_strips(items: DataFrame) -> set[str]:
 
     counts = settle(items.select("text").mapInArrow(run, "skel string, n long").groupBy("skel").agg(F.sum("n").alias("n")))
     total = counts.where("skel = ''").agg(F.sum("n")).first()[0] or 0
-    return {r.skel for r in counts.where((F.col("skel") != "") & (F.col("n") >= max(2, int(total * SHARE)))).collect()}
+    return _counts(counts.where("skel != ''").withColumnRenamed("skel", "w"), int(total * SHARE), 2)
 
 
 def vocabulary(texts: DataFrame) -> dict[str, int]:
-    """Words and compounds seen MIN_COUNT times or more that make SHARE of all words or more. Halves of divided words don't count."""
+    """Counts of the words and compounds seen MIN_COUNT times or more. Halves of divided words don't count."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n: Counter = Counter()
@@ -431,8 +500,7 @@ def vocabulary(texts: DataFrame) -> dict[str, int]:
 
     counts = settle(counts)
     total = counts.agg(F.sum("n")).first()[0] or 0
-    got = counts.where(F.col("n") >= max(MIN_COUNT, int(total * SHARE))).toPandas()
-    return dict(zip(got.w, got.n.astype(int)))
+    return _counts(counts, int(total * SHARE), MIN_COUNT)
 
 
 def skip_grams(texts: DataFrame, vocab: dict[str, int]) -> dict[str, np.ndarray]:
@@ -495,7 +563,7 @@ def read(pages: DataFrame, item_tables: list[tuple[str, DataFrame, str, str]]) -
 
     pages(page_id, source_pdf, pdf_page, text); item_tables: (name, table, id column, column of lists). Null and empty texts, lists
     and items give no rows of noise; a null or empty page has no text either. Statistics cover all rows. What workers
-    get is bounded: the vocabulary by SHARE, the vectors by WORDS, the rest by the numbers in their functions. Files of any
+    get in memory is bounded: the vocabulary and the strips by SHARE, the vectors by WORDS, the rest by the numbers in their functions. Files of any
     number of pages are spread over tasks: pages are handled one by one and meet their file's running lines in a join.
     """
     from telarium.session import settle
@@ -507,7 +575,7 @@ def read(pages: DataFrame, item_tables: list[tuple[str, DataFrame, str, str]]) -
     texts = pages.select("text").unionByName(items.select("text")) if items is not None else pages.select("text")
     vocab = vocabulary(texts)
     vectors = skip_grams(texts, vocab)
-    shared = pages.sparkSession.sparkContext.broadcast((vocab, vectors, item_strips(items) if items is not None else set()))
+    shared = pages.sparkSession.sparkContext.broadcast((vocab, vectors, item_strips(items) if items is not None else {}))
 
     def batch(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows) if rows else [[]] * 5, _NOISE_ARROW.types)], schema=_NOISE_ARROW)

@@ -99,3 +99,18 @@ def test_vectors_place_words_of_one_context_together(spark):
 
     cos = lambda x, y: float(v[x] @ v[y] / np.linalg.norm(v[x]) / np.linalg.norm(v[y]))
     assert cos("perro", "gato") > cos("perro", "azul") + 0.2 and cos("rojo", "verde") > cos("rojo", "zorro") + 0.2
+
+
+def test_counts_do_not_depend_on_the_size(spark, monkeypatch):
+    """Words under the share that is kept in memory have their true counts."""
+    df = spark.createDataFrame([("mercado " * 70 + "ñandú " * 9 + "zona " * 5,), ("mercadc " * 60 + "uno " * 3 + "el " * 3000,)], "text string")
+    want = {"mercado": 70, "ñandú": 9, "zona": 5, "mercadc": 60, "el": 3000}
+    assert S.vocabulary(df) == want
+    monkeypatch.setattr(S, "SHARE", 0.1)  # as in a corpus of many words
+    v = S.vocabulary(df)
+    assert dict.keys(v) == {"el"} and {w: v.get(w) for w in want} == want
+    assert "uno" not in v and v.get("zzz", 0) == 0 and v.get("", 0) == 0
+    assert S.Reader(v).link("mercadc") == () and S.Reader(v).link("zon@") == ("zona",)
+    items = spark.createDataFrame([("Miden el agua. HISTORIA 7",)] * 2 + [("Leen. LENGUA 8",)] + [("Miden el agua.",)] * 97, "text string")
+    strips = S.item_strips(items)
+    assert S.skeleton("HISTORIA 7") in strips and S.skeleton("LENGUA 8") not in strips
