@@ -122,6 +122,19 @@ class Counts(dict):
         return self.get(w) is not None
 
 
+class Strips:
+    """Skeletons of strips, and the length of the longest."""
+
+    def __init__(self, strips: dict[str, int], longest: int) -> None:
+        self.strips, self.longest = strips, longest
+
+    def __len__(self) -> int:
+        return self.longest
+
+    def __contains__(self, x: str) -> bool:
+        return x in self.strips
+
+
 @lru_cache(8)
 def _mapped(path: str) -> tuple[mmap.mmap, memoryview]:
     if "://" in path:
@@ -405,16 +418,28 @@ def _strip_furniture(text: str, strips: set[str]) -> str | None:
     if not any(c.isdigit() for c in (s[label.end():] if label else s)):
         return None
     at = label.end() if label else 0
+    if not strips:
+        return None
+    longest = strips.longest if isinstance(strips, Strips) else max(map(len, strips))
     words = list(re.finditer(r"\S+", s))
-    for i, w in enumerate(words[:40]):
+    skel = [skeleton(w[0]) for w in words]  # that of a part is those of its words, with blanks between
+    digit = [any(c.isdigit() for c in w[0]) for w in words]
+    for i, w in enumerate(words):
         if w.start() < at and w.start() != 0:
             continue
         if not (s[w.start()].isdigit() or s[w.start()].isupper()):
             continue
-        for k in range(min(7, len(words) - i), 0, -1):
-            part = s[w.start():words[i + k - 1].end()]
-            if any(c.isdigit() for c in part) and skeleton(part) in strips:
-                return (s[:w.start()].rstrip() + " " + s[words[i + k - 1].end():].lstrip()).strip()
+        part, has, end = "", False, None
+        for k in range(i, len(words)):
+            has = has or digit[k]
+            if skel[k]:
+                part = f"{part} {skel[k]}" if part else skel[k]
+                if len(part) > longest:
+                    break
+            if has and part in strips:
+                end = words[k].end()
+        if end is not None:
+            return (s[:w.start()].rstrip() + " " + s[end:].lstrip()).strip()
     return None
 
 
@@ -422,7 +447,7 @@ def _strip_furniture(text: str, strips: set[str]) -> str | None:
 
 
 def page_lines(pages: DataFrame) -> DataFrame:
-    """(source_pdf, page_id, skel, low, next_low, number, label): short lines of pages that could repeat."""
+    """(source_pdf, page_id, skel, low, next_low, number, label): the lines of pages, of any length."""
     arrow = pa.schema([("source_pdf", pa.string()), ("page_id", pa.int64()), ("skel", pa.string()), ("low", pa.bool_()), ("next_low", pa.bool_()), ("number", pa.int64()), ("is_page", pa.bool_()), ("label", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -431,8 +456,6 @@ def page_lines(pages: DataFrame) -> DataFrame:
             for pid, pdf, page, text in zip(*(b.column(i).to_pylist() for i in range(4))):
                 lines = [x for x in lines_of(text or "") if x]
                 for i, x in enumerate(lines):
-                    if len(x) > 90:
-                        continue
                     nxt = next((y for y in lines[i + 1:i + 3] if number_of(y) is None), "")
                     n = number_of(x)
                     out.append((pdf, pid, skeleton(x), x[:1].islower() or x[:1] == "(" or x[-1:] in ":.;,)", nxt[:1].islower(), n if n is not None and x.isdigit() else None, n is not None and n == page, skeleton(lines[i - 1]) if i and n is not None else None))
@@ -455,8 +478,8 @@ def labels(lines: DataFrame) -> DataFrame:
     return lines.where("label IS NOT NULL AND source_pdf IS NOT NULL").select("source_pdf", "label").distinct().join(known, "label").groupBy("source_pdf").agg(F.collect_list("label").alias("labels"))
 
 
-def item_strips(items: DataFrame) -> dict[str, int]:
-    """Counts of the skeletons of what follows the last point of items, if it repeats."""
+def item_strips(items: DataFrame) -> Strips:
+    """The skeletons of what follows the last point of items, if it repeats."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -468,7 +491,8 @@ def item_strips(items: DataFrame) -> dict[str, int]:
 
     counts = settle(items.select("text").mapInArrow(run, "skel string, n long").groupBy("skel").agg(F.sum("n").alias("n")))
     total = counts.where("skel = ''").agg(F.sum("n")).first()[0] or 0
-    return _counts(counts.where("skel != ''").withColumnRenamed("skel", "w"), int(total * SHARE), 2)
+    longest = counts.where("n >= 2").agg(F.max(F.length("skel"))).first()[0] or 0
+    return Strips(_counts(counts.where("skel != ''").withColumnRenamed("skel", "w"), int(total * SHARE), 2), longest)
 
 
 def vocabulary(texts: DataFrame) -> dict[str, int]:

@@ -114,3 +114,20 @@ def test_counts_do_not_depend_on_the_size(spark, monkeypatch):
     items = spark.createDataFrame([("Miden el agua. HISTORIA 7",)] * 2 + [("Leen. LENGUA 8",)] + [("Miden el agua.",)] * 97, "text string")
     strips = S.item_strips(items)
     assert S.skeleton("HISTORIA 7") in strips and S.skeleton("LENGUA 8") not in strips
+
+
+def test_strips_of_any_place_and_length(reader):
+    far = " ".join(["Miden el mercado"] * 20)
+    strip = "Programa de Estudio de la Historia del Mercado y del Oficio 7"
+    for s in (strip, "HISTORIA 7"):
+        seen = s.replace("7", "148")
+        assert S.item_noise(f"{far} {seen} con la ventana.", {S.skeleton(s)}, reader) == (["furniture"], f"{far} con la ventana.")
+    part = "El Rn 3. • (años) 5º\u00a0B12 ﬁn—Σ de cl|a´, l1 “x”"
+    assert S.skeleton(part) == " ".join(filter(None, map(S.skeleton, part.split())))
+
+
+def test_long_running_lines(spark):
+    head = "Programa de Estudio de Historia, Geografía y Ciencias Sociales para la Educación Media de todo el país"
+    assert len(head) > 90
+    pages = spark.createDataFrame([(i, "a.pdf", i, f"{head}\nTexto {chr(97 + i)} propio.\n{chr(97 + i) * 100}.") for i in range(6)], "page_id long, source_pdf string, pdf_page int, text string")
+    assert [r.furniture for r in S.furniture(S.page_lines(pages), pages).collect()] == [[S.skeleton(head)]]
