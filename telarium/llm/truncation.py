@@ -50,7 +50,7 @@ _STATE = r"""
 SELECT *, size(w) AS n, element_at(w, -1) AS last,
   CASE WHEN size(w) >= 3 THEN xxhash64(w[size(w) - 3], w[size(w) - 2], w[size(w) - 1]) END AS tri,
   CASE WHEN marked OR e = '\uFFFD' THEN 'cut'
-       WHEN dotted THEN 'dots'
+       WHEN dotted THEN CASE WHEN e RLIKE r'[.!?．\)»"”\]]' THEN 'shut' ELSE 'dots' END
        WHEN e RLIKE r'[.!?．\)»"”\]]' THEN 'closed'
        WHEN e RLIKE r'[:,;«“¿¡\(\[–-]' OR unclosed THEN 'cut'
        ELSE 'open' END AS state
@@ -92,20 +92,21 @@ SELECT source, measure, len FROM (
 _FOUND = """
 SELECT s.table_name, s.row_id, s.source,
   CASE WHEN s.state = 'cut' THEN 'stop'
-       WHEN s.state = 'dots' THEN CASE WHEN h.source IS NOT NULL THEN 'dots' END
+       WHEN s.state IN ('dots', 'shut') AND h.habit THEN 'dots'
+       WHEN s.state = 'shut' THEN NULL
        WHEN s.chars_limit IS NOT NULL OR s.bytes_limit IS NOT NULL THEN 'limit'
        WHEN t.inside >= :frequent AND t.ending <= :never * (t.inside + t.ending) THEN 'trigram'
        WHEN c.inside >= :frequent AND c.ending <= :never * (c.inside + c.ending) THEN 'word'
        WHEN c.inside + c.ending <= :stub * p.longer THEN 'stub' END AS reason
 FROM :limited s
-LEFT JOIN :habits h ON s.source = h.source
+LEFT JOIN :habits h ON s.source <=> h.source
 LEFT JOIN :trigrams t ON s.tri = t.tri
 LEFT JOIN :words c ON s.last = c.word
 LEFT JOIN :stubs p ON s.last = p.stub"""
 
 
-# Plain points are a mark only where a source often marks what it cut.
-_HABITS = "SELECT source FROM :state WHERE source IS NOT NULL GROUP BY source HAVING count_if(marked) >= :least AND count_if(marked) >= :habit * count(*)"
+# Plain points are a mark only where a source often marks what it cut; those behind an open end are such marks themselves.
+_HABITS = "SELECT source, true AS habit FROM :state GROUP BY source HAVING count_if(marked OR state = 'dots') >= :least AND count_if(marked OR state = 'dots') >= :share * count(*)"
 
 _LIMITED = """
 SELECT o.*, a.len AS chars_limit, b.len AS bytes_limit FROM :open o
@@ -158,7 +159,7 @@ def cuts(tables: list[tuple[str, DataFrame]]) -> DataFrame:
     words = settle(_sql(spark, _COUNTS, state=state))
     stubs = _sql(spark, _STUBS, words=words, frequent=FREQUENT)
     limits = settle(_sql(spark, _LIMITS, state=state, least=PILE_ROWS, pile=PILE))
-    habits = _sql(spark, _HABITS, state=state, least=PILE_ROWS, habit=HABIT)
+    habits = _sql(spark, _HABITS, state=state, least=PILE_ROWS, share=HABIT)
     limited = _sql(spark, _LIMITED, open=open_, limits=limits)
     return _sql(spark, _FOUND, limited=limited, habits=habits, trigrams=trigrams, words=words, stubs=stubs, frequent=FREQUENT, never=NEVER, stub=STUB).where("reason IS NOT NULL")
 
@@ -166,7 +167,7 @@ def cuts(tables: list[tuple[str, DataFrame]]) -> DataFrame:
 def _filter(spark: SparkSession, open_: DataFrame) -> str:
     """FILTER_WORDS words as an SQL array; bit (h mod FILTER_WORDS, h >> 40 mod 62) is set if an open text ends with trigram h."""
     got = _sql(
-        spark, "SELECT CAST(pmod(tri, :size) AS INT) AS i, bit_or(shiftleft(1L, CAST(pmod(shiftright(tri, 40), 62) AS INT))) AS b FROM :open WHERE state = 'open' AND tri IS NOT NULL GROUP BY 1",
+        spark, "SELECT CAST(pmod(tri, :size) AS INT) AS i, bit_or(shiftleft(1L, CAST(pmod(shiftright(tri, 40), 62) AS INT))) AS b FROM :open WHERE state IN ('open', 'dots') AND tri IS NOT NULL GROUP BY 1",
         open=open_, size=FILTER_WORDS,
     ).collect()
     bits = {r.i: r.b for r in got}

@@ -61,3 +61,15 @@ def test_long_text_and_repeated_rows(spark):
     rows += [(900, "b", long + "y la", None, None)] * 2 + [(901, "b", long + "social.", None, None)]
     got = [r.row_id for r in X.cuts([("t", table(spark, rows))]).collect()]
     assert got.count(900) == 2 and got.count(901) == 0
+
+
+def test_three_points(spark):
+    """Open ends before three points are judged as without them; they make a habit, also of the null source."""
+    r = random.Random(5)
+    rows = [(i, "a", sentence(r), None, None) for i in range(800)]
+    rows += [(900, "a", "Analizar el agua fuerte para describir la tabla social de...", None, None), (901, "a", sentence(r)[:-1] + "...", None, None), (902, "a", sentence(r) + "...", None, None)]
+    rows += [(1000 + 100 * k + i, s, sentence(r)[:-1] + "..." if i < 12 else sentence(r), None, None) for k, s in enumerate(["b", None]) for i in range(40)]
+    rows += [(1300, "b", sentence(r) + "...", None, None)]  # cut behind a sentence
+    got = {x.row_id: x.reason for x in X.cuts([("t", table(spark, rows))]).collect()}
+    assert 900 in got and 901 not in got and 902 not in got
+    assert {i: k for i, k in got.items() if i >= 1000} == {1000 + 100 * k + i: "dots" for k in range(2) for i in range(12)} | {1300: "dots"}
