@@ -58,12 +58,12 @@ def _compat(ch: str) -> str | None:
 def _table() -> tuple[dict[str, str], set[str]]:
     """(what each character is replaced by, the ignorable ones), by rule over the code space."""
     put, gone = dict(SIGNS), set()
-    for cp in range(0x80, 0x20000):
+    for cp in (*range(0x80, 0x20000), *range(0xE0000, 0xE0200)):
         ch = chr(cp)
         cat = U.category(ch)
         if cat == "Zs":
             put[ch] = " "
-        elif cat == "Cf" or cp in (0x34F, 0x115F, 0x1160, 0x17B4, 0x17B5, 0x3164, 0xFFA0) or 0xFE00 <= cp <= 0xFE0F or 0x180B <= cp <= 0x180E:
+        elif cat == "Cf" or cp in (0x34F, 0x115F, 0x1160, 0x17B4, 0x17B5, 0x3164, 0xFFA0) or 0xFE00 <= cp <= 0xFE0F or 0x180B <= cp <= 0x180E or 0xE0100 <= cp <= 0xE01EF:
             gone.add(ch)
         elif cat == "Cc" and cp != 0x85:
             gone.add(ch)

@@ -45,3 +45,7 @@ def test_empty(spark):
 
 def test_case_comes_back():
     assert L._cased("valle", "VALLE") == "VALLE" and L._cased("valla", "Valle") == "Valla" and L._cased("valla", "VALLE") == "VALLA"
+
+
+def test_ignorables_beyond_the_first_planes():
+    assert L.consistent("".join("va" + chr(c) + "lle " for c in (0xE0001, 0xE0061, 0xE007F, 0xE0100, 0xE01EF))) == "valle " * 5
