@@ -1,29 +1,31 @@
 """Template residue and error-page text.
 
-Messages (sentences of lines) descend a prefix tree of fixed depth: number of tokens, signal words
-with their places, first token; where a leaf is full, one token more. In a leaf they join the template most
-like them, whose differing tokens become wildcards. The patterns of the verdict read any word of a message, so
-only messages equal to the one a template was judged by take over its verdict; all others are judged by
-their own text. Unresolved slots are looked for separately, in every message that isn't about such things.
+Message templates are mined over the whole corpus. Messages (sentences of lines) descend a prefix tree of fixed depth: number
+of tokens, then the first three signal words with their places. In a leaf, tokens that a good share of its messages has at their
+place are the template's constants, others are wildcards; so a template follows from counts over all rows, in whatever
+order and tasks they come. Words that the patterns of the verdict read are never wildcards. Each template is judged once,
+and its verdict goes back to its messages and from these to the documents in joins. Unresolved slots are looked for
+separately, in every message that isn't about such things.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Share of equal tokens from which a message joins a template.
-ALIKE = 0.5
-#: Templates of one leaf; beyond, messages descend by their next token.
-CHILDREN = 100
-#: Templates that one task keeps before it starts over.
-MEMORY = 200_000
-WILD = "<*>"
+#: A token is a constant of its leaf's templates if this share of the leaf's messages has it at its place; so a place has 1 / CONSTANT of them at most.
+CONSTANT = 0.1
+#: Signal words of a path in the tree.
+DEPTH = 3
+#: Words that a sentence without any function word has at least if it is filler.
+BABBLE = 8
+#: A wildcard; a word to the patterns, but none that they know.
+WILD = "__"
 
 # Words that messages of sites, fillers and forms are made of, lower case and without accents.
 SIGNALS = frozenset(
@@ -54,11 +56,18 @@ _ERROR = re.compile(
     r"please (?:log|sign) in|inicie sesion para (?:ver|continuar|acceder)"
 )
 _THING = r"(?:javascript|scripts?|scripting|cookies|guiones)"
+
+
+def _gap(n: int) -> str:
+    """Up to n words."""
+    return rf"(?:\W+\w+){{0,{n}}}?\W+"
+
+
 _SCRIPT = re.compile(
-    rf"(?:habilit\w+|activ[ea]r?\w*|enable|turn on|needs?|necesita|requires?|requiere|depends on|allow|permita)\b.{{0,40}}\b{_THING}|"
-    rf"{_THING}\b.{{0,30}}(?:desactivad|bloquead|disabled|blocked|required|is off)|^\W*(?:div\W+)?sin\b.{{0,30}}{_THING}\b.{{0,30}}no es posible|"
-    rf"esperando a .{{0,30}}{_THING}|navegador no permite ejecutar|depends on el visor|"
-    rf"(?:habilit\w+|enable|sin|esperando a|needs?|necesita|depends on)\b.{{0,20}}visor con {_THING}"
+    rf"(?:habilit\w+|activ[ea]r?\w*|enable|turn on|needs?|necesita|requires?|requiere|depends on|allow|permita)\b{_gap(5)}{_THING}|"
+    rf"{_THING}\b{_gap(4)}(?:desactivad|bloquead|disabled|blocked|required|is off)|^\W*(?:div\W+)?sin\b{_gap(4)}{_THING}\b{_gap(4)}no es posible|"
+    rf"esperando a\b{_gap(4)}{_THING}|navegador no permite ejecutar|depends on el visor|"
+    rf"(?:habilit\w+|enable|sin|esperando a|needs?|necesita|depends on)\b{_gap(3)}visor con {_THING}"
 )
 _FILLER = re.compile(
     r"lorem ipsum|texto de relleno para|\bsample text (?:goes|here)|parrafo de (?:ejemplo|muestra|prueba) que sera|^\W*(?:\S+ ){0,8}?aqui va (?:la|el|un|una) (?:descripcion|texto|titulo|contenido)|"
@@ -134,9 +143,9 @@ def verdict(template: str) -> str | None:
 
 
 def babble(tokens: list[str]) -> bool:
-    """A sentence of five words or more in plain Latin letters without one function word."""
+    """A sentence of BABBLE words or more in plain Latin letters without one function word."""
     words = [t.rstrip(".,;") for t in tokens]
-    return len(words) >= 5 and all(_LATIN.fullmatch(w) for w in words) and sum(w[:1].isupper() for w in words) <= 1 and not any(w.lower() in _FUNCTION for w in words)
+    return len(words) >= BABBLE and all(_LATIN.fullmatch(w) for w in words) and sum(w[:1].isupper() for w in words) <= 1 and not any(w.lower() in _FUNCTION for w in words)
 
 
 def slot(message: str) -> bool:
@@ -156,122 +165,137 @@ def slot(message: str) -> bool:
     return False
 
 
-class Tree:
-    """Templates in a prefix tree of fixed depth: number of tokens, signal words and places, first token."""
-
-    def __init__(self) -> None:
-        self.leaves: dict[tuple, list[list]] = {}
-        self.n = 0
-
-    def add(self, tokens: list[str], said: str | None = None) -> list:
-        """The template [tokens, count, verdict, text judged, counts of verdicts] that the message joins. said: its text, if the tokens aren't."""
-        if self.n > MEMORY:  # judged again when met
-            self.leaves.clear()
-            self.n = 0
-        signals = tuple([(i, w) for i, t in enumerate(tokens) if (w := t.strip(".,;:…!?¡¿()[]<>/«»\"'")) in SIGNALS])
-        key = (len(tokens), signals, tokens[0] if not tokens[0][:1].isdigit() else WILD)
-        best = None
-        for t in [*tokens, None]:  # below all tokens lie equal messages only
-            leaf = self.leaves.setdefault(key, [])
-            most = ALIKE * len(tokens)
-            for x in leaf:
-                same = sum(map(str.__eq__, x[0], tokens))
-                if same >= most:
-                    best, most = x, same + 1
-            if best is not None:
-                break
-            if len(leaf) < CHILDREN:
-                said = " ".join(tokens) if said is None else said
-                leaf.append(best := [tokens, 0, verdict(said), said, Counter()])
-                self.n += 1
+# Words and beginnings of words that the patterns of the verdict read.
+_READ = frozenset(w for p in (_ERROR, _SCRIPT, _FILLER, _JSON, _ABOUT) for w in re.findall("[a-z]+", re.sub(r"\\[A-Za-z]", " ", p.pattern.lower()))) | SIGNALS
+_STEMS = tuple(w for w in _READ if len(w) > 4)
+_RUN = re.compile(r"[^\W_]+")
+
+
+@lru_cache(1 << 16)
+def _shown(word: str) -> str:
+    """The word, or a wildcard if no pattern reads it."""
+    return word if word in _READ or word.isdigit() or word.startswith(_STEMS) else WILD
+
+
+def shape(message: str) -> str:
+    """The message with wildcards for all words that the verdict doesn't read; its verdict is that of the message."""
+    return _RUN.sub(lambda m: _shown(m[0]), message)
+
+
+def path(tokens: list[str]) -> str:
+    """The leaf of a message: number of tokens, first signal words with their places."""
+    out = [str(len(tokens))]
+    for i, t in enumerate(tokens):
+        if t.strip(".,;:…!?¡¿()[]<>/«»\"'") in SIGNALS:
+            out.append(f"{i}:{t.strip('.,;:…!?¡¿()[]<>/«»')}")
+            if len(out) > DEPTH:
                 break
-            key += (t,)
-        if best[0] != tokens:
-            best[0] = [a if a == b else WILD for a, b in zip(best[0], tokens)]
-        best[1] += 1
-        return best
+    return " ".join(out)
 
-    def verdict(self, tokens: list[str], said: str | None = None) -> str | None:
-        """The verdict of the message's own text, counted in its template."""
-        said = " ".join(tokens) if said is None else said
-        t = self.add(tokens, said)
-        kind = t[2] if said == t[3] else verdict(said)
-        t[4][kind] += 1
-        return kind
+
+_MAY_SLOT = re.compile(r"[{$@%\[]|&lt;|<[\w%<]|__\w|#\w+#|:\s*«|\bnull\b|undefined|NaN|None|\bnil\b|\b[Cc]lic|TODO|XXXX|NOMBRE_|POR DEF|\((?:completar|rellenar|agregar|por def)")
 
 
-def judge(text: str | None, tree: Tree) -> str | None:
-    """Why a document is residue: slot, error, script or filler; None if it isn't.
+def parse(text: str | None) -> tuple[set[str], set[str]]:
+    """(messages of a text that have a signal word, kinds of residue seen without templates: slot, filler).
 
-    Messages without any signal word all lie in one branch of the tree, whose verdict is that there is none.
+    Messages are in lower case without accents, with single blanks, all digits as 0. What follows an instruction whose object
+    goes on to the end of its line is not looked at.
     """
-    found = None
+    said: set[str] = set()
+    kinds: set[str] = set()
     if not text:
-        return None
+        return said, kinds
     for line, low in zip(text.split("\n"), _plain(text).split("\n")):
         may_slot, whole = _MAY_SLOT.search(line), None
         for j, m in enumerate(messages(low.strip())):
-            words, kind = m.encode("utf-8", "replace").translate(_APART).split(), None
+            words = m.encode("utf-8", "replace").translate(_APART).split()
             if not _SIGNALS.isdisjoint(words):
-                kind = tree.verdict(m.split())
-            if kind is None and (may_slot or len(words) >= 5 and _FUNCTIONS.isdisjoint(words)):
+                said.add(" ".join(re.sub(r"\d", "0", m).split()))
+            empty = len(words) >= BABBLE and _FUNCTIONS.isdisjoint(words)
+            if may_slot or empty:
                 whole = whole or messages(line.strip())
-                said = whole[j] if j < len(whole) else line
-                if may_slot and slot(said):
-                    kind = "slot"
-                elif len(words) >= 5 and _FUNCTIONS.isdisjoint(words) and babble(said.split()):
-                    kind = "filler"
-            found = found or kind
+                own = whole[j] if j < len(whole) else line
+                if may_slot and slot(own):
+                    kinds.add("slot")
+                elif empty and babble(own.split()):
+                    kinds.add("filler")
             if ":" in m and _INTRODUCES.search(m):
                 break
-    return found
-
-
-_MAY_SLOT = re.compile(r"[{$@%\[]|&lt;|<[\w%<]|__\w|#\w+#|:\s*«|\bnull\b|undefined|NaN|None|\bnil\b|\b[Cc]lic|TODO|XXXX|NOMBRE_|POR DEF|\((?:completar|rellenar|agregar|por def)")
+    return said, kinds
 
 
-def residue(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, reason) of the documents that hold residue.
+def judge(text: str | None) -> str | None:
+    """Why a text is residue if no template has constants but what the verdict reads: the first of error, filler, script, slot; None if it isn't."""
+    said, kinds = parse(text)
+    return min(kinds | {k for m in said if (k := verdict(shape(m)))}, default=None)
 
-    Null, empty and blank texts are none. Repeated rows are judged alike and all come out. The verdict of a message
-    depends on its own text only, so it is the same however rows fall into tasks; only the two named
-    columns are read, texts are read whole, and nothing is shuffled.
-    """
 
+def _map(df: DataFrame, schema: str, arrow: pa.Schema, rows) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = Tree()
         for b in batches:
-            got = [(i, k) for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) if t and (k := judge(t, tree))]
-            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in got], pa.int64()), pa.array([k for _, k in got], pa.string())], ["doc_id", "reason"])
+            out = rows(*(c.to_pylist() for c in b.columns))
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out) if out else [[]] * len(arrow.types), arrow.types)], schema=arrow)
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, reason string")
+    return df.mapInArrow(run, schema)
 
 
-def templates(docs: DataFrame, text_col: str = "text", min_count: int = 3) -> DataFrame:
-    """(template, n, verdict): the message templates of all texts with signal words, mined within tasks and merged by equal form; those seen ``min_count`` times or more.
+def signal_messages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, kind, leaf, said, shape): a row for each different message with signal words of a text, and one for each kind seen without templates."""
+    arrow = pa.schema([("doc_id", pa.int64()), ("kind", pa.string()), ("leaf", pa.string()), ("said", pa.string()), ("shape", pa.string())])
+
+    def rows(ids: list, texts: list) -> list[tuple]:
+        out = []
+        for i, t in zip(ids, texts):
+            said, kinds = parse(t)
+            out += [(i, k, None, None, None) for k in kinds]
+            out += [(i, None, path(m.split()), m, shape(m)) for m in said]
+        return out
+
+    return _map(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where(F.col("text").isNotNull()), "doc_id long, kind string, leaf string, said string, shape string", arrow, rows)
 
-    A template whose messages have several verdicts has a row for each.
+
+def mine(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(messages: said, n, template; templates: template, n, verdict), both settled, from a settled table of signal_messages.
+
+    n is the number of documents with the message, summed over the messages of a template. Equal messages are combined within tasks
+    before any shuffle. A leaf's constants are at most 1 / CONSTANT for each of its places.
     """
+    from telarium.session import settle
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = Tree()
+    distinct = settle(found.where("said IS NOT NULL").groupBy("leaf", "said", "shape").agg(F.count("*").alias("n")))
+    places = distinct.select("leaf", "n", F.posexplode(F.arrays_zip(F.split("said", " ").alias("t"), F.split("shape", " ").alias("s"))).alias("at", "x"))
+    seen = places.groupBy("leaf", "at", F.col("x.t").alias("t")).agg(F.sum("n").alias("n"), F.max(F.col("x.t") != F.col("x.s")).alias("open"))
+    size = distinct.groupBy("leaf").agg(F.sum("n").alias("all"))
+    fixed = seen.where("open AND n > 1").join(size, "leaf").where(F.col("n") >= F.col("all") * CONSTANT).groupBy("leaf").agg(F.collect_set(F.concat_ws(" ", "at", "t")).alias("fixed"))
+    token = lambda x, i: F.when(F.array_contains("fixed", F.concat_ws(" ", i.cast("string"), x["t"])), x["t"]).otherwise(x["s"])
+    built = F.when(F.col("fixed").isNull(), F.col("shape")).otherwise(F.array_join(F.transform(F.arrays_zip(F.split("said", " ").alias("t"), F.split("shape", " ").alias("s")), token), " "))
+    said = settle(distinct.join(fixed, "leaf", "left").select("said", "n", built.alias("template")))
+    arrow = pa.schema([("template", pa.string()), ("n", pa.int64()), ("verdict", pa.string())])
+    judged = _map(said.groupBy("template").agg(F.sum("n").alias("n")), "template string, n long, verdict string", arrow, lambda ts, ns: [(t, n, verdict(t)) for t, n in zip(ts, ns)])
+    return said, settle(judged)
 
-        def rows():
-            t = [(" ".join(x[0]), n, kind) for leaf in tree.leaves.values() for x in leaf for kind, n in x[4].items()]
-            return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*t) if t else [[]] * 3, (pa.string(), pa.int64(), pa.string()))], ["template", "n", "verdict"])
 
-        for b in batches:
-            for text in b.column(0).to_pylist():
-                for line in (text or "").split("\n"):
-                    for m in messages(line.strip()):
-                        said = " ".join(_plain(m).split())
-                        tokens = re.sub(r"\d+", "#", said).split()
-                        if not _SIGNALS.isdisjoint(" ".join(tokens).encode("utf-8", "replace").translate(_APART).split()):
-                            tree.verdict(tokens, said)
-                        if tree.n > MEMORY // 2:  # before the tree starts over, else its counts would be lost
-                            yield rows()
-                            tree.leaves.clear()
-                            tree.n = 0
-        yield rows()
-
-    return docs.select(F.col(text_col).cast("string")).mapInArrow(run, "template string, n long, verdict string").groupBy("template", "verdict").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count).select("template", "n", "verdict")
+def residue(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, reason) of the documents that hold residue; of several reasons the first of error, filler, script, slot.
+
+    Null, empty and blank texts are none. Repeated ids come out once. Templates are mined over all rows and judged once, so the
+    result is the same however rows are ordered and fall into tasks; only the two named columns are read, texts are read
+    whole. Messages in many documents meet their verdict in a broadcast, all others in a join.
+    """
+    from telarium.operators.joining import lookup
+    from telarium.session import settle
+
+    found = settle(signal_messages(docs, id_col, text_col))
+    said, judged = mine(found)
+    bad = settle(said.join(judged.where("verdict IS NOT NULL").select("template", "verdict"), "template").select("said", "n", "verdict"))
+    total = bad.agg(F.sum("n")).first()[0] or 0
+    told = lookup(found.where("said IS NOT NULL").select("doc_id", "said"), bad, ["said"], "n", total).select("doc_id", F.col("verdict").alias("kind"))
+    return found.where("kind IS NOT NULL").select("doc_id", "kind").unionByName(told).groupBy("doc_id").agg(F.min("kind").alias("reason"))
+
+
+def templates(docs: DataFrame, text_col: str = "text", min_count: int = 3) -> DataFrame:
+    """(template, n, verdict): the message templates of all texts with signal words that ``min_count`` documents or more have."""
+    from telarium.session import settle
+
+    return mine(settle(signal_messages(docs.select(F.lit(None).cast("long").alias("doc_id"), F.col(text_col).alias("text")), "doc_id", "text")))[1].where(F.col("n") >= min_count)
