@@ -2,8 +2,8 @@
 
 Word trigrams are counted inside texts and at the ends of closed texts. The last trigram of a text
 without a closing point is looked up; where it is frequent inside but almost never ends a text, the text is
-cut. Trigrams that are too rare to tell leave the question to the last word: one that hardly ever ends a
-text, or that is no word but the beginning of frequent ones. Lengths at which a source's texts pile
+cut. Trigrams that are too rare to tell back off to the last two words and then to the last one, judged in the same way;
+a last word may also be none, but the beginning of frequent ones. Lengths at which a source's texts pile
 up, and marks that stand for missing text, tell the rest.
 """
 
@@ -15,8 +15,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A trigram or word is frequent inside from this count on.
-FREQUENT = 20
+#: A trigram or word is frequent inside from this count on; a pair, which says less of what may follow, from that one on.
+FREQUENT, FREQUENT_PAIR = 20, 200
 #: Share of its occurrences that a trigram or word may end texts and yet almost never ends one.
 NEVER = 0.002
 #: A word that is this much rarer than the words that begin with it is no word.
@@ -25,7 +25,7 @@ STUB = 0.03
 PILE, PILE_ROWS = 8, 10
 #: A source that marks this share of its texts as cut has the habit.
 HABIT = 0.05
-#: Words (of 62 bits) of the filter that keeps trigrams which no open text ends with from being shuffled.
+#: Words (of 62 bits) of the filter that keeps trigrams and pairs which no open text ends with from being shuffled.
 FILTER_WORDS = 1 << 14
 
 _WORDS = r"regexp_extract_all(lower(body), r'[\p{L}\p{N}]+', 0)"
@@ -34,7 +34,9 @@ _MARK = r"(?:…|\[\s*(?:…|\.\.\.)\s*\]|\(\s*(?:…|\.\.\.)\s*\)|(?:\.\.\.|…
 # What reprints append to a closed text.
 _DECOR = r"(?:(?<=[.\s\)»”!])[;!]|!|(?<!\.)\.\.\.|\s)+$"
 
-#: Marks and what reprints append are looked for in so many last characters.
+# The signs that marks and reprints are made of.
+_SIGNS = " \t\n\r\f\x0b!;.…()[]»”"
+#: Marks and what reprints append are looked for in all signs at the end and so many characters before them, more than the words of a mark have.
 TAIL = 48
 
 _BASE = rf"""
@@ -42,13 +44,15 @@ SELECT table_name, row_id, source, chars, bytes, marked, dotted, right(body, 1)
   length(body) - length(replace(body, '(', '')) > length(body) - length(replace(body, ')', ''))
     OR length(body) - length(replace(body, '«', '')) > length(body) - length(replace(body, '»', '')) AS unclosed, {_WORDS} AS w
 FROM (
-  SELECT *, concat(left(statement, chars - {TAIL}), regexp_replace(regexp_replace(tail, r'{_MARK}', ''), r'{_DECOR}', '')) AS body, tail RLIKE r'{_MARK}' AS marked, tail RLIKE r'\.\.\.\s*$' AS dotted
-  FROM (SELECT *, length(statement) AS chars, octet_length(statement) AS bytes, right(statement, {TAIL}) AS tail FROM :rows WHERE statement RLIKE r'\S')
+  SELECT *, concat(left(statement, ahead), regexp_replace(regexp_replace(tail, r'{_MARK}', ''), r'{_DECOR}', '')) AS body, tail RLIKE r'{_MARK}' AS marked, tail RLIKE r'\.\.\.\s*$' AS dotted
+  FROM (SELECT *, chars - length(tail) AS ahead FROM (
+    SELECT *, length(statement) AS chars, octet_length(statement) AS bytes, right(statement, length(statement) - length(rtrim('{_SIGNS}', statement)) + {TAIL}) AS tail FROM :rows WHERE statement RLIKE r'\S'))
 )"""
 
 _STATE = r"""
 SELECT *, size(w) AS n, element_at(w, -1) AS last,
   CASE WHEN size(w) >= 3 THEN xxhash64(w[size(w) - 3], w[size(w) - 2], w[size(w) - 1]) END AS tri,
+  CASE WHEN size(w) >= 2 THEN xxhash64(w[size(w) - 2], w[size(w) - 1]) END AS bi,
   CASE WHEN marked OR e = '\uFFFD' THEN 'cut'
        WHEN dotted THEN CASE WHEN e RLIKE r'[.!?．\)»"”\]]' THEN 'shut' ELSE 'dots' END
        WHEN e RLIKE r'[.!?．\)»"”\]]' THEN 'closed'
@@ -56,14 +60,16 @@ SELECT *, size(w) AS n, element_at(w, -1) AS last,
        ELSE 'open' END AS state
 FROM :base WHERE size(w) > 0"""
 
-_TRIGRAMS = """
-SELECT tri, count_if(NOT ends) AS inside, count_if(ends) AS ending
+_GRAMS = """
+SELECT gram, count_if(NOT ends) AS inside, count_if(ends) AS ending
 FROM (
-  SELECT g.h AS tri, g.ends FROM :state
-  LATERAL VIEW explode(CASE WHEN n >= 3 THEN transform(sequence(0, n - 3), i -> named_struct('h', xxhash64(w[i], w[i + 1], w[i + 2]), 'ends', i = n - 3)) END) x AS g
+  SELECT g.h AS gram, g.ends FROM :state
+  LATERAL VIEW explode(concat(
+    CASE WHEN n >= 3 THEN transform(sequence(0, n - 3), i -> named_struct('h', xxhash64(w[i], w[i + 1], w[i + 2]), 'ends', i = n - 3)) ELSE array() END,
+    CASE WHEN n >= 2 THEN transform(sequence(0, n - 2), i -> named_struct('h', xxhash64(w[i], w[i + 1]), 'ends', i = n - 2)) ELSE array() END)) x AS g
   WHERE (NOT g.ends OR state = 'closed') AND getbit(element_at(:filter, CAST(pmod(g.h, :size) AS INT) + 1), CAST(pmod(shiftright(g.h, 40), 62) AS INT)) = 1
 )
-GROUP BY tri"""
+GROUP BY gram"""
 
 _COUNTS = """
 SELECT word, sum(inside) AS inside, sum(ending) AS ending
@@ -94,13 +100,15 @@ SELECT s.table_name, s.row_id, s.source,
   CASE WHEN s.state = 'cut' THEN 'stop'
        WHEN s.state IN ('dots', 'shut') AND h.habit THEN 'dots'
        WHEN s.state = 'shut' THEN NULL
-       WHEN s.chars_limit IS NOT NULL OR s.bytes_limit IS NOT NULL THEN 'limit'
        WHEN t.inside >= :frequent AND t.ending <= :never * (t.inside + t.ending) THEN 'trigram'
+       WHEN b.inside >= :pair AND b.ending <= :never * (b.inside + b.ending) THEN 'bigram'
        WHEN c.inside >= :frequent AND c.ending <= :never * (c.inside + c.ending) THEN 'word'
-       WHEN c.inside + c.ending <= :stub * p.longer THEN 'stub' END AS reason
+       WHEN c.inside + c.ending <= :stub * p.longer THEN 'stub'
+       WHEN s.chars_limit IS NOT NULL OR s.bytes_limit IS NOT NULL THEN 'limit' END AS reason
 FROM :limited s
 LEFT JOIN :habits h ON s.source <=> h.source
-LEFT JOIN :trigrams t ON s.tri = t.tri
+LEFT JOIN :grams t ON coalesce(s.tri, xxhash64(s.row_id, s.table_name)) = t.gram AND s.tri IS NOT NULL
+LEFT JOIN :grams b ON coalesce(s.bi, xxhash64(s.row_id, s.table_name)) = b.gram AND s.bi IS NOT NULL
 LEFT JOIN :words c ON s.last = c.word
 LEFT JOIN :stubs p ON s.last = p.stub"""
 
@@ -146,7 +154,7 @@ def cuts(tables: list[tuple[str, DataFrame]]) -> DataFrame:
     """(table_name, row_id, source, reason) of every cut text of the tables (row_id, source, statement).
 
     Null and blank texts are no cases; a null source is a source of its own. Rows of equal id are judged one by one.
-    Statistics are counted over all rows and combined within tasks. Only trigrams that some open text may end with are
+    Statistics are counted over all rows and combined within tasks. Only trigrams and pairs that some open text may end with are
     shuffled; the filter for that has a fixed size and, when it is full, lets all pass.
     """
     from telarium.session import settle
@@ -154,20 +162,20 @@ def cuts(tables: list[tuple[str, DataFrame]]) -> DataFrame:
     rows = rows_of(tables)
     spark = rows.sparkSession
     state = _sql(spark, _STATE, base=settle(_sql(spark, _BASE, rows=rows)))
-    open_ = settle(_sql(spark, "SELECT table_name, row_id, source, chars, bytes, state, last, tri FROM :state WHERE state <> 'closed'", state=state))
-    trigrams = _sql(spark, _TRIGRAMS, state=state, filter=_filter(spark, open_), size=FILTER_WORDS)
+    open_ = settle(_sql(spark, "SELECT table_name, row_id, source, chars, bytes, state, last, tri, bi FROM :state WHERE state <> 'closed'", state=state))
+    grams = settle(_sql(spark, _GRAMS, state=state, filter=_filter(spark, open_), size=FILTER_WORDS))
     words = settle(_sql(spark, _COUNTS, state=state))
     stubs = _sql(spark, _STUBS, words=words, frequent=FREQUENT)
     limits = settle(_sql(spark, _LIMITS, state=state, least=PILE_ROWS, pile=PILE))
     habits = _sql(spark, _HABITS, state=state, least=PILE_ROWS, share=HABIT)
     limited = _sql(spark, _LIMITED, open=open_, limits=limits)
-    return _sql(spark, _FOUND, limited=limited, habits=habits, trigrams=trigrams, words=words, stubs=stubs, frequent=FREQUENT, never=NEVER, stub=STUB).where("reason IS NOT NULL")
+    return _sql(spark, _FOUND, limited=limited, habits=habits, grams=grams, words=words, stubs=stubs, frequent=FREQUENT, pair=FREQUENT_PAIR, never=NEVER, stub=STUB).where("reason IS NOT NULL")
 
 
 def _filter(spark: SparkSession, open_: DataFrame) -> str:
-    """FILTER_WORDS words as an SQL array; bit (h mod FILTER_WORDS, h >> 40 mod 62) is set if an open text ends with trigram h."""
+    """FILTER_WORDS words as an SQL array; bit (h mod FILTER_WORDS, h >> 40 mod 62) is set if an open text ends with the trigram or pair h."""
     got = _sql(
-        spark, "SELECT CAST(pmod(tri, :size) AS INT) AS i, bit_or(shiftleft(1L, CAST(pmod(shiftright(tri, 40), 62) AS INT))) AS b FROM :open WHERE state IN ('open', 'dots') AND tri IS NOT NULL GROUP BY 1",
+        spark, "SELECT CAST(pmod(h, :size) AS INT) AS i, bit_or(shiftleft(1L, CAST(pmod(shiftright(h, 40), 62) AS INT))) AS b FROM :open LATERAL VIEW explode(array(tri, bi)) x AS h WHERE state IN ('open', 'dots') AND h IS NOT NULL GROUP BY 1",
         open=open_, size=FILTER_WORDS,
     ).collect()
     bits = {r.i: r.b for r in got}

@@ -73,3 +73,17 @@ def test_three_points(spark):
     got = {x.row_id: x.reason for x in X.cuts([("t", table(spark, rows))]).collect()}
     assert 900 in got and 901 not in got and 902 not in got
     assert {i: k for i, k in got.items() if i >= 1000} == {1000 + 100 * k + i: "dots" for k in range(2) for i in range(12)} | {1300: "dots"}
+
+
+def test_trailing_blanks_of_any_length(spark):
+    rows, cut = data()
+    rows += [(910, "a", sentence(random.Random(1)) + " " * 60, None, None), (911, "b", "Analizar el agua fuerte (ver más)" + " " * 80, None, None), (912, "a", sentence(random.Random(2)) + " ;" * 50, None, None)]
+    got = {r.row_id: r.reason for r in X.cuts([("t", table(spark, rows))]).collect()}
+    assert got[911] == "stop" and 910 not in got and 912 not in got
+
+
+def test_ends_are_judged_by_their_trigrams(spark):
+    """What ends an open text elsewhere stands inside only; without the counts of trigrams and shorter ends nothing would be found."""
+    rows, cut = data()
+    got = {r.row_id: r.reason for r in X.cuts([("t", table(spark, rows))]).collect()}
+    assert {got[i] for i in range(600, 640)} <= {"trigram", "bigram", "word"} and "trigram" in got.values()
