@@ -83,7 +83,7 @@ def test_trailing_blanks_of_any_length(spark):
 
 
 def test_ends_are_judged_by_their_trigrams(spark):
-    """What ends an open text elsewhere stands inside only; without the counts of trigrams and shorter ends nothing would be found."""
-    rows, cut = data()
-    got = {r.row_id: r.reason for r in X.cuts([("t", table(spark, rows))]).collect()}
-    assert {got[i] for i in range(600, 640)} <= {"trigram", "bigram", "word"} and "trigram" in got.values()
+    """A pair that often ends texts stands behind one word inside only: no shorter end and no other rule could tell."""
+    rows = [(i, "a", f"El grupo {w} usa mapa rural siempre y luego dibuja mapa rural.", None, None) for i, w in enumerate(["uno", "dos", "tres", "seis"] * 15)]
+    rows += [(100, "a", "El grupo mayor usa mapa rural", None, None), (101, "a", "El grupo mayor dibuja mapa rural", None, None)]
+    assert {r.row_id: r.reason for r in X.cuts([("t", table(spark, rows))]).collect()} == {100: "trigram"}
