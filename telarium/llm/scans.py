@@ -1,8 +1,8 @@
 """Noise in text from scanned pages: divided words, misread characters, running headers and page numbers.
 
-Skip-gram vectors are learned from the words of the corpus; rare words are linked to frequent ones that
-plausible glyph edits lead to, and the context decides between several; then furniture is removed and the
-text is put together into paragraphs.
+Skip-gram vectors are learned from the words of the corpus, as sums of vectors of their letter n-grams, so rare words have one
+too. Each distinct word is linked once to the frequent words that plausible glyph edits lead to and whose vectors are near;
+the context decides between several; then furniture is removed and the text is put together into paragraphs.
 """
 
 from __future__ import annotations
@@ -11,14 +11,14 @@ import math
 import mmap
 import os
 import re
-import tempfile
 import uuid
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,8 +40,14 @@ _WEAK = {("n", "u"), ("u", "n"), ("h", "b"), ("b", "h"), ("o", "c"), ("c", "o"),
 RATIO, WEAK_RATIO = 8, 40
 #: Words of the vocabulary are seen this often. Those that make this share of all words are kept in memory, so 1 / SHARE at most; the others lie in files.
 MIN_COUNT, SHARE = 4, 1 / (1 << 20)
-#: Vectors: words that have one, buckets of context words, dimensions, window, rounds, negative samples.
-WORDS, CONTEXTS, DIM, WINDOW, ROUNDS, NEGATIVE = 4096, 1024, 24, 2, 60, 5
+#: Longer tokens are no words.
+LONGEST = 64
+#: Vectors: words that have one of their own, buckets of context words on each side and of letter n-grams, dimensions, window, rounds, negative samples.
+WORDS, CONTEXTS, GRAMS, DIM, WINDOW, ROUNDS, NEGATIVE = 2048, 1024, 8192, 24, 2, 100, 5
+#: Least cosine of a word's vector and that of a neighbour it is linked to, where both have one.
+NEAR = 0.3
+#: Bits of the filter in front of a file of words, for each word.
+FILTER_BITS = 16
 #: A line is furniture if it stands on this share of its file's pages, and on so many.
 REPEATED, PAGES = 0.4, 2
 
@@ -53,20 +59,29 @@ _LIGATURE = re.compile(r"([^\W\d_][ﬁﬂ]) +(?=[a-záéíóúñü])")
 _LOOSE = re.compile(r"([^\W\d_][^\s]*?) +(-)[ \t]*$")
 _NUMBER = re.compile(r"^\W*(?:p[áa]g(?:ina)?s?\.?)?\W*(\d+)(?:\s+(?:de|/)\s+\d+)?\W*$")
 _FOLD = str.maketrans({"á": "a", "é": "c", "í": "i", "ó": "o", "ú": "u", "ü": "u", "ñ": "n", "0": "o", "1": "i", "!": "i", "|": "i", "l": "i", "5": "s", "@": "o", "$": "s", "9": "g", "e": "c", "6": "b", "f": "t"})
+_DIGIT = re.compile(r"\d")
+_ALONE = re.compile(r"(?<![^\W\d_])\d+(?![^\W\d_])")
+_OTHER = re.compile(r"[^\w#|:;.,()\[\]–-]+")
+_SEEN = re.compile(r"[^\W_]|�")
+_PAGE = re.compile(r"[Pp]ag[1!|l]na|[Pp][áa´]+g[i1!|l]n[a@]|[Pp]�gina|[Pp]ágin@")
 
 
 def skeleton(line: str) -> str:
     """What is left of a line when case, accents, numbers and glyphs that are taken for one another don't count."""
-    s = re.sub(r"(?<![^\W\d_])\d+(?![^\W\d_])", "#", line.strip().lower())
+    s = line.strip().lower()
+    if _DIGIT.search(s):
+        s = _ALONE.sub("#", s)
     for a, b in (("rn", "m"), ("cl", "d"), ("ii", "u"), ("li", "h"), ("\\/", "v"), ("´", ""), ("�", "")):
         s = s.replace(a, b)
-    s = s.translate(_FOLD).replace("a", "o")
-    return re.sub(r"\s+", " ", re.sub(r"[^\w#|:;.,()\[\]–-]+", " ", s)).strip()
+    return " ".join(_OTHER.sub(" ", s.translate(_FOLD).replace("a", "o")).split())
 
 
 def number_of(line: str) -> int | None:
     """The number of a line that is a page number at most."""
-    m = _NUMBER.match(re.sub(r"[Pp]ag[1!|l]na|[Pp][áa´]+g[i1!|l]n[a@]|[Pp]�gina|[Pp]ágin@", "página", line.strip()).lower().replace("ﬁ", "fi")) if len(line) < 40 else None
+    if not _DIGIT.search(line) or not (first := _SEEN.search(line)):
+        return None
+    core = line[first.start():len(line) - _SEEN.search(line[::-1]).start()]
+    m = _NUMBER.match(_PAGE.sub("página", core).lower().replace("ﬁ", "fi")) if len(core) < 40 else None
     return int(m[1]) if m and len(m[1]) < 10 else None
 
 
@@ -95,33 +110,45 @@ def edits(word: str, depth: int = 2) -> dict[str, bool]:
                         step(v, k, left - 1)
                 at = w.find(a, at + 1)
 
+    if len(word) > LONGEST:
+        return out
     odd = len(_ODD.findall(word))
     step(word, False, depth if odd > 1 else 1)
-    if odd and depth > 1 and len(out) < 400:
+    if odd and depth > 1:
         for v in [v for v in list(out) if not _ODD.search(v)]:
             step(v, out[v], 1)
     return out
 
 
-class Counts(dict):
-    """Counts of words: the frequent ones in memory, the others in two files in the folder all executors share, which workers map.
+class Store(dict):
+    """Words with a text each: the frequent ones in memory, the others in files in the folder all executors share, which workers map.
 
-    The files hold the words in the order of their bytes, and of each word the place where it ends and its count.
+    The files hold the words in the order of their bytes, of each the places where it and its text end, and a filter
+    that most words without a text don't pass.
     """
 
-    def __init__(self, head: dict[str, int], path: str) -> None:
+    def __init__(self, head: dict[str, str], path: str | None, parts: list[tuple[str, bytes]]) -> None:
         super().__init__(head)
-        self.path = path
+        self.path, self.parts = path, parts
 
     def get(self, w: str, default=None):
-        n = super().get(w)
-        n = _rare(self.path, w.encode("utf-8", "replace")) if n is None else n
-        return default if n is None else n
+        v = super().get(w)
+        if v is None and self.parts:
+            v = _rare(self.path, self.parts, w.encode("utf-8", "replace"))
+        return default if v is None else v
 
     def __contains__(self, w) -> bool:
         return self.get(w) is not None
 
 
+class Counts(Store):
+    """A store whose texts are counts."""
+
+    def get(self, w: str, default=None):
+        v = super().get(w)
+        return default if v is None else int(v)
+
+
 class Strips:
     """Skeletons of strips, and the length of the longest."""
 
@@ -135,59 +162,138 @@ class Strips:
         return x in self.strips
 
 
-@lru_cache(8)
-def _mapped(path: str) -> tuple[mmap.mmap, memoryview]:
+@lru_cache(256)
+def _mapped(path: str, part: str) -> tuple[mmap.mmap, memoryview, mmap.mmap]:
     if "://" in path:
         from pyspark import SparkFiles
 
         path = SparkFiles.get(path.rpartition("/")[2])
-    with open(f"{path}.words", "rb") as a, open(f"{path}.index", "rb") as b:
-        return mmap.mmap(a.fileno(), 0, access=mmap.ACCESS_READ), memoryview(mmap.mmap(b.fileno(), 0, access=mmap.ACCESS_READ)).cast("q")
+    files = []
+    for kind in ("words", "index", "filter"):
+        with open(f"{path}/{part}.{kind}", "rb") as f:
+            files.append(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ))
+    return files[0], memoryview(files[1]).cast("q"), files[2]
 
 
-def _rare(path: str, w: bytes) -> int | None:
-    words, index = _mapped(path)
+def _rare(path: str, parts: list[tuple[str, bytes]], w: bytes) -> str | None:
+    lo, hi = 0, len(parts)
+    while hi - lo > 1:  # the last part that begins with w or before
+        k = (lo + hi) // 2
+        lo, hi = (lo, k) if parts[k][1] > w else (k, hi)
+    if parts[lo][1] > w:
+        return None
+    words, index, bits = _mapped(path, parts[lo][0])
+    h = xxhash.xxh3_64_intdigest(w)
+    size = len(bits) * 8
+    for at in (h % size, (h >> 32) % size):
+        if not bits[at >> 3] >> (at & 7) & 1:
+            return None
     lo, hi = 0, len(index) // 2
     while lo < hi:
         k = (lo + hi) // 2
-        at = words[index[2 * k - 2] if k else 0:index[2 * k]]
+        begin = index[2 * k - 1] if k else 0
+        at = words[begin:index[2 * k]]
         if at == w:
-            return index[2 * k + 1]
+            return words[index[2 * k]:index[2 * k + 1]].decode()
         lo, hi = (k + 1, hi) if at < w else (lo, k)
     return None
 
 
-def _counts(df: DataFrame, bound: int, least: int) -> dict[str, int]:
-    """The counts (w, n) of least or more; those under bound, if there are any, go row by row into files."""
+def store(df: DataFrame, head: DataFrame, kind: type[Store] = Store) -> Store:
+    """The texts (w, v) of both tables: those of head come into memory, the rows of df are written to files by the tasks that hold them."""
     from telarium.session import local_path, shared_dir
 
-    spark, got = df.sparkSession, df.where(F.col("n") >= max(bound, least)).toPandas()
-    head = dict(zip(got.w, got.n.astype(int)))
-    rest = df.where((F.col("n") >= least) & (F.col("n") < bound) & (F.col("w") != "")).orderBy("w") if bound > least else None
-    if rest is None or rest.isEmpty():
-        return head
-    url = f"{shared_dir(spark)}/counts-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    url = f"{shared_dir(spark)}/words-{uuid.uuid4().hex}"
     path = local_path(url)
-    here = path if "://" not in path else f"{tempfile.mkdtemp()}/{url.rpartition('/')[2]}"
-    os.makedirs(os.path.dirname(here), exist_ok=True)
-    end = 0
-    with open(f"{here}.words", "wb") as a, open(f"{here}.index", "wb") as b:
-        for w, n in rest.toLocalIterator(prefetchPartitions=True):
-            end += a.write(w.encode())
-            b.write(end.to_bytes(8, "little") + n.to_bytes(8, "little"))
-    if here != path:
-        for kind in ("words", "index"):  # executors keep their own copy
-            spark.sparkContext.addFile(f"{here}.{kind}")
-    return Counts(head, path)
+    if "://" in path:
+        raise ValueError("the shared folder must be mounted where the workers run")
+    arrow = pa.schema([("part", pa.string()), ("first", pa.binary())])
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, first, end, hashes = uuid.uuid4().hex, None, 0, []
+        os.makedirs(path, exist_ok=True)
+        with open(f"{path}/{part}.words", "wb") as a, open(f"{path}/{part}.index", "wb") as b:
+            for batch in batches:
+                for w, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    w = w.encode("utf-8", "replace")
+                    first = w if first is None else first
+                    hashes.append(xxhash.xxh3_64_intdigest(w))
+                    mid = end + a.write(w)
+                    end = mid + a.write(v.encode())
+                    b.write(mid.to_bytes(8, "little") + end.to_bytes(8, "little"))
+        if first is not None:
+            bits = np.zeros(-(-len(hashes) * FILTER_BITS // 8), np.uint8)
+            h = np.array(hashes, np.uint64)
+            for at in (h % np.uint64(len(bits) * 8), (h >> np.uint64(32)) % np.uint64(len(bits) * 8)):
+                np.bitwise_or.at(bits, (at >> np.uint64(3)).astype(np.int64), (1 << (at & np.uint64(7)).astype(np.int64)).astype(np.uint8))
+            bits.tofile(f"{path}/{part}.filter")
+            yield pa.RecordBatch.from_arrays([pa.array([part]), pa.array([first], pa.binary())], schema=arrow)
+
+    got = head.toPandas()
+    parts = df.where(F.col("w") != "").select("w", "v").repartitionByRange("w").sortWithinPartitions("w").mapInArrow(write, "part string, first binary").collect()
+    return kind(dict(zip(got.w, got.v)), path, sorted(((r.part, bytes(r.first)) for r in parts), key=lambda x: x[1]))
+
+
+def counts(df: DataFrame, bound: int, least: int) -> Counts:
+    """The counts (w, n) of least or more; those under bound in files."""
+    df = df.select("w", "n", F.col("n").cast("string").alias("v")).where(F.col("n") >= least)
+    return store(df.where(F.col("n") < bound), df.where(F.col("n") >= bound), Counts)
+
+
+class Vectors:
+    """Vectors of words: the sum of one of their own, if they have one, and the mean of those of their letter n-grams. And those of contexts."""
+
+    def __init__(self, own: dict[str, np.ndarray], grams: np.ndarray, contexts: np.ndarray) -> None:
+        self.own, self.grams, self.contexts = own, grams, contexts
+        self.number = {w: i for i, w in enumerate(own)}
+        self._memo: dict[str, np.ndarray] = {}
+
+    def __bool__(self) -> bool:
+        return bool(self.own)
+
+    def __contains__(self, w: str) -> bool:
+        return w in self.own
+
+    def __getitem__(self, w: str) -> np.ndarray:
+        v = self._memo.get(w)
+        if v is None:
+            v = self.grams[letter_grams(w)].mean(0)
+            v = v + self.own[w] if w in self.own else v
+            if len(self._memo) > 1 << 15:
+                self._memo.clear()
+            self._memo[w] = v
+        return v
+
+    def near(self, a: str, b: str) -> float:
+        """Cosine of two words; 1 where nothing is known of one."""
+        return self.cosine(self[a], self[b], 1.0)
+
+    @staticmethod
+    def cosine(x: np.ndarray, y: np.ndarray, unknown: float = 0.0) -> float:
+        n = float(np.sqrt((x @ x) * (y @ y)))
+        return float(x @ y) / n if n else unknown
+
+    def context(self, left: list[str], right: list[str]) -> np.ndarray | None:
+        """Sum of the vectors of what stands around a word; None if nothing is known of it."""
+        at = [self.number[c] % CONTEXTS for c in left[-WINDOW:] if c in self.number] + [CONTEXTS + self.number[c] % CONTEXTS for c in right[:WINDOW] if c in self.number]
+        return self.contexts[at].sum(0) if at else None
+
+
+def letter_grams(w: str) -> list[int]:
+    """Buckets of the runs of three and four letters of a word between its ends."""
+    b = f"<{w}>"
+    return [xxhash.xxh32_intdigest(b[i:i + n]) % GRAMS for n in (3, 4) for i in range(max(1, len(b) - n + 1))]
 
 
 class Reader:
-    """Links words to the vocabulary."""
+    """Links words to the vocabulary. links: those of all words of the texts, made before; without them they are made when they are needed."""
 
-    def __init__(self, vocabulary: dict[str, int], vectors: dict[str, np.ndarray] | None = None) -> None:
-        self.n, self.vec = vocabulary, vectors or {}
-        self.link = lru_cache(1 << 17)(self._link)
-        self.fine = lru_cache(1 << 17)(self._fine)
+    def __init__(self, vocabulary: dict[str, int], vectors: Vectors | None = None, links: Store | None = None) -> None:
+        self.n, self.vec, self.links = vocabulary, vectors, links
+        self.fresh = lru_cache(1 << 16)(self._link)
+        self.link = self.fresh if links is None else lru_cache(1 << 17)(lambda w: tuple(self.links.get(w, "").split()))
+        self.fine = lru_cache(1 << 18)(self._fine)
 
     def _link(self, word: str) -> tuple[str, ...]:
         """Frequent neighbours that word may be misread from, the likeliest first; none if it is a word."""
@@ -201,61 +307,66 @@ class Reader:
             if not n or _ODD.search(v):
                 continue
             if n >= (1 if odd else WEAK_RATIO if weak else RATIO) * max(own, 1) and (odd or len(v) > 3 or n > 50 * max(own, 1)):
-                found.append((weak, -n, v))
+                if not self.vec or self.vec.near(word, v) >= NEAR:
+                    found.append((weak, -n, v))
         return tuple(v for _, _, v in sorted(found))
 
-    def correct(self, word: str, context: list[str]) -> str | None:
-        """The word that was printed, or None if word is no misreading. Context decides between neighbours, and whether a word that is known stays."""
+    def correct(self, word: str, context: tuple[list[str], list[str]] = ([], []), link: Callable | None = None) -> str | None:
+        """The word that was printed, or None if word is no misreading. The context (words before and behind) decides between neighbours, and whether a word that is known stays."""
         low = word.lower()
         if "-" in low and low not in self.n:
             parts = low.split("-")
-            got = [self.correct(p, context) if p else None for p in parts]
+            got = [self.correct(p, context, link) if p else None for p in parts]
             return "-".join(g or p for g, p in zip(got, parts)) if any(got) else None
-        options = self.link(low)
+        options = (link or self.link)(low)
         if not options:
             return None
-        rivals = [*options[:8], low] if low in self.vec and not _ODD.search(low) else list(options[:8])
-        if len(rivals) > 1 and self.vec:
-            near = [self.vec[c] for c in context if c in self.vec]
-            if near:
-                mean = np.sum(near, axis=0)
-                score = lambda v: 0.25 * math.log(self.n.get(v, 1)) + (float(mean @ self.vec[v]) / (np.linalg.norm(mean) * np.linalg.norm(self.vec[v]) + 1e-9) if v in self.vec else 0)
-                best = max(rivals, key=score)
-                return None if best == low else best
+        if self.vec and (around := self.vec.context(*context)) is not None:
+            best = max(options, key=lambda v: math.log(self.n.get(v, 1)) + float(around @ self.vec[v]))
+            if low in self.vec and not _ODD.search(low):
+                fits = lambda v: 0.25 * math.log(self.n.get(v, 1)) + self.vec.cosine(around, self.vec[v])
+                return None if fits(low) > fits(best) else best
+            return best
         return options[0]
 
     def _fine(self, word: str) -> bool:
         """No context can make word a misreading: nothing is linked to it or its parts, and it has no signs."""
-        return not _ODD.search(word) and not any(self.link(p) for p in {word.lower(), *word.lower().split("-")} if p)
+        w = word.strip("-–'’*•›>·")
+        return not _ODD.search(w) and not any(self.link(p) for p in {w.lower(), *w.lower().split("-")} if p)
 
-    def misread(self, word: str, context: list[str]) -> bool:
+    def misread(self, word: str, context: tuple[list[str], list[str]] = ([], []), link: Callable | None = None) -> bool:
         """word has misread characters: it is linked, or is an unknown word of letters with signs between them."""
         w = word.strip("-–'’*•›>·")
-        if self.fine(w):
+        if link is None and self.fine(word):
             return False
         if sum(c.isalpha() for c in w) < 2:
-            return len(w) == 2 and any(c in "@!|$" for c in w) and bool(self.link(w.lower()))
-        if self.correct(w, context):
+            return len(w) == 2 and any(c in "@!|$" for c in w) and bool((link or self.link)(w.lower()))
+        if self.correct(w, context, link):
             return True
         if "�" in w or "´" in w or "?" in w:
             return True
         return bool(re.fullmatch(r"[^\W\d_]*[^\W\d_]{2}(?:[0-9@!|$]|\\/)[^\W\d_]*|[^\W\d_]+(?:[0-9@!|$]|\\/)[^\W\d_]{2,}[^\W\d_]*", w)) and len(w) > 4 and w.lower() not in self.n
 
+    def any_misread(self, words: list[str]) -> bool:
+        """Some word of a line is misread, in the context of what stands around it."""
+        return any(not self.fine(w) and self.misread(w, (words[max(0, j - WINDOW):j], words[j + 1:j + 1 + WINDOW])) for j, w in enumerate(words))
+
     def fix(self, text: str) -> str:
         """text with its misread words corrected, in the case they had."""
-        words = _tokens(text)
+        words = [t.lower() for t in _TOKEN.findall(text)]
+        at = iter(range(len(words)))
 
         def one(m: re.Match) -> str:
-            if sum(c.isalpha() for c in m[0]) < 2:
+            i = next(at)
+            if self.fine(words[i]) or sum(c.isalpha() for c in m[0]) < 2:
                 return m[0]
-            i = words.index(m[0].lower()) if m[0].lower() in words else 0
-            v = self.correct(m[0], words[max(0, i - 3):i] + words[i + 1:i + 4])
+            v = self.correct(m[0], (words[max(0, i - WINDOW):i], words[i + 1:i + 1 + WINDOW]))
             return m[0] if v is None else v.upper() if m[0].isupper() and len(m[0]) > 2 else v.capitalize() if m[0][:1].isupper() else v
 
         return _TOKEN.sub(one, text)
 
     def one_word(self, w: str) -> bool:
-        return bool(self.n.get(w.lower()) or self.link(w.lower()))
+        return bool(self.n.get(w.lower()) or self.fresh(w.lower()))
 
     def divided(self, a: str, b: str, sign: str) -> bool:
         """a and b are halves of one word, not of a compound with a hyphen of its own."""
@@ -265,11 +376,11 @@ class Reader:
         whole, compound = self.n.get(a + b, 0), self.n.get(f"{a}-{b}", 0)
         if whole or compound:
             return whole >= compound
-        if self.link(a + b):
+        if self.fresh(a + b):
             return True
-        if any(self.n.get(x) for x in self.link(f"{a}-{b}")):
+        if any(self.n.get(x) for x in self.fresh(f"{a}-{b}")):
             return False
-        known = lambda w: self.n.get(w, 0) >= MIN_COUNT or bool(self.link(w))
+        known = lambda w: self.n.get(w, 0) >= MIN_COUNT or bool(self.fresh(w))
         return not (known(a) and known(b) and len(a) > 4 and len(b) > 4)
 
 
@@ -306,24 +417,22 @@ def page_noise(text: str, page: int | None, furniture: list[str], labels: set[st
             if a and t and (r.divided(a, t[0], m[2]) if m[0][len(m[1])] != " " else r.one_word(a + t[0])):
                 out.add((i, "hyphen"))
                 whole = a + t[0]
-                context = _tokens(x)[-4:-1] + _tokens(body[nxt])[1:4]
-                fixed = r.correct(whole, context)
-                if fixed or r.misread(whole, context):
+                context = _tokens(x)[:-1][-WINDOW:], _tokens(body[nxt])[1:1 + WINDOW]
+                fixed = r.correct(whole, context, r.fresh)
+                if fixed or r.misread(whole, context, r.fresh):
                     halves = _blame(a, t[0], fixed)
                     out.update((j, "char") for j, bad in zip((i, nxt), halves) if bad)
                 done = (fixed or whole) if not whole[:1].isupper() else (fixed or whole).capitalize()
                 body[i] = x[:m.end(1) - len(a)]
                 body[nxt] = done + body[nxt][t.end():]
                 checked = _TOKEN.findall(x[:m.end(1) - len(a)].lower())
-                rest = True
             else:
-                checked, rest = _TOKEN.findall(x.lower()), False
+                checked = _TOKEN.findall(x.lower())
         else:
-            checked, rest = _TOKEN.findall(x.lower()), False
-        start = 1 if k and (keep[k - 1], "hyphen") in out else 0
-        if start:
-            checked = _TOKEN.findall(lines[i].lower() if not rest else lines[i][:m.end(1) - len(a)].lower())[1:]  # type: ignore[union-attr]
-        bad = any(r.misread(w, checked[max(0, j - 3):j] + checked[j + 1:j + 4]) for j, w in enumerate(checked))
+            checked = _TOKEN.findall(x.lower())
+        if k and (keep[k - 1], "hyphen") in out:  # the word that begins before was judged there
+            checked = checked[1:]
+        bad = r.any_misread(checked)
         if bad:
             out.add((i, "char"))
         joined.append(r.fix(body[i]) if bad else body[i])
@@ -395,8 +504,7 @@ def item_noise(text: str, strips: set[str], r: Reader) -> tuple[list[str], str]:
         return a + b
 
     s = re.sub(r"\s+", " ", _INNER.sub(join, s)).strip()
-    words = _TOKEN.findall(s.lower())
-    if any(r.misread(w, words[max(0, j - 3):j] + words[j + 1:j + 4]) for j, w in enumerate(words)):
+    if r.any_misread(_TOKEN.findall(s.lower())):
         out.add("char")
         s = r.fix(s)
     return sorted(out), head + s
@@ -411,11 +519,11 @@ def _tail(text: str) -> str:
 def _strip_furniture(text: str, strips: set[str]) -> str | None:
     """The item without the header or footer it contains, or None if there is none."""
     tail = _tail(text)
-    if tail and len(tail) < 70 and any(c.isdigit() for c in tail) and not re.search(r"[,;:]$", tail):
+    if tail and _DIGIT.search(tail) and (number_of(tail) is not None or skeleton(tail) in strips):
         return text.rstrip()[:-len(tail)].rstrip()
     s = text.strip()
     label = re.match(r"^\d+\.\d+\s+", s)
-    if not any(c.isdigit() for c in (s[label.end():] if label else s)):
+    if not _DIGIT.search(s, label.end() if label else 0):
         return None
     at = label.end() if label else 0
     if not strips:
@@ -423,7 +531,7 @@ def _strip_furniture(text: str, strips: set[str]) -> str | None:
     longest = strips.longest if isinstance(strips, Strips) else max(map(len, strips))
     words = list(re.finditer(r"\S+", s))
     skel = [skeleton(w[0]) for w in words]  # that of a part is those of its words, with blanks between
-    digit = [any(c.isdigit() for c in w[0]) for w in words]
+    digit = [bool(_DIGIT.search(w[0])) for w in words]
     for i, w in enumerate(words):
         if w.start() < at and w.start() != 0:
             continue
@@ -483,20 +591,20 @@ def item_strips(items: DataFrame) -> Strips:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n = Counter(skeleton(t) for x in b.column(0).to_pylist() if x and (t := _tail(x)) and len(t) < 70 and any(c.isdigit() for c in t))
+            n = Counter(skeleton(t) for x in b.column(0).to_pylist() if x and _DIGIT.search(x) and (t := _tail(x)) and _DIGIT.search(t))
             n[""] = b.num_rows
             yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())], ["skel", "n"])
 
     from telarium.session import settle
 
-    counts = settle(items.select("text").mapInArrow(run, "skel string, n long").groupBy("skel").agg(F.sum("n").alias("n")))
-    total = counts.where("skel = ''").agg(F.sum("n")).first()[0] or 0
-    longest = counts.where("n >= 2").agg(F.max(F.length("skel"))).first()[0] or 0
-    return Strips(_counts(counts.where("skel != ''").withColumnRenamed("skel", "w"), int(total * SHARE), 2), longest)
+    seen = settle(items.select("text").mapInArrow(run, "skel string, n long").groupBy(F.col("skel").alias("w")).agg(F.sum("n").alias("n")))
+    total = seen.where("w = ''").agg(F.sum("n")).first()[0] or 0
+    longest = seen.where("n >= 2").agg(F.max(F.length("w"))).first()[0] or 0
+    return Strips(counts(seen.where("w != ''"), int(total * SHARE), 2), longest)
 
 
-def vocabulary(texts: DataFrame) -> dict[str, int]:
-    """Counts of the words and compounds seen MIN_COUNT times or more. Halves of divided words don't count."""
+def words_of(texts: DataFrame) -> DataFrame:
+    """(w, n): all words and compounds of the texts and how often they are seen. Halves of divided words count 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n: Counter = Counter()
@@ -508,65 +616,111 @@ def vocabulary(texts: DataFrame) -> dict[str, int]:
                     ws = _tokens(line)
                     broken = bool(ws) and ws[-1][-1:] in "-\xad¬"
                     for i, w in enumerate(ws):
-                        if i == 0 and last or w[-1:] in "-\xad¬" or i and ws[i - 1][-1:] in "-\xad¬":
-                            continue
-                        n[w] += 1
+                        k = not (i == 0 and last or w[-1:] in "-\xad¬" or i and ws[i - 1][-1:] in "-\xad¬")
+                        n[w] += k
+                        if not k or not w[0].isalpha() or not w[-1].isalpha():
+                            n[w.strip("-–'’*•›>·")] += 0
                         if "-" in w:
-                            n.update(p for p in w.split("-") if p)
+                            for p in w.split("-"):
+                                n[p] += k
                     last = broken
             if len(n) > 1 << 18:
                 yield flush()
                 n.clear()
         yield flush()
 
-    counts = texts.mapInArrow(run, "w string, n long").groupBy("w").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(run, "w string, n long").groupBy("w").agg(F.sum("n").alias("n")).where("w != ''")
+
+
+def vocabulary(words: DataFrame) -> Counts:
+    """Counts of the words (w, n) seen MIN_COUNT times or more; words: a settled table."""
+    total = words.agg(F.sum("n")).first()[0] or 0
+    return counts(words, int(total * SHARE), MIN_COUNT)
+
+
+def linked(words: DataFrame, vocab: Counts, vectors: Vectors | None) -> Store:
+    """The links of all words (w, n); each word is linked once, whatever the texts it stands in."""
+    shared = words.sparkSession.sparkContext.broadcast((vocab, vectors))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        r = Reader(*shared.value)
+        for b in batches:
+            got = [(w, " ".join(x)) for w in b.column(0).to_pylist() if (x := r._link(w))]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.string()) for c in (zip(*got) if got else [[], []])], ["w", "v"])
+
     from telarium.session import settle
 
-    counts = settle(counts)
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    return _counts(counts, int(total * SHARE), MIN_COUNT)
+    found = settle(words.select("w").repartition(words.sparkSession.sparkContext.defaultParallelism * 2, "w").mapInArrow(run, "w string, v string"))
+    return store(found, found.limit(0))
 
 
-def skip_grams(texts: DataFrame, vocab: dict[str, int]) -> dict[str, np.ndarray]:
-    """Skip-gram vectors of the WORDS most frequent words.
+def skip_grams(texts: DataFrame, vocab: dict[str, int]) -> Vectors | None:
+    """Skip-gram vectors from the WORDS most frequent words, shared by the letter n-grams of all words.
 
-    Pairs (word, bucket of a word at most WINDOW away) are counted over all texts, combined within tasks; the objective with
-    negative samples is then followed in full from the counts, of which there are WORDS x CONTEXTS at most.
+    Pairs (word, side and bucket of a word at most WINDOW away) are counted over all texts, combined within tasks; the objective with
+    negative samples is then followed in full from the counts, of which there are 2 x WORDS x CONTEXTS at most.
     """
-    top = sorted((w for w in vocab if not _ODD.search(w)), key=lambda w: (-vocab[w], w))[:WORDS]
+    top = sorted((w for w in dict.keys(vocab) if not _ODD.search(w)), key=lambda w: (-vocab.get(w), w))[:WORDS]
     if len(top) < 8:
-        return {}
+        return None
     number = {w: i for i, w in enumerate(top)}
     shared = texts.sparkSession.sparkContext.broadcast(number)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, n = shared.value, Counter()
+        number, n = shared.value, np.zeros(len(shared.value) * 2 * CONTEXTS, np.int64)
         for b in batches:
+            ids: list[int] = []
             for text in b.column(0).to_pylist():
-                ids = [number.get(w, -1) for w in _tokens(text or "")]
-                for d in range(1, WINDOW + 1):
-                    n.update((a, c % CONTEXTS) for a, c in zip(ids, ids[d:]) if a >= 0 and c >= 0)
-                    n.update((c, a % CONTEXTS) for a, c in zip(ids, ids[d:]) if a >= 0 and c >= 0)
-        yield pa.RecordBatch.from_arrays([pa.array([w * CONTEXTS + c for w, c in n], pa.int64()), pa.array(list(n.values()), pa.int64())], ["k", "n"])
+                ids += [number.get(w, -1) for w in _tokens(text or "")]
+                ids += [-1] * WINDOW
+            x = np.array(ids, np.int64)
+            for d in range(1, WINDOW + 1):
+                a, c = x[:-d], x[d:]
+                ok = (a >= 0) & (c >= 0)
+                for p, q, side in ((c[ok], a[ok], 0), (a[ok], c[ok], CONTEXTS)):  # what stands before, behind
+                    k, m = np.unique(p * 2 * CONTEXTS + q % CONTEXTS + side, return_counts=True)
+                    n[k] += m
+        k = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(n[k])], ["k", "n"])
 
     got = texts.mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).toPandas()
-    N = np.zeros((len(top), CONTEXTS), np.float32)
+    N = np.zeros((len(top), 2 * CONTEXTS), np.float32)
     k = got.k.to_numpy()
-    N[k // CONTEXTS, k % CONTEXTS] = got.n.to_numpy()
+    N[k // (2 * CONTEXTS), k % (2 * CONTEXTS)] = got.n.to_numpy()
+    return _train(top, N)
+
+
+def _train(top: list[str], N: np.ndarray) -> Vectors:
     rng = np.random.default_rng(7)
-    U, V = (rng.normal(0, 0.1, (n, DIM)).astype(np.float32) for n in N.shape)
+    W, V = (rng.normal(0, 0.1, (n, DIM)).astype(np.float32) for n in N.shape)
+    G = np.zeros((GRAMS, DIM), np.float32)
+    grams = [letter_grams(w) for w in top]
+    which = np.array([g for gs in grams for g in gs])
+    word = np.repeat(np.arange(len(top)), [len(gs) for gs in grams])
+    part = (1 / np.array([len(gs) for gs in grams], np.float32))[word]
+    begin = np.concatenate([[0], np.cumsum([len(gs) for gs in grams])[:-1]])
+    by_gram = np.argsort(which, kind="stable")
+    heads = np.flatnonzero(np.concatenate([[True], np.diff(which[by_gram]) > 0]))
+    used = which[by_gram][heads]
     row, col = N.sum(1, keepdims=True), N.sum(0, keepdims=True) ** 0.75
     noise = NEGATIVE * row * (col / max(col.sum(), 1e-9))
     weight = 1 / np.maximum(N + noise, 1).mean()
-    m = [np.zeros_like(x) for x in (U, V, U, V)]
+    params = (W, V, G)
+    m = [(np.zeros_like(x), np.zeros_like(x)) for x in params]
     for t in range(1, ROUNDS + 1):
+        U = W + np.add.reduceat(G[which], begin, axis=0) * part[begin][:, None]
         p = 1 / (1 + np.exp(-(U @ V.T)))
         g = (noise * p - N * (1 - p)) * weight
-        for x, grad, a, b in ((U, g @ V, 0, 2), (V, g.T @ U, 1, 3)):
-            m[a] = 0.9 * m[a] + 0.1 * grad
-            m[b] = 0.99 * m[b] + 0.01 * grad * grad
-            x -= 0.05 * (m[a] / (1 - 0.9 ** t)) / (np.sqrt(m[b] / (1 - 0.99 ** t)) + 1e-8)
-    return {w: U[i] for w, i in number.items()}
+        dU = g @ V
+        dG = np.zeros_like(G)
+        dG[used] = np.add.reduceat((dU[word] * part[:, None])[by_gram], heads, axis=0)
+        for x, grad, (a, b) in zip(params, (dU, g.T @ U, dG), m):
+            a *= 0.9
+            a += 0.1 * grad
+            b *= 0.99
+            b += 0.01 * grad * grad
+            x -= 0.05 * (a / (1 - 0.9 ** t)) / (np.sqrt(b / (1 - 0.99 ** t)) + 1e-8)
+    return Vectors({w: W[i] for i, w in enumerate(top)}, G, V)
 
 
 _NOISE = "table_name string, row_id long, pos int, noise string, text string"
@@ -587,7 +741,7 @@ def read(pages: DataFrame, item_tables: list[tuple[str, DataFrame, str, str]]) -
 
     pages(page_id, source_pdf, pdf_page, text); item_tables: (name, table, id column, column of lists). Null and empty texts, lists
     and items give no rows of noise; a null or empty page has no text either. Statistics cover all rows. What workers
-    get in memory is bounded: the vocabulary and the strips by SHARE, the vectors by WORDS, the rest by the numbers in their functions. Files of any
+    get in memory is bounded: the vocabulary and the strips by SHARE, the vectors by WORDS and GRAMS; what is rarer, and the links, lies in mapped files. Files of any
     number of pages are spread over tasks: pages are handled one by one and meet their file's running lines in a join.
     """
     from telarium.session import settle
@@ -597,16 +751,17 @@ def read(pages: DataFrame, item_tables: list[tuple[str, DataFrame, str, str]]) -
     lines = settle(page_lines(pages))
     running = settle(furniture(lines, pages).join(labels(lines), "source_pdf", "full_outer"))
     texts = pages.select("text").unionByName(items.select("text")) if items is not None else pages.select("text")
-    vocab = vocabulary(texts)
+    words = settle(words_of(texts))
+    vocab = vocabulary(words)
     vectors = skip_grams(texts, vocab)
-    shared = pages.sparkSession.sparkContext.broadcast((vocab, vectors, item_strips(items) if items is not None else {}))
+    links = linked(words, vocab, vectors)
+    shared = pages.sparkSession.sparkContext.broadcast((vocab, vectors, links, item_strips(items) if items is not None else {}))
 
     def batch(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows) if rows else [[]] * 5, _NOISE_ARROW.types)], schema=_NOISE_ARROW)
 
     def run_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab, vectors, _ = shared.value
-        r = Reader(vocab, vectors)
+        r = Reader(*shared.value[:3])
         for b in batches:
             out = []
             for pid, page, text, fur, lab in zip(*(b.column(i).to_pylist() for i in range(5))):
@@ -617,8 +772,7 @@ def read(pages: DataFrame, item_tables: list[tuple[str, DataFrame, str, str]]) -
             yield batch(out)
 
     def run_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab, vectors, strips = shared.value
-        r = Reader(vocab, vectors)
+        r, strips = Reader(*shared.value[:3]), shared.value[3]
         for b in batches:
             out = []
             for name, rid, pos, text in zip(*(b.column(i).to_pylist() for i in range(4))):
