@@ -86,7 +86,11 @@ def number_of(line: str) -> int | None:
 
 
 def lines_of(text: str) -> list[str]:
-    return [_LIGATURE.sub(r"\1", x.strip("\r \t")) for x in text.split("\n")]
+    return [_ligatures(x.strip("\r \t")) for x in text.split("\n")]
+
+
+def _ligatures(x: str) -> str:
+    return _LIGATURE.sub(r"\1", x) if "ﬁ" in x or "ﬂ" in x else x
 
 
 def _tokens(text: str) -> list[str]:
@@ -409,7 +413,7 @@ def page_noise(text: str, page: int | None, furniture: list[str], labels: set[st
     joined: list[str] = []
     for k, i in enumerate(keep):
         x = body[i]
-        m = _BREAK.search(x) or _LOOSE.search(x)
+        m = (_BREAK.search(x) or _LOOSE.search(x)) if x.rstrip(" \t")[-1:] in ("-", "\xad", "¬") else None
         nxt = keep[k + 1] if k + 1 < len(keep) else None
         if m and nxt is not None:
             a = re.split(r"[\s.,;:()«»¿?\"“”]", m[1])[-1]
@@ -474,19 +478,17 @@ def reflow(lines: list[str]) -> str:
         x = x.strip()
         if not x:
             continue
-        if out and not _ITEM_START.match(x) and not re.search(r"[.:;)?!]$", out[-1]):
-            out[-1] += x if re.search(r"[^\W\d_]-$", out[-1]) else " " + x
-        elif out and not _ITEM_START.match(x) and (x[:1].islower() or x[:1] == "("):
-            out[-1] += " " + x
+        if out and not _ITEM_START.match(x) and (out[-1][-1:] not in ".:;)?!" or x[:1].islower() or x[:1] == "("):
+            out += [x] if out[-1][-1:] == "-" and out[-1][-2:-1].isalpha() else [" ", x]
         else:
-            out.append(x)
-    return "\n".join(out)
+            out += ["\n", x] if out else [x]
+    return "".join(out)
 
 
 def item_noise(text: str, strips: set[str], r: Reader) -> tuple[list[str], str]:
     """(kinds of noise of an item, the item as continuous text)."""
     out: set[str] = set()
-    text = _LIGATURE.sub(r"\1", text)
+    text = _ligatures(text)
     s, cut = text, _strip_furniture(text, strips)
     if cut is not None:
         out.add("furniture")
@@ -503,7 +505,7 @@ def item_noise(text: str, strips: set[str], r: Reader) -> tuple[list[str], str]:
         out.add("hyphen")
         return a + b
 
-    s = re.sub(r"\s+", " ", _INNER.sub(join, s)).strip()
+    s = " ".join((_INNER.sub(join, s) if "-" in s or "\xad" in s or "¬" in s else s).split())
     if r.any_misread(_TOKEN.findall(s.lower())):
         out.add("char")
         s = r.fix(s)
