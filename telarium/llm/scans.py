@@ -94,7 +94,7 @@ def _ligatures(x: str) -> str:
 
 
 def _tokens(text: str) -> list[str]:
-    return [t for t in _TOKEN.findall(text.lower()) if any(c.isalpha() for c in t)]
+    return [t for t in _TOKEN.findall(text.lower()) if t[0].isalpha() or any(c.isalpha() for c in t)]
 
 
 def edits(word: str, depth: int = 2) -> dict[str, bool]:
@@ -298,6 +298,7 @@ class Reader:
         self.fresh = lru_cache(1 << 16)(self._link)
         self.link = self.fresh if links is None else lru_cache(1 << 17)(lambda w: tuple(self.links.get(w, "").split()))
         self.fine = lru_cache(1 << 18)(self._fine)
+        self.plain: set[str] = set()  # words seen to be fine
 
     def _link(self, word: str) -> tuple[str, ...]:
         """Frequent neighbours that word may be misread from, the likeliest first; none if it is a word."""
@@ -353,7 +354,17 @@ class Reader:
 
     def any_misread(self, words: list[str]) -> bool:
         """Some word of a line is misread, in the context of what stands around it."""
-        return any(not self.fine(w) and self.misread(w, (words[max(0, j - WINDOW):j], words[j + 1:j + 1 + WINDOW])) for j, w in enumerate(words))
+        if self.plain.issuperset(words):
+            return False
+        for j, w in enumerate(words):
+            if w in self.plain:
+                continue
+            if self.fine(w):
+                if len(self.plain) < 1 << 18:
+                    self.plain.add(w)
+            elif self.misread(w, (words[max(0, j - WINDOW):j], words[j + 1:j + 1 + WINDOW])):
+                return True
+        return False
 
     def fix(self, text: str) -> str:
         """text with its misread words corrected, in the case they had."""
@@ -362,7 +373,7 @@ class Reader:
 
         def one(m: re.Match) -> str:
             i = next(at)
-            if self.fine(words[i]) or sum(c.isalpha() for c in m[0]) < 2:
+            if words[i] in self.plain or self.fine(words[i]) or sum(c.isalpha() for c in m[0]) < 2:
                 return m[0]
             v = self.correct(m[0], (words[max(0, i - WINDOW):i], words[i + 1:i + 1 + WINDOW]))
             return m[0] if v is None else v.upper() if m[0].isupper() and len(m[0]) > 2 else v.capitalize() if m[0][:1].isupper() else v
@@ -610,22 +621,34 @@ def words_of(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n: Counter = Counter()
-        flush = lambda: pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())], ["w", "n"])
+
+        def flush() -> pa.RecordBatch:
+            for w in list(n):
+                if w and not (w[0].isalpha() and w[-1].isalpha()):
+                    n[w.strip("-–'’*•›>·")] += 0
+            return pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())], ["w", "n"])
+
         for b in batches:
             for text in b.column(0).to_pylist():
                 last = False
                 for line in lines_of(text or ""):
                     ws = _tokens(line)
-                    broken = bool(ws) and ws[-1][-1:] in "-\xad¬"
+                    if not ws:
+                        last = False
+                        continue
+                    if last:
+                        n[ws[0]] += 0
+                    if "-" not in line and "\xad" not in line and "¬" not in line:
+                        n.update(ws[1:] if last else ws)
+                        last = False
+                        continue
                     for i, w in enumerate(ws):
                         k = not (i == 0 and last or w[-1:] in "-\xad¬" or i and ws[i - 1][-1:] in "-\xad¬")
                         n[w] += k
-                        if not k or not w[0].isalpha() or not w[-1].isalpha():
-                            n[w.strip("-–'’*•›>·")] += 0
                         if "-" in w:
                             for p in w.split("-"):
                                 n[p] += k
-                    last = broken
+                    last = ws[-1][-1:] in "-\xad¬"
             if len(n) > 1 << 18:
                 yield flush()
                 n.clear()
@@ -680,8 +703,12 @@ def skip_grams(texts: DataFrame, vocab: dict[str, int]) -> Vectors | None:
                 a, c = x[:-d], x[d:]
                 ok = (a >= 0) & (c >= 0)
                 for p, q, side in ((c[ok], a[ok], 0), (a[ok], c[ok], CONTEXTS)):  # what stands before, behind
-                    k, m = np.unique(p * 2 * CONTEXTS + q % CONTEXTS + side, return_counts=True)
-                    n[k] += m
+                    k = p * 2 * CONTEXTS + q % CONTEXTS + side
+                    if len(k) * 16 > len(n):
+                        n += np.bincount(k, minlength=len(n))
+                    else:
+                        k, m = np.unique(k, return_counts=True)
+                        n[k] += m
         k = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(n[k])], ["k", "n"])
 
@@ -725,6 +752,18 @@ def _train(top: list[str], N: np.ndarray) -> Vectors:
     return Vectors({w: W[i] for i, w in enumerate(top)}, G, V)
 
 
+_readers: dict[str, tuple[Reader, Strips]] = {}
+
+
+def _reader(shared) -> tuple[Reader, Strips]:
+    """The reader of a broadcast and the strips; a worker keeps the last one, with what it has remembered of words, for its next task."""
+    vocab, vectors, links, strips = shared.value
+    if links.path not in _readers:
+        _readers.clear()
+        _readers[links.path] = Reader(vocab, vectors, links), strips
+    return _readers[links.path]
+
+
 _NOISE = "table_name string, row_id long, pos int, noise string, text string"
 _NOISE_ARROW = pa.schema([("table_name", pa.string()), ("row_id", pa.int64()), ("pos", pa.int32()), ("noise", pa.string()), ("text", pa.string())])
 
@@ -763,7 +802,7 @@ def read(pages: DataFrame, item_tables: list[tuple[str, DataFrame, str, str]]) -
         return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows) if rows else [[]] * 5, _NOISE_ARROW.types)], schema=_NOISE_ARROW)
 
     def run_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        r = Reader(*shared.value[:3])
+        r, _ = _reader(shared)
         for b in batches:
             out = []
             for pid, page, text, fur, lab in zip(*(b.column(i).to_pylist() for i in range(5))):
@@ -774,7 +813,7 @@ def read(pages: DataFrame, item_tables: list[tuple[str, DataFrame, str, str]]) -
             yield batch(out)
 
     def run_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        r, strips = Reader(*shared.value[:3]), shared.value[3]
+        r, strips = _reader(shared)
         for b in batches:
             out = []
             for name, rid, pos, text in zip(*(b.column(i).to_pylist() for i in range(4))):
