@@ -3,9 +3,9 @@
 1. Exact copies are represented by one row.
 2. Each word set takes keys such that two sets similar enough surely share one: the rarest words that
    they may miss none of, and, where a word is so common that its bucket would be large, that word with the next ones.
-3. In each bucket, bit planes of 64-bit set sketches are compared: for a block of sets at once, carry-save
-   counters add up where the bits differ, and a block is abandoned once every distance exceeds the radius. A sketch
-   distance never exceeds the number of words in which two sets differ, so no pair is lost.
+3. In each bucket, bit planes of set sketches are compared, which have the more bits the longer the sets are: for a block of
+   sets at once, carry-save counters add up where the bits differ, and a block is abandoned once every distance exceeds the
+   radius. A sketch distance never exceeds the number of words in which two sets differ, so no pair is lost.
 4. What is left is compared word by word.
 """
 
@@ -44,6 +44,9 @@ BLOCK = 16_384
 #: Buckets up to this size are compared row by row.
 SMALL = 24
 
+#: Bits of a sketch for sets of so many words or fewer; so its bits don't fill up, and unrelated sets stay apart.
+WIDTHS = [(40, 64), (160, 256), (640, 1024), (1 << 62, 4096)]
+
 _WORD = re.compile(r"[^\W_]+")
 _ACCENTED = [(c, U.normalize("NFD", c)[0]) for c in "áéíóúñü"]
 _APART = bytes(c if chr(c).isalnum() and c < 128 else 32 for c in range(256))
@@ -131,9 +134,9 @@ def set_keys(ws: list[tuple[int, int]], n_sets: int, t: float, bucket: int) -> l
 
 
 def keyed(sets: DataFrame, common: dict[int, int], n_sets: int, t: float, bucket: int) -> DataFrame:
-    """(k, id, s, n): key, set, sketch and number of words."""
+    """(k, id, s, n): key, set, sketch and number of words. A sketch has a bit for each value of the first bits of the words' hashes."""
     shared = sets.sparkSession.sparkContext.broadcast(common)
-    arrow = pa.schema([("k", pa.int64()), ("id", pa.int64()), ("s", pa.int64()), ("n", pa.int32())])
+    arrow = pa.schema([("k", pa.int64()), ("id", pa.int64()), ("s", pa.binary()), ("n", pa.int32())])
     memo: dict[str, tuple[int, int]] = {}
 
     def rows(ids: list[int], texts: list[str]) -> list:
@@ -150,18 +153,20 @@ def keyed(sets: DataFrame, common: dict[int, int], n_sets: int, t: float, bucket
                     x = memo[w] = (common.get(h, 0), h)
                 ws.append(x)
             ws.sort()
-            sketch = 0
+            sketch, wide = 0, width(len(ws))
+            shift = 65 - wide.bit_length()
             for df, h in ws:
                 if df <= n_sets * EVERYWHERE:
-                    sketch |= 1 << (h >> 58)
+                    sketch |= 1 << (h >> shift)
+            sketch = sketch.to_bytes(wide // 8, "little")
             ks = set_keys(ws, n_sets, t, bucket)
             K += ks
             I += [i] * len(ks)
             S += [sketch] * len(ks)
             N += [len(ws)] * len(ks)
-        return [pa.array(np.array(K, np.uint64).view(np.int64)), I, pa.array(np.array(S, np.uint64).view(np.int64)), N]
+        return [pa.array(np.array(K, np.uint64).view(np.int64)), I, S, N]
 
-    return _map(sets, "k long, id long, s long, n int", arrow, rows)
+    return _map(sets, "k long, id long, s binary, n int", arrow, rows)
 
 
 def radius(n: np.ndarray, m: np.ndarray, t: float) -> np.ndarray:
@@ -169,12 +174,38 @@ def radius(n: np.ndarray, m: np.ndarray, t: float) -> np.ndarray:
     return np.floor((1 - t) / (1 + t) * (n + m) + 1e-9).astype(np.int64)
 
 
+def width(n: int) -> int:
+    return next(w for most, w in WIDTHS if n <= most)
+
+
+def sketches(s: list[bytes]) -> np.ndarray:
+    """Sketches as rows of 64-bit words, those of fewer bits with zeros behind."""
+    most = max(map(len, s), default=8)
+    return np.frombuffer(b"".join(x if len(x) == most else x.ljust(most, b"\0") for x in s), np.uint64).reshape(len(s), most // 8)
+
+
+def _folded(s: np.ndarray, n: np.ndarray, bits: int) -> np.ndarray:
+    """Sketches of sets of n words (all of one width) as they would be with so many bits: each bit stands for several."""
+    wide = width(int(n[0])) if len(n) else bits
+    s = s[:, :wide // 64]
+    if wide == bits:
+        return np.ascontiguousarray(s)
+    one = np.unpackbits(np.ascontiguousarray(s).view(np.uint8), axis=1, bitorder="little").reshape(len(s), bits, wide // bits).any(2)
+    return np.packbits(one, axis=1, bitorder="little").view(np.uint64)
+
+
+def _runs(n: np.ndarray) -> list[tuple[int, int]]:
+    """Slices of ascending n whose sketches have one width."""
+    cut = [0, *np.searchsorted(n, [most for most, _ in WIDTHS[:-1]], "right").tolist(), len(n)]
+    return [(a, b) for a, b in zip(cut, cut[1:]) if b > a]
+
+
 def _planes(s: np.ndarray) -> np.ndarray:
-    """Bit planes: 64 rows, row b holds bit b of all sketches, 64 sketches a word."""
+    """Bit planes of sketches: row b holds bit b of all of them, 64 sketches a word."""
     n = -(-len(s) // 64) * 64
-    padded = np.zeros(n, np.uint64)
+    padded = np.zeros((n, s.shape[1]), np.uint64)
     padded[:len(s)] = s
-    bits = np.unpackbits(padded.view(np.uint8).reshape(n, 8), axis=1, bitorder="little")
+    bits = np.unpackbits(padded.view(np.uint8), axis=1, bitorder="little")
     return np.ascontiguousarray(np.packbits(bits.T, axis=1, bitorder="little")).view(np.uint64)
 
 
@@ -182,13 +213,14 @@ def _within(planes: np.ndarray, queries: np.ndarray, r: int) -> np.ndarray:
     """For each query, a bit for each sketch at distance r or less, or perhaps more if the block was given up early: none.
 
     Carry-save: differences of weight 1 wait until three are there; a full adder turns them into one of
-    weight 1 and one of weight 2, and so on upward. After half and three quarters of the planes a lower bound of all
+    weight 1 and one of weight 2, and so on upward. After each quarter of the planes a lower bound of all
     distances is compared with the radius; the block is abandoned when all exceed it.
     """
-    q, w = len(queries), planes.shape[1]
-    ones = ((queries[:, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)).astype(bool)
+    q, (bits, w) = len(queries), planes.shape
+    levels = bits.bit_length()
+    ones = np.unpackbits(np.ascontiguousarray(queries).view(np.uint8), axis=1, bitorder="little").astype(bool)
     flip = np.where(ones, np.uint64(_MASK), np.uint64(0))
-    wait: list[list[np.ndarray]] = [[] for _ in range(7)]
+    wait: list[list[np.ndarray]] = [[] for _ in range(levels)]
 
     def put(x: np.ndarray, level: int) -> None:
         while True:
@@ -205,7 +237,7 @@ def _within(planes: np.ndarray, queries: np.ndarray, r: int) -> np.ndarray:
         """Bits where the sum so far is r or less."""
         carry: list[np.ndarray] = []
         digits = []
-        for level in range(7):
+        for level in range(levels):
             xs = carry + wait[level]
             carry = []
             while len(xs) > 1:
@@ -220,7 +252,7 @@ def _within(planes: np.ndarray, queries: np.ndarray, r: int) -> np.ndarray:
                     carry.append(a & b)
             digits.append(xs[0] if xs else None)
         less, equal = np.zeros((q, w), np.uint64), np.full((q, w), _MASK, np.uint64)
-        for level in reversed(range(7)):
+        for level in reversed(range(levels)):
             d = digits[level]
             if r >> level & 1:
                 if d is None:
@@ -233,17 +265,17 @@ def _within(planes: np.ndarray, queries: np.ndarray, r: int) -> np.ndarray:
                 equal &= ~d
         return less | equal
 
-    if r >= 64:
+    if r >= bits:
         return np.full((q, w), _MASK, np.uint64)
-    for b in range(64):
+    for b in range(bits):
         put(planes[b][None, :] ^ flip[:, b][:, None], 0)
-        if b in (31, 47) and not settled(r).any():
+        if b + 1 in (bits // 4, bits // 2, bits * 3 // 4) and b > r and not settled(r).any():
             return np.zeros((q, w), np.uint64)
     return settled(r)
 
 
 def compare(ids: np.ndarray, s: np.ndarray, n: np.ndarray, t: float, other: tuple | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of one bucket (or between it and another) that may be similar, as (smaller id, larger id)."""
+    """Pairs of one bucket (or between it and another) that may be similar, as (smaller id, larger id). s: rows of sketches."""
     order = np.argsort(n, kind="stable")
     ids, s, n = ids[order], s[order], n[order]
     if other is None:
@@ -252,33 +284,44 @@ def compare(ids: np.ndarray, s: np.ndarray, n: np.ndarray, t: float, other: tupl
         o = np.argsort(other[2], kind="stable")
         oi, os_, on = other[0][o], other[1][o], other[2][o]
     A, B = [], []
-    step = max(8, min(256, 200_000 // max(1, len(os_) // 64 + 1) // 8))
-    for a in range(0, len(s), step):
-        b = min(a + step, len(s))
-        lo = int(np.searchsorted(on, math.ceil(n[a] * t - 1e-9)))
-        if other is None:
-            lo = max(lo, a)
-        hi = int(np.searchsorted(on, math.floor(n[b - 1] / t + 1e-9), "right"))
-        for c in range(lo, hi, 8192):
-            e = min(c + 8192, hi)
-            r = int(radius(n[b - 1], on[e - 1], t))
-            hit = _within(_planes(os_[c:e]), s[a:b], r)
-            rows, cols = np.nonzero(hit)
-            if not len(rows):
+    for p, q in _runs(n):
+        for u, v in _runs(on):
+            if v <= p and other is None or on[u] * t > n[q - 1] + 1e-9 or n[p] * t > on[v - 1] + 1e-9:
                 continue
-            bits = np.unpackbits(hit[rows, cols][:, None].view(np.uint8), axis=1, bitorder="little")
-            k, bit = np.nonzero(bits)
-            x, y = rows[k] + a, cols[k] * 64 + bit + c
-            ok = y < e
-            if other is None:
-                ok &= y > x
-            x, y = x[ok], y[ok]
-            ok = np.bitwise_count(s[x] ^ os_[y]) <= radius(n[x], on[y], t)
-            A.append(ids[x[ok]])
-            B.append(oi[y[ok]])
+            bits = min(width(int(n[p])), width(int(on[u])))
+            mine, theirs = _folded(s[p:q], n[p:q], bits), _folded(os_[u:v], on[u:v], bits)
+            step = max(8, min(256, 200_000 // max(1, len(on) // 64 + 1) // 8))
+            for a in range(p, q, step):
+                b = min(a + step, q)
+                lo = max(u, int(np.searchsorted(on, math.ceil(n[a] * t - 1e-9))))
+                if other is None:
+                    lo = max(lo, a)
+                hi = min(v, int(np.searchsorted(on, math.floor(n[b - 1] / t + 1e-9), "right")))
+                for c in range(lo, hi, 8192):
+                    e = min(c + 8192, hi)
+                    x, y = _hits(mine[a - p:b - p], theirs[c - u:e - u], n[a:b], on[c:e], t)
+                    if other is None:
+                        ok = y + c > x + a
+                        x, y = x[ok], y[ok]
+                    A.append(ids[x + a])
+                    B.append(oi[y + c])
     return _pairs(A, B)
 
 
+def _hits(mine: np.ndarray, theirs: np.ndarray, n: np.ndarray, m: np.ndarray, t: float) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of both whose sketches are within the radius of their sizes."""
+    hit = _within(_planes(theirs), mine, int(radius(n[-1], m[-1], t)))
+    rows, cols = np.nonzero(hit)
+    if not len(rows):
+        return rows, cols
+    k, bit = np.nonzero(np.unpackbits(hit[rows, cols][:, None].view(np.uint8), axis=1, bitorder="little"))
+    x, y = rows[k], cols[k] * 64 + bit
+    ok = y < len(m)
+    x, y = x[ok], y[ok]
+    ok = np.bitwise_count(mine[x] ^ theirs[y]).sum(1, dtype=np.int64) <= radius(n[x], m[y], t)
+    return x[ok], y[ok]
+
+
 def _pairs(A: list, B: list) -> tuple[np.ndarray, np.ndarray]:
     if not A:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -290,12 +333,23 @@ def _pairs(A: list, B: list) -> tuple[np.ndarray, np.ndarray]:
 def _small(k: np.ndarray, ids: np.ndarray, s: np.ndarray, n: np.ndarray, t: float) -> tuple[np.ndarray, np.ndarray]:
     """Pairs within many small buckets at once: each row with the d-th after it, while some bucket reaches so far."""
     A, B = [], []
+    wide = np.array([w for _, w in WIDTHS])[np.searchsorted([most for most, _ in WIDTHS], n)] if s.shape[1] > 1 else None
     for d in range(1, SMALL):
         x = np.flatnonzero(k[d:] == k[:-d])
         if not len(x):
             break
         y = x + d
-        ok = (np.bitwise_count(s[x] ^ s[y]) <= radius(n[x], n[y], t)) & (np.minimum(n[x], n[y]) >= t * np.maximum(n[x], n[y]) - 1e-9)
+        ok = np.minimum(n[x], n[y]) >= t * np.maximum(n[x], n[y]) - 1e-9
+        x, y = x[ok], y[ok]
+        if wide is None:
+            far = np.bitwise_count(s[x, 0] ^ s[y, 0])
+        else:
+            far = np.zeros(len(x), np.int64)
+            for p, q in {(int(a), int(b)) for a, b in zip(wide[x], wide[y])}:
+                at = np.flatnonzero((wide[x] == p) & (wide[y] == q))
+                one, two = (_folded(s[z[at]], n[z[at]], min(p, q)) for z in (x, y))
+                far[at] = np.bitwise_count(one ^ two).sum(1, dtype=np.int64)
+        ok = far <= radius(n[x], n[y], t)
         A.append(ids[x[ok]])
         B.append(ids[y[ok]])
     return _pairs(A, B)
@@ -316,20 +370,23 @@ def candidates(keys: DataFrame, t: float, split: int = SPLIT, block: int = BLOCK
     """(a, b): pairs of sets that share a key and whose sketches are within the radius."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held: list[tuple] = []  # (numbers: k, id, n; sketches)
         more = 0  # rows of the first held bucket that were counted and let go
 
         def counted(k: int, n: int) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([int(k)]), pa.nulls(1, pa.int64()), pa.array([int(n)])], schema=_PAIR)
 
-        def do(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        def together() -> tuple[np.ndarray, np.ndarray]:
+            most = max(s.shape[1] for _, s in held)
+            return np.concatenate([x for x, _ in held], axis=1), np.concatenate([s if s.shape[1] == most else np.pad(s, ((0, 0), (0, most - s.shape[1]))) for _, s in held])
+
+        def do(rows: np.ndarray, s: np.ndarray) -> Iterator[pa.RecordBatch]:
             """rows: whole buckets, sorted by key."""
-            k = rows[0]
+            k, ids, n = rows
             if not len(k):
                 return
             cut = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1], [True]]))
             size = np.diff(cut)
-            ids, s, n = rows[1], rows[2].view(np.uint64), rows[3]
             low = np.repeat((size > 1) & (size <= SMALL), size)
             A, B = [], []
             a, b = _small(k[low], ids[low], s[low], n[low], t)
@@ -348,27 +405,28 @@ def candidates(keys: DataFrame, t: float, split: int = SPLIT, block: int = BLOCK
         for batch in batches:
             if not batch.num_rows:
                 continue
-            held.append(np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns]))
-            if sum(h.shape[1] for h in held) >= hold:
-                rows = np.concatenate(held, axis=1)
+            held.append((np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1, 3)]), sketches(batch.column(2).to_pylist())))
+            if sum(s.shape[0] * (s.shape[1] + 3) // 4 for _, s in held) >= hold:
+                rows, s = together()
                 end = int(np.searchsorted(rows[0], rows[0, -1]))
                 if end:
                     if more:
-                        yield counted(rows[0, 0], more + int(np.searchsorted(rows[0], rows[0, 0], "right")))
-                        rows, more = rows[:, np.searchsorted(rows[0], rows[0, 0], "right"):], 0
+                        own = int(np.searchsorted(rows[0], rows[0, 0], "right"))
+                        yield counted(rows[0, 0], more + own)
+                        rows, s, more = rows[:, own:], s[own:], 0
                         end = int(np.searchsorted(rows[0], rows[0, -1]))
-                    yield from do(rows[:, :end])
-                    held = [rows[:, end:]]
+                    yield from do(rows[:, :end], s[:end])
+                    held = [(rows[:, end:], s[end:])]
                 elif rows.shape[1] > split:  # one bucket so far, too large to be compared here: its rows are only counted
                     more += rows.shape[1] - 1
-                    held = [rows[:, -1:]]
+                    held = [(rows[:, -1:], s[-1:])]
         if held:
-            rows = np.concatenate(held, axis=1)
+            rows, s = together()
             if more:
                 own = int(np.searchsorted(rows[0], rows[0, 0], "right"))
                 yield counted(rows[0, 0], more + own)
-                rows = rows[:, own:]
-            yield from do(rows)
+                rows, s = rows[:, own:], s[own:]
+            yield from do(rows, s)
 
     out = settle(keys.repartition("k").sortWithinPartitions("k").mapInArrow(run, "a long, b long, rows long"))
     pairs = out.where("rows IS NULL").select("a", "b")
@@ -382,7 +440,7 @@ def _blocks(keys: DataFrame, big: dict[int, int], t: float, block: int) -> DataF
     """Pairs of the buckets in big, each divided into blocks; one task compares two blocks."""
     parts = {k: -(-n // block) for k, n in big.items()}
     shared = keys.sparkSession.sparkContext.broadcast(parts)
-    arrow = pa.schema([("k", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("mine", pa.int32()), ("id", pa.int64()), ("s", pa.int64()), ("n", pa.int32())])
+    arrow = pa.schema([("k", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("mine", pa.int32()), ("id", pa.int64()), ("s", pa.binary()), ("n", pa.int32())])
 
     def deal(k, ids, s, n) -> list:
         out = []
@@ -396,14 +454,14 @@ def _blocks(keys: DataFrame, big: dict[int, int], t: float, block: int) -> DataF
         import pandas as pd
 
         i, j = int(pdf.i.iloc[0]), int(pdf.j.iloc[0])
-        cols = lambda p: (p.id.to_numpy(), p.s.to_numpy().view(np.uint64), p.n.to_numpy().astype(np.int64))
+        cols = lambda p: (p.id.to_numpy(), sketches(p.s.tolist()), p.n.to_numpy().astype(np.int64))
         if i == j:
             a, b = compare(*cols(pdf), t)
         else:
             a, b = compare(*cols(pdf[pdf.mine == i]), t, cols(pdf[pdf.mine == j]))
         return pd.DataFrame({"a": a, "b": b})
 
-    rows = _map(keys.where(F.col("k").isin(list(parts))), "k long, i int, j int, mine int, id long, s long, n int", arrow, deal)
+    rows = _map(keys.where(F.col("k").isin(list(parts))), "k long, i int, j int, mine int, id long, s binary, n int", arrow, deal)
     return rows.groupBy("k", "i", "j").applyInPandas(both, "a long, b long")
 
 

@@ -56,12 +56,54 @@ def test_words():
 
 def test_sketch_distance_never_exceeds_the_difference():
     r = np.random.default_rng(3)
-    s = r.integers(0, 1 << 63, 500, dtype=np.int64).astype(np.uint64) & r.integers(0, 1 << 63, 500, dtype=np.int64).astype(np.uint64)
-    planes = N._planes(s)
-    for radius in (0, 5, 13, 20, 63, 64):
-        hit = N._within(planes, s[:40], radius)
-        bits = np.unpackbits(hit.view(np.uint8), axis=1, bitorder="little")[:, :500].astype(bool)
-        assert (bits == (np.bitwise_count(s[:40, None] ^ s[None, :]) <= radius)).all()
+    for w in (1, 4):
+        s = (r.integers(0, 1 << 63, (500, w), dtype=np.int64) & r.integers(0, 1 << 63, (500, w), dtype=np.int64)).astype(np.uint64)
+        planes = N._planes(s)
+        for radius in (0, 5, 13 * w, 20 * w, 64 * w - 1, 64 * w):
+            hit = N._within(planes, s[:40], radius)
+            bits = np.unpackbits(hit.view(np.uint8), axis=1, bitorder="little")[:, :500].astype(bool)
+            assert (bits == (np.bitwise_count(s[:40, None] ^ s[None, :]).sum(2, dtype=int) <= radius)).all()
+
+
+def sketched(sets):
+    """Hashes of sets as compare() takes them."""
+    n = np.array([len(x) for x in sets])
+    out = []
+    for x in sets:
+        wide, sketch = N.width(len(x)), 0
+        for h in x:
+            sketch |= 1 << (h >> (65 - wide.bit_length()))
+        out.append(sketch.to_bytes(wide // 8, "little"))
+    return np.arange(len(sets)), N.sketches(out), n
+
+
+def test_sketches_of_unrelated_sets_stay_apart():
+    """Few pairs of unrelated sets are left, however long they are; all similar ones are, across widths too."""
+    r = random.Random(4)
+    for size in (10, 30, 80, 120, 200, 700):
+        sets = [{r.getrandbits(64) for _ in range(size)} for _ in range(400)]
+        a, _ = N.compare(*sketched(sets), 0.7)
+        assert len(a) < 0.05 * 400 * 399 / 2, size
+    sets = []
+    for size in (38, 42, 150, 170, 600, 700):
+        base = [r.getrandbits(64) for _ in range(size)]
+        sets += [set(base), set(base[: int(size * 0.9)]), set(base) | {r.getrandbits(64) for _ in range(size // 6)}]
+    want = {(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if len(sets[i] & sets[j]) >= 0.7 * len(sets[i] | sets[j])}
+    args = sketched(sets)
+    assert want and want <= set(zip(*N.compare(*args, 0.7)))
+    half = [x[::2] for x in args], [x[1::2] for x in args]
+    assert {(i, j) for i, j in want if i % 2 != j % 2} <= set(zip(*N.compare(*half[0], 0.7, half[1])))
+    assert want <= set(zip(*N._small(np.zeros(len(sets), int), *args, 0.7)))
+
+
+def test_long_and_short_texts_against_brute_force(spark):
+    r = random.Random(6)
+    rows = []
+    for size in (38, 42, 90, 150, 170, 300):
+        base = [f"v{r.randrange(4000)}" for _ in range(size)]
+        for _ in range(5):
+            rows.append((len(rows), " ".join(w for w in base if r.random() > 0.1) + f" x{r.randrange(9)}"))
+    assert run(spark, rows) == sorted(brute(rows))
 
 
 def test_edges(spark):
