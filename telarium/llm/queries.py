@@ -25,7 +25,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-_CANON = "regexp_replace(lower({0}), '[^\\p{{L}}\\p{{N}}]+', '', 'g')"
+_CANON = "regexp_replace(lower(nfc_normalize({0})), '[^\\p{{L}}\\p{{N}}]+', '', 'g')"
 _P6_SETS = f"""
 WITH r AS (
   SELECT 'objectives' AS table_name, row_id, {_CANON.format('statement')} AS s, coalesce({_CANON.format('code')}, '') AS k, '' AS a

@@ -52,5 +52,17 @@ def test_fields_in_any_order(spark):
 def test_collisions_are_resolved_by_text(spark):
     rows = spark.createDataFrame([(1, "aa"), (2, "aa"), (3, "bbb"), (4, "bbb"), (5, "c")], "id long, c string").select("id", F.lit(1).cast("long").alias("h1"), F.lit(2).cast("long").alias("h2"), F.crc32("c").alias("h3"), F.length("c").alias("n"), "c")
     groups = rows.groupBy("h1", "h2").agg(F.min("id").alias("keep_id"), F.count("*").alias("n_rows"), F.min("h3").alias("a"), F.max("h3").alias("b"), F.min("n").alias("d"), F.max("n").alias("e")).where("n_rows > 1")
-    kept, dup = C._resolve(rows, groups)
+    kept, dup = C._resolve(rows, rows.drop("c"), groups)
     assert sorted(map(tuple, dup.collect())) == [(1, 2), (3, 4)] and sorted(map(tuple, kept.collect())) == [(1, 2), (3, 2)]
+
+
+def test_accents_count_however_they_are_written(spark):
+    rows = [(1, "Educación física", "á", None, None, None), (2, "Educacio\u0301n fi\u0301sica", "a\u0301", None, None, None), (3, "Educacion fisica", "a", None, None, None), (4, "Educacion fisica", "á", None, None, None)]
+    assert run(spark, rows) == ([(1, 2)], [(1, 2)])
+
+
+def test_hot_groups_are_not_shuffled(spark):
+    """The rows of a hot group are taken away by a broadcast before the rest is shuffled."""
+    df = spark.createDataFrame([(i, "Medir el agua" if i % 2 else f"Leer {i}", None, None, None, None) for i in range(5000)], SCHEMA)
+    plan = C.objective_copies(df)[1]._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in plan and plan.index("LeftAnti") < plan.rindex("BroadcastHashJoin")
