@@ -37,6 +37,8 @@ LOOKALIKES: dict[str, str] = {
 # Signs that look like an ordinary one.
 SIGNS = {"‐": "-", "‑": "-", ";": ";", "․": ".", "꞉": ":", "ː": ":", "∶": ":", "։": ":", "‚": ",", "٫": ",", "⁄": "/", "∕": "/"}
 
+#: First letters that name a bin of words, and tokens of a bin that one task walks, about.
+PREFIX, BIN = 3, 20_000
 #: Weight of an edit that changes what is seen.
 SUBSTITUTE, INSERT, DELETE = 1.0, 1.0, 1.0
 
@@ -198,49 +200,64 @@ def _cased(word: str, like: str) -> str:
     return word.upper() if like.isupper() and len(like) > 1 else word.capitalize() if like[:1].isupper() else word
 
 
+def prefixes(piece: str, plain: str) -> list[str]:
+    """The first letters of all words that a token may stand for; several where a look-alike is taken for several letters."""
+    low = plain.lower()
+    out = {low[:PREFIX]}
+    if any(len(LOOKALIKES.get(c, "")) > 1 for c in piece):
+        shown = [c for c in U.normalize("NFC", "".join(PUT.get(c, c) for c in piece if c not in IGNORABLE).lower())]
+        out = {""}
+        for c in shown:
+            out = {a if len(a) >= PREFIX else a + b for a in out for b in (LOOKALIKES.get(c) or c)}
+        out.add(low[:PREFIX])
+    return sorted(x[:PREFIX] for x in out)
+
+
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(table_name, row_id, pos, piece, plain, suspect) of texts with unordinary characters."""
+    """(table_name, row_id, h, pos, piece, plain, bins) of texts with unordinary characters; bins only of suspect tokens."""
     for b in batches:
         out: list[tuple] = []
-        for name, rid, text in zip(*(b.column(i).to_pylist() for i in range(3))):
+        for name, rid, h, text in zip(*(b.column(i).to_pylist() for i in range(4))):
             if not _ODD.search(text):
                 continue
             at, pos = 0, 0
             for m in _TOKEN.finditer(text):
                 if _ODD.search(m[0]):
                     if m.start() > at:
-                        out.append((name, rid, pos, text[at:m.start()], table_form(text[at:m.start()]), False))
-                    out.append((name, rid, pos + 1, m[0], table_form(m[0]), True))
+                        out.append((name, rid, h, pos, text[at:m.start()], table_form(text[at:m.start()]), None))
+                    plain = table_form(m[0])
+                    out.append((name, rid, h, pos + 1, m[0], plain, prefixes(m[0], plain)))
                     at, pos = m.end(), pos + 2
             if at < len(text):
-                out.append((name, rid, pos, text[at:], table_form(text[at:]), False))
-        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out) if out else [[]] * 6, _PIECES.types)], schema=_PIECES)
-
-
-_PIECES = pa.schema([("table_name", pa.string()), ("row_id", pa.int64()), ("pos", pa.int32()), ("piece", pa.string()), ("plain", pa.string()), ("suspect", pa.bool_())])
+                out.append((name, rid, h, pos, text[at:], table_form(text[at:]), None))
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out) if out else [[]] * 7, _PIECES.types)], schema=_PIECES)
 
 
-def _bin(plain: str) -> str:
-    return plain.lower()[:3]
+_PIECES = pa.schema([("table_name", pa.string()), ("row_id", pa.int64()), ("h", pa.int64()), ("pos", pa.int32()), ("piece", pa.string()), ("plain", pa.string()), ("bins", pa.list_(pa.string()))])
 
 
-def spellings(words: DataFrame, tokens: DataFrame, budget: float = 0.0) -> DataFrame:
+def spellings(words: DataFrame, tokens: DataFrame, budget: float = 0.0, most: int = BIN) -> DataFrame:
     """(piece, canon): canonical spelling of each distinct suspect token that a word of the corpus matches.
 
-    words(word, n), tokens(piece, plain). Both are binned by the first three letters, which look-alikes leave as they
-    are, and each bin builds its own trie; so no trie holds the vocabulary of a whole corpus.
+    words(word, n), tokens(piece, plain, bins), settled. Both are binned by their first letters, a token in every bin it may belong to, and
+    each bin builds its own trie; so no trie holds the vocabulary of a whole corpus. A bin of many tokens is divided by their
+    hash into parts of about ``most``, each with the bin's words.
     """
 
     def walk(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         trie, rows = Trie(zip(right.word, right.n)), []
+        counts = dict(zip(right.word, right.n))
         for piece, plain in zip(left.piece, left.plain):
             if hit := trie.match(piece, budget):
-                rows.append((piece, _cased(hit[0], plain)))
-        return pd.DataFrame(rows, columns=["piece", "canon"]).astype("str")
+                rows.append((piece, _cased(hit[0], plain), hit[1], int(counts[hit[0]]), hit[0]))
+        return pd.DataFrame(rows, columns=["piece", "canon", "cost", "n", "word"]).astype({"piece": "str", "canon": "str", "cost": "float64", "n": "int64", "word": "str"})
 
-    t = tokens.select("piece", "plain", F.substring(F.lower("plain"), 1, 3).alias("bin"))
-    w = words.select("word", "n", F.substring("word", 1, 3).alias("bin")).join(t.select("bin").distinct(), "bin", "left_semi")
-    return t.groupBy("bin").cogroup(w.groupBy("bin")).applyInPandas(walk, "piece string, canon string")
+    t = tokens.select("piece", "plain", F.explode("bins").alias("bin"))
+    parts = t.groupBy("bin").agg(F.ceil(F.count("*") / most).cast("int").alias("parts"))
+    t = t.join(parts, "bin").withColumn("part", F.pmod(F.xxhash64("piece"), F.col("parts")).cast("int"))
+    w = words.select("word", "n", F.substring("word", 1, PREFIX).alias("bin")).join(parts.toDF("bin", "copies"), "bin").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
+    found = t.groupBy("bin", "part").cogroup(w.groupBy("bin", "part")).applyInPandas(walk, "piece string, canon string, cost double, n long, word string")
+    return found.groupBy("piece").agg(F.min(F.struct("cost", (-F.col("n")).alias("n"), "word", "canon")).alias("best")).select("piece", "best.canon")
 
 
 def rows_of(tables: list[tuple[str, DataFrame]], id_col: str = "row_id", text_col: str = "statement") -> DataFrame:
@@ -252,27 +269,27 @@ def rows_of(tables: list[tuple[str, DataFrame]], id_col: str = "row_id", text_co
 
 
 def changed(tables: list[tuple[str, DataFrame]], min_count: int = 2, budget: float = 0.0) -> DataFrame:
-    """(table_name, row_id, text): consistent form of every text that isn't in it already.
+    """(table_name, row_id, h, text), h the hash of the text as it was: consistent form of every text that isn't in it already.
 
-    Null texts are left out, empty ones are consistent. Repeated ids are told apart by a row number
-    only where needed: equal (table, id) rows are taken as one row. The vocabulary is counted over
+    Null texts are left out, empty ones are consistent. Rows of one id with different texts are rows of their own;
+    rows that are equal in table, id and text are taken as one. The vocabulary is counted over
     all rows, combined before the shuffle; words seen fewer than ``min_count`` times are no canonical spelling.
     """
     from telarium.session import settle
 
     rows = rows_of(tables)
     maybe = rows.where(F.col("text").rlike(MAYBE))
-    pieces = settle(maybe.mapInArrow(_pieces, "table_name string, row_id long, pos int, piece string, plain string, suspect boolean"))
+    pieces = settle(maybe.select("table_name", "row_id", F.xxhash64("text").alias("h"), "text").mapInArrow(_pieces, "table_name string, row_id long, h long, pos int, piece string, plain string, bins array<string>"))
     words = rows.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0))).alias("word")).groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= min_count)
-    tokens = pieces.where("suspect").select("piece", "plain").distinct()
+    tokens = settle(pieces.where("bins IS NOT NULL").groupBy("piece", "plain").agg(F.any_value("bins").alias("bins")))
     canon = spellings(words, tokens, budget)
     return (
-        pieces.join(canon, "piece", "left")
-        .withColumn("shown", F.when(F.col("suspect"), F.coalesce("canon", "plain")).otherwise(F.col("plain")))
-        .groupBy("table_name", "row_id")
-        .agg(F.max(F.col("shown") != F.col("piece")).alias("odd"), F.array_sort(F.collect_list(F.struct("pos", "shown"))).alias("parts"))
+        pieces.where("bins IS NOT NULL").join(canon, "piece", "left").unionByName(pieces.where("bins IS NULL").withColumn("canon", F.lit(None).cast("string")))
+        .withColumn("shown", F.coalesce("canon", "plain"))
+        .groupBy("table_name", "row_id", "h")
+        .agg(F.max(F.col("shown") != F.col("piece")).alias("odd"), F.array_sort(F.collect_set(F.struct("pos", "shown"))).alias("parts"))
         .where("odd")
-        .select("table_name", "row_id", F.array_join(F.transform("parts", lambda p: p["shown"]), "").alias("text"))
+        .select("table_name", "row_id", "h", F.array_join(F.transform("parts", lambda p: p["shown"]), "").alias("text"))
     )
 
 
@@ -283,4 +300,4 @@ def normalized(tables: list[tuple[str, DataFrame]], min_count: int = 2) -> DataF
     for name, df in tables:
         x = df.select(F.lit(name).alias("table_name"), F.col("row_id").cast("long").alias("row_id"), F.col("statement"))
         every = x if every is None else every.unionByName(x)
-    return every.join(fixed, ["table_name", "row_id"], "left").select("table_name", "row_id", F.coalesce("fixed", "statement").alias("statement"))
+    return every.withColumn("h", F.xxhash64("statement")).join(fixed, ["table_name", "row_id", "h"], "left").select("table_name", "row_id", F.coalesce("fixed", "statement").alias("statement"))

@@ -49,3 +49,25 @@ def test_case_comes_back():
 
 def test_ignorables_beyond_the_first_planes():
     assert L.consistent("".join("va" + chr(c) + "lle " for c in (0xE0001, 0xE0061, 0xE007F, 0xE0100, 0xE01EF))) == "valle " * 5
+
+
+def test_ambiguous_lookalikes_follow_the_words(spark):
+    """The table has one letter for a look-alike, the trie the words it may spell."""
+    df = spark.createDataFrame([(i, "vino y uva") for i in range(3)] + [(9, "υino y υva")], "row_id long, statement string")
+    assert L.table_form("υino") == "uino"
+    assert [r.text for r in L.changed([("t", df)]).collect()] == ["vino y uva"]
+
+
+def test_bins_are_divided(spark):
+    words = spark.createDataFrame([(f"cont{a}{b}", 5) for a in "abcdefgh" for b in "abcdefgh"], "word string, n long")
+    pieces = [(f"сont{a}{b}", L.table_form(f"сont{a}{b}")) for a in "abcdefgh" for b in "abcdefgh"]
+    tokens = spark.createDataFrame([(p, q, L.prefixes(p, q)) for p, q in pieces], "piece string, plain string, bins array<string>")
+    whole, parts = ({tuple(r) for r in L.spellings(words, tokens, most=m).collect()} for m in (1000, 5))
+    assert whole == parts == {(p, q) for p, q in pieces}
+
+
+def test_rows_of_one_id_stay_apart(spark):
+    rows = [(1, "mesa\u200b grande"), (1, "papel\u200b blanco"), (1, "papel\u200b blanco"), (2, "mesa")]
+    df = spark.createDataFrame(rows, "row_id long, statement string")
+    assert sorted(r.text for r in L.changed([("t", df)]).collect()) == ["mesa grande", "papel blanco"]
+    assert sorted(r.statement for r in L.normalized([("t", df)]).collect()) == ["mesa", "mesa grande", "papel blanco", "papel blanco"]
