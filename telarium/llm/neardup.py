@@ -138,13 +138,14 @@ def keyed(sets: DataFrame, common: dict[int, int], n_sets: int, t: float, bucket
     shared = sets.sparkSession.sparkContext.broadcast(common)
     arrow = pa.schema([("k", pa.int64()), ("id", pa.int64()), ("s", pa.binary()), ("n", pa.int32())])
     memo: dict[str, tuple[int, int]] = {}
+    often = n_sets * EVERYWHERE
 
     def rows(ids: list[int], texts: list[str]) -> list:
         common = shared.value
         if len(memo) > 1 << 18:
             memo.clear()
-        K, I, S, N = [], [], [], []
-        for i, text in zip(ids, texts):
+        K, S, N, many = [], [], [], []
+        for text in texts:
             ws = []
             for w in text.split():
                 x = memo.get(w)
@@ -156,15 +157,15 @@ def keyed(sets: DataFrame, common: dict[int, int], n_sets: int, t: float, bucket
             sketch, wide = 0, width(len(ws))
             shift = 65 - wide.bit_length()
             for df, h in ws:
-                if df <= n_sets * EVERYWHERE:
+                if df <= often:
                     sketch |= 1 << (h >> shift)
-            sketch = sketch.to_bytes(wide // 8, "little")
             ks = set_keys(ws, n_sets, t, bucket)
             K += ks
-            I += [i] * len(ks)
-            S += [sketch] * len(ks)
-            N += [len(ws)] * len(ks)
-        return [pa.array(np.array(K, np.uint64).view(np.int64)), I, S, N]
+            S.append(sketch.to_bytes(wide // 8, "little"))
+            N.append(len(ws))
+            many.append(len(ks))
+        at = np.repeat(np.arange(len(S)), many)
+        return [pa.array(np.array(K, np.uint64).view(np.int64)), *(pa.array(c, kind).take(pa.array(at)) for c, kind in ((ids, pa.int64()), (S, pa.binary()), (N, pa.int32())))]
 
     return _map(sets, "k long, id long, s binary, n int", arrow, rows)
 
@@ -178,10 +179,18 @@ def width(n: int) -> int:
     return next(w for most, w in WIDTHS if n <= most)
 
 
-def sketches(s: list[bytes]) -> np.ndarray:
+def sketches(s: pa.Array) -> np.ndarray:
     """Sketches as rows of 64-bit words, those of fewer bits with zeros behind."""
-    most = max(map(len, s), default=8)
-    return np.frombuffer(b"".join(x if len(x) == most else x.ljust(most, b"\0") for x in s), np.uint64).reshape(len(s), most // 8)
+    s = pa.array(s, pa.binary()) if isinstance(s, list) else s
+    at = np.frombuffer(s.buffers()[1], np.int32, len(s) + 1, 4 * s.offset)
+    data = np.frombuffer(s.buffers()[2] or b"", np.uint8)[at[0]:at[-1]].view(np.uint64)
+    words = np.diff(at) // 8
+    most = int(words.max(initial=1))
+    if (words == most).all():
+        return data.reshape(len(s), most)
+    out = np.zeros((len(s), most), np.uint64)
+    out[np.repeat(np.arange(len(s)), words), np.arange(len(data)) - np.repeat(np.cumsum(words) - words, words)] = data
+    return out
 
 
 def _folded(s: np.ndarray, n: np.ndarray, bits: int) -> np.ndarray:
@@ -405,7 +414,7 @@ def candidates(keys: DataFrame, t: float, split: int = SPLIT, block: int = BLOCK
         for batch in batches:
             if not batch.num_rows:
                 continue
-            held.append((np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1, 3)]), sketches(batch.column(2).to_pylist())))
+            held.append((np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1, 3)]), sketches(batch.column(2))))
             if sum(s.shape[0] * (s.shape[1] + 3) // 4 for _, s in held) >= hold:
                 rows, s = together()
                 end = int(np.searchsorted(rows[0], rows[0, -1]))
