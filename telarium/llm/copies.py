@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from telarium.operators.joining import lookup
 from telarium.session import settle
 
-#: Java regex of marks that may be part of a letter, and of what else composes.
-MARKS = r"[\p{M}\x{1100}-\x{11FF}]"
+#: Java regex of the parts of the code space whose characters composing may change.
+MARKS = r"[\x{300}-\x{36F}\x{483}-\x{1FFF}\x{2126}\x{212A}\x{212B}\x{302A}-\x{30FF}\x{A66F}-\x{D7FF}\x{F900}-\x{10FFFF}]"
 
 
 def composed(df: DataFrame, cols: list[str]) -> DataFrame:

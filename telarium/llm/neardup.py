@@ -222,7 +222,7 @@ def _within(planes: np.ndarray, queries: np.ndarray, r: int) -> np.ndarray:
     """For each query, a bit for each sketch at distance r or less, or perhaps more if the block was given up early: none.
 
     Carry-save: differences of weight 1 wait until three are there; a full adder turns them into one of
-    weight 1 and one of weight 2, and so on upward. After each quarter of the planes a lower bound of all
+    weight 1 and one of weight 2, and so on upward. After half and three quarters of the planes a lower bound of all
     distances is compared with the radius; the block is abandoned when all exceed it.
     """
     q, (bits, w) = len(queries), planes.shape
@@ -278,7 +278,7 @@ def _within(planes: np.ndarray, queries: np.ndarray, r: int) -> np.ndarray:
         return np.full((q, w), _MASK, np.uint64)
     for b in range(bits):
         put(planes[b][None, :] ^ flip[:, b][:, None], 0)
-        if b + 1 in (bits // 4, bits // 2, bits * 3 // 4) and b > r and not settled(r).any():
+        if b + 1 in (bits // 2, bits * 3 // 4) and not settled(r).any():
             return np.zeros((q, w), np.uint64)
     return settled(r)
 
