@@ -72,7 +72,11 @@ def copies(df: DataFrame, id_col: str, statement: str, others: list[tuple[str, C
         .select("id", canonical(forms).alias("c"))
         .select("id", F.xxhash64("c").alias("h1"), F.xxhash64(F.lit("2"), F.reverse("c")).alias("h2"), F.crc32("c").alias("h3"), F.length("c").alias("n"), "c")
     )
-    keys = settle(rows.drop("c"))
+    return grouped(settle(rows.drop("c")), rows)
+
+
+def grouped(keys: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The result of copies() from a settled table of keys (id, h1, h2, h3, n); rows has them with their text c, which is asked for only if two texts share a key."""
     groups = keys.groupBy("h1", "h2").agg(
         F.min("id").alias("keep_id"), F.count("*").alias("n_rows"),
         F.min("h3").alias("a"), F.max("h3").alias("b"), F.min("n").alias("d"), F.max("n").alias("e"),

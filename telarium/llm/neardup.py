@@ -14,6 +14,7 @@ from __future__ import annotations
 import math
 import re
 import unicodedata as U
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -75,9 +76,35 @@ def _map(df: DataFrame, schema: str, arrow: pa.Schema, rows) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+_ALIKE = re.compile(r"[\W_]+")
+
+
+def _canonical(text: str) -> str:
+    return _ALIKE.sub("", (text if text.isascii() else U.normalize("NFC", text)).lower())
+
+
 def word_sets(df: DataFrame) -> DataFrame:
-    """(id, words) of texts (id, text)."""
-    return _map(df, "id long, words string", pa.schema([("id", pa.int64()), ("words", pa.string())]), lambda i, t: [i, list(map(words, t))])
+    """(id, h1, h2, h3, n, words) of texts (id, text) with letters: two hashes, a third and the length of the letters and digits, and the words."""
+    arrow = pa.schema([("id", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("h3", pa.int64()), ("n", pa.int32()), ("words", pa.string())])
+
+    def rows(ids: list[int], texts: list[str]) -> list:
+        c = [_canonical(t).encode("utf-8", "replace") for t in texts]
+        h = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, c)), np.int64).reshape(len(c), 2)
+        return [ids, pa.array(h[:, 0]), pa.array(h[:, 1]), list(map(zlib.crc32, c)), list(map(len, c)), list(map(words, texts))]
+
+    return _map(df.where(F.col("text").rlike(r"\p{L}")), "id long, h1 long, h2 long, h3 long, n int, words string", arrow, rows)
+
+
+def _texts(df: DataFrame) -> DataFrame:
+    """The rows of word_sets with the letters and digits themselves, c, in place of the words."""
+    arrow = pa.schema([("id", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("c", pa.string())])
+
+    def rows(ids: list[int], texts: list[str]) -> list:
+        c = list(map(_canonical, texts))
+        h = np.frombuffer(b"".join(xxhash.xxh3_128_digest(x.encode("utf-8", "replace")) for x in c), np.int64).reshape(len(c), 2)
+        return [ids, pa.array(h[:, 0]), pa.array(h[:, 1]), c]
+
+    return _map(df.where(F.col("text").rlike(r"\p{L}")), "id long, h1 long, h2 long, c string", arrow, rows)
 
 
 def common_words(sets: DataFrame, at_least: int) -> dict[int, int]:
@@ -500,11 +527,10 @@ def similar(df: DataFrame, id_col: str = "row_id", text_col: str = "statement",
     and have no pairs among themselves. Ids must be unique; a repeated id makes no pair with itself. Only the two named
     columns are read.
     """
-    rows = df.select(F.col(id_col).cast("long").alias("row_id"), F.col(text_col).cast("string").alias("statement"))
-    _, dup = C.copies(rows, "row_id", "statement", [])
-    dup = settle(dup)
-    units = rows.where(F.col("statement").rlike(r"\p{L}")).join(dup.select(F.col("copy_id").alias("row_id")), "row_id", "left_anti").select(F.col("row_id").alias("id"), F.col("statement").alias("text"))
-    sets = settle(word_sets(units))
+    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    every = settle(word_sets(rows))
+    dup = settle(C.grouped(every.drop("words"), _texts(rows))[1])
+    sets = settle(every.select("id", "words").join(dup.select(F.col("copy_id").alias("id")), "id", "left_anti"))
     n = sets.count()
     limit = max(bucket, int(n * COMMON))
     common = common_words(sets, limit)
