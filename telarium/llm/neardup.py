@@ -30,7 +30,7 @@ from telarium.session import settle
 
 THRESHOLD = 0.70
 #: Expected rows of a bucket up to which no further word joins the key.
-BUCKET = 4096
+BUCKET = 3072
 #: A word is common beyond this share of the sets (or BUCKET sets); so at most mean set size / COMMON words reach the driver.
 COMMON = 1 / 65_536
 #: Words in more than this share of the sets aren't in the sketch.
