@@ -1,14 +1,13 @@
 """Filling fixed-capacity containers with items.
 
-Items are dealt to groups of bounded size; each group places its items by best fit, then improves
+Items are dealt to groups of bounded size; each group places its items in the order they come, then improves
 by local search: moves, one-for-one and two-for-one exchanges between underfull bins that raise
 the sum of squared fills, until bins empty or nothing improves.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right, insort
 
 import numpy as np
 import pandas as pd
@@ -17,17 +16,13 @@ from pyspark.sql import functions as F
 
 #: Items of a group at most, on average; each group wastes less than one container beyond its bound.
 GROUP = 20_000
-#: Underfull bins that one search looks at.
-WINDOW = 64
-#: Exchanges of one group at most.
-STEPS = 20_000
 
 
-def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
-    """Bins as lists of item numbers: largest first, each into the fullest bin with room."""
+def quick_fill(sizes: list[int], capacity: int, order: list[int] | None = None) -> list[list[int]]:
+    """Bins as lists of item numbers: as they come, each into the fullest bin with room."""
     bins: list[list[int]] = []
     free: list[tuple[int, int]] = []  # (room, bin), ascending
-    for i in sorted(range(len(sizes)), key=lambda i: (-sizes[i], i)):
+    for i in range(len(sizes)) if order is None else order:
         s = sizes[i]
         at = bisect_left(free, (s, -1))
         if at < len(free):
@@ -36,51 +31,14 @@ def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
             room, b = capacity, len(bins)
             bins.append([])
         bins[b].append(i)
-        if room > s:
+        if room > s or s == 0:
             insort(free, (room - s, b))
-        elif s == 0:
-            insort(free, (0, b))
     return bins
 
 
-def _exchange(donor: list[int], other: list[int], sizes: list[int], room: int) -> tuple[list[int], list[int], int] | None:
-    """(items donor gives, items it gets back, weight that moves) with the largest weight up to room; None if there is none above 0."""
-    best: tuple[list[int], list[int], int] | None = None
-    top = 0
-    d = sorted((sizes[i], i) for i in donor)
-    o = sorted((sizes[i], i) for i in other)
-    for s, i in d:  # move
-        if top < s <= room:
-            best, top = ([i], [], s), s
-    if top == room:
-        return best
-    od = [x for x, _ in o]
-    for s, i in d:  # one for one: give s, get the smallest item that leaves the weight within room
-        at = bisect_left(od, s - room)
-        if at < len(o) and top < s - od[at] <= room:
-            best, top = ([i], [o[at][1]], s - od[at]), s - od[at]
-    if top == room:
-        return best
-    for x in range(len(d)):  # two for one
-        for y in range(x + 1, len(d)):
-            s = d[x][0] + d[y][0]
-            if top < s <= room:
-                best, top = ([d[x][1], d[y][1]], [], s), s
-            at = bisect_left(od, s - room)
-            if at < len(o) and top < s - od[at] <= room:
-                best, top = ([d[x][1], d[y][1]], [o[at][1]], s - od[at]), s - od[at]
-            if top == room:
-                return best
-    dd = [x for x, _ in d]
-    for x in range(len(o)):  # one for two
-        for y in range(x + 1, len(o)):
-            s = o[x][0] + o[y][0]
-            at = bisect_left(dd, s + room + 1) - 1
-            if at >= 0 and top < dd[at] - s <= room:
-                best, top = ([d[at][1]], [o[x][1], o[y][1]], dd[at] - s), dd[at] - s
-            if top == room:
-                return best
-    return best
+def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
+    """As quick_fill, largest items first."""
+    return quick_fill(sizes, capacity, sorted(range(len(sizes)), key=lambda i: (-sizes[i], i)))
 
 
 def least_bins(sizes: list[int], capacity: int) -> int:
@@ -100,44 +58,89 @@ def least_bins(sizes: list[int], capacity: int) -> int:
     return max(1, int((big + mid + more).max()))
 
 
-def improve(bins: list[list[int]], sizes: list[int], capacity: int, steps: int = STEPS, window: int = WINDOW) -> list[list[int]]:
-    """Empty bins by exchanges that raise the sum of squared fills; the search ends once no packing could have fewer bins.
-
-    Weight always moves from an emptier bin to a fuller one, so each step raises the sum and the search ends.
+def _exchanges(items: list[int], sizes: list[int]) -> list[tuple[int, tuple[int, ...]]]:
+    """(size, items) that a bin may give for one item: nothing, one, or two. Items of one size are alike, so a bin offers
+    no more than its different sizes, of which there are few: their sum is the capacity at most."""
+    by: dict[int, list[int]] = {}
+    for i in items:
+        if sizes[i] and len(by.setdefault(sizes[i], [])) < 2:
+            by[sizes[i]].append(i)
+    one = sorted((s, x[0]) for s, x in by.items())
+    out: list[tuple[int, tuple[int, ...]]] = [(0, ())] + [(s, (i,)) for s, i in one]
+    out += [(2 * s, (x[0], x[1])) for s, x in by.items() if len(x) > 1]
+    return out + [(s + r, (i, j)) for k, (s, i) in enumerate(one) for r, j in one[:k]]
+
+
+def _pour(bins: list[list[int]], fill: list[int], sizes: list[int], capacity: int, givers: list[int], takers: list[int]) -> int:
+    """Weight that moves from givers to takers: each taker gets, for nothing or for one or two of its items, the giver's item that
+    leaves it fullest, until none does. Givers are emptier than takers, so each step raises the sum of squared fills."""
+    pool = sorted((sizes[i], i) for b in givers for i in bins[b] if sizes[i])
+    where = {i: b for b in givers for i in bins[b]}
+    moved = 0
+    for b in takers:
+        room = capacity - fill[b]
+        while room and pool:
+            top, best = 0, None
+            for w, out in _exchanges(bins[b], sizes):
+                at = bisect_right(pool, (w + room, len(sizes))) - 1
+                if at >= 0 and pool[at][0] - w > top and fill[where[pool[at][1]]] <= fill[b]:
+                    top, best = pool[at][0] - w, (at, out)
+                    if top == room:
+                        break
+            if best is None:
+                break
+            at, out = best
+            i = pool.pop(at)[1]
+            giver = where.pop(i)
+            bins[giver] = [x for x in bins[giver] if x != i] + list(out)
+            bins[b] = [x for x in bins[b] if x not in out] + [i]
+            for x in out:
+                where[x] = giver
+                insort(pool, (sizes[x], x))
+            fill[b] += top
+            fill[giver] -= top
+            room -= top
+            moved += top
+    return moved
+
+
+def improve(bins: list[list[int]], sizes: list[int], capacity: int) -> list[list[int]]:
+    """Empty bins by exchanges that raise the sum of squared fills; the search ends once no packing could have fewer bins, or nothing moves.
+
+    The emptiest bins, as many as are above the bound, give to all others, and what is left in them is placed anew if that
+    raises the sum; then the emptier half of the underfull bins gives to the fuller one, which gathers room where bins may empty.
     """
+    bins = [list(b) for b in bins if b]
     bound = least_bins(sizes, capacity)
     fill = [sum(sizes[i] for i in b) for b in bins]
-    count = sum(1 for b in bins if b)
-    stuck: set[int] = set()
-    while count > bound and steps > 0:
+    while True:
+        order = sorted((b for b in range(len(bins)) if bins[b]), key=lambda b: (fill[b], b))
+        above = len(order) - bound
+        if above <= 0:
+            break
+        moved = _pour(bins, fill, sizes, capacity, order[:above], order[:above - 1:-1])
+        left = [b for b in order[:above] if bins[b]]
+        items = [i for b in left for i in bins[b]]
+        again = [[items[j] for j in b] for b in best_fit([sizes[i] for i in items], capacity)]
+        fills = [sum(sizes[i] for i in b) for b in again]
+        if len(again) <= len(left) and sum(f * f for f in fills) > sum(fill[b] ** 2 for b in left):
+            for k, b in enumerate(left):
+                bins[b], fill[b] = (again[k], fills[k]) if k < len(again) else ([], 0)
+            moved += 1
         under = sorted((b for b in range(len(bins)) if bins[b] and fill[b] < capacity), key=lambda b: (fill[b], b))
-        donors = [b for b in under if b not in stuck]
-        if not donors or len(under) < 2:
+        half = len(under) // 2
+        moved += _pour(bins, fill, sizes, capacity, under[:half], under[:half - 1:-1] if half else under)
+        if not moved:
             break
-        donor, moved = donors[0], False
-        for b in [x for x in reversed(under) if x != donor and fill[x] >= fill[donor]][:window]:
-            while bins[donor] and steps > 0 and fill[b] < capacity and (hit := _exchange(bins[donor], bins[b], sizes, capacity - fill[b])):
-                give, get, w = hit
-                steps -= 1
-                bins[donor] = [i for i in bins[donor] if i not in give] + get
-                bins[b] = [i for i in bins[b] if i not in get] + give
-                fill[donor] -= w
-                fill[b] += w
-                moved = True
-            if not bins[donor]:
-                break
-        if not bins[donor]:
-            count -= 1
-            stuck.clear()
-        elif not moved or donor in stuck:
-            stuck.add(donor)
-        else:
-            stuck.add(donor)
     return [b for b in bins if b]
 
 
 def fill_bins(sizes: list[int], capacity: int) -> list[list[int]]:
-    return improve(best_fit(sizes, capacity), sizes, capacity)
+    """The better of two searches; the second starts from the largest items and is made only if the first misses the bound."""
+    first = improve(quick_fill(sizes, capacity), sizes, capacity)
+    if len(first) <= least_bins(sizes, capacity):
+        return first
+    return min(first, improve(best_fit(sizes, capacity), sizes, capacity), key=len)
 
 
 def pack(items: DataFrame, containers: DataFrame, id_col: str = "doc_id", size_col: str = "n_tokens", group: int = GROUP) -> DataFrame:

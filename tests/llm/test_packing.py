@@ -82,3 +82,21 @@ def test_groups_hold_all_items(spark):
     assert got.select("doc_id").distinct().count() == 3000
     f = P.fills(got, kinds).first()
     assert f.fullest <= 50 and f.unused < 0.02
+
+
+def test_fill_needs_the_search():
+    """Neither start finds these packings; the exchanges do."""
+    sizes = [6, 5, 5, 4, 4, 3, 3]
+    assert len(P.best_fit(sizes, 10)) == 4 and len(P.fill_bins(sizes, 10)) == 3
+    r = random.Random(7)
+    sizes = [r.randint(20, 500) for _ in range(3000)]
+    quick = P.quick_fill(sizes, 1024)
+    found = P.improve(quick, sizes, 1024)
+    assert sorted(i for b in found for i in b) == list(range(3000)) and max(sum(sizes[i] for i in b) for b in found) <= 1024
+    assert len(quick) - len(found) >= 0.5 * (len(quick) - P.least_bins(sizes, 1024)) > 0
+    assert quick == P.quick_fill(sizes, 1024)  # the start is left as it was
+
+
+def test_many_equal_and_tiny_items():
+    assert len(P.fill_bins([1] * 20_000 + [3] * 5_000 + [0] * 100, 4096)) == 9
+    assert len(P.fill_bins([7] * 5_000, 20)) == 2_500
