@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Rows of a dimension that are broadcast at most; a larger one is joined by shuffling.
-SMALL = 100_000
+#: Rows and bytes of a dimension that are broadcast at most; a larger one is joined by shuffling.
+SMALL, BYTES = 100_000, 64 << 20
 
 
 def lookup(df: DataFrame, dim: DataFrame, on: dict[str, str], take: dict[str, str], default: dict[str, Column] | None = None) -> DataFrame:
@@ -16,7 +16,8 @@ def lookup(df: DataFrame, dim: DataFrame, on: dict[str, str], take: dict[str, st
     """
     keys = {v: f"_k{i}" for i, v in enumerate(on.values())}
     d = dim.select(*[F.col(k).alias(n) for k, n in keys.items()], *[F.col(c).alias(f"_t_{c}") for c in take])
-    if len(d.take(SMALL + 1)) <= SMALL:
+    n, size = d.limit(SMALL + 1).select(sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in d.columns), F.lit(8)).alias("b")).agg(F.count("*"), F.sum("b")).first()
+    if n <= SMALL and (size or 0) <= BYTES:
         d = F.broadcast(d)
     cond = F.lit(True)
     for left, right in on.items():

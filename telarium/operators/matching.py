@@ -2,47 +2,91 @@
 
 from __future__ import annotations
 
+import math
+import zlib
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from telarium.functions import text as T
 from telarium.session import settle
 
-# Least similarity, margin to the second, least length, length of grams, characters of a row that count.
-THRESHOLD, MARGIN, LEAST, GRAM, SAMPLE = 0.55, 0.10, 25, 5, 400
+# Least similarity, margin to the second, least length, length of grams.
+THRESHOLD, MARGIN, LEAST, GRAM = 0.55, 0.10, 25, 5
+#: A gram is frequent in more than this share of the texts; so there are at most mean number of grams / FREQUENT of them, which tasks get whole.
+FREQUENT = 1 / 500
 
 
-def _grams(df: DataFrame, key: str, group: str, c: Column) -> DataFrame:
-    """Grams of each text. The compact text is written first, else each gram would make it anew."""
-    t = settle(df.select(F.col(key).alias(f"{key}_"), F.col(group).alias("g_"), T.compact(c).alias("t")).where(F.length("t") >= LEAST))
-    return t.where(F.col("g_").isNotNull()).select(f"{key}_", "g_", T.grams(F.col("t"), GRAM).alias("grams"))
+def _lists(keys: pa.Array, groups: pa.Array, lists: list[np.ndarray], name: str) -> pa.RecordBatch:
+    off = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
+    flat = np.concatenate(lists) if lists else np.zeros(0, np.int64)
+    return pa.RecordBatch.from_arrays([keys, groups, pa.ListArray.from_arrays(pa.array(off), pa.array(flat, pa.int64()))], ["k", "g", name])
 
 
-def scores(rows: DataFrame, objectives: DataFrame, row_key: str, objective_key: str, group: str, statement: str = "statement", least: float = 0.0) -> DataFrame:
+def _grams(df: DataFrame, key: str, group: str, c: Column) -> DataFrame:
+    """(k, g, grams): sorted codes of the grams of each text, written once; texts under LEAST characters and null groups have none.
+
+    A compact text has ASCII letters and digits only, so a gram is 40 bits; above them are 24 bits of its group's hash.
+    """
+    t = df.where(F.col(group).isNotNull()).select(F.col(key).alias("k"), F.col(group).cast("string").alias("g"), T.compact(c).alias("t")).where(F.length("t") >= LEAST)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for g, text in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+                x = np.frombuffer(text.encode(), np.uint8).astype(np.int64)
+                n = len(x) - GRAM + 1
+                out.append(np.unique(sum(x[i:n + i] << 8 * i for i in range(GRAM))) | (zlib.crc32(g.encode()) & 0x7FFFFF) << 8 * GRAM)
+            yield _lists(b.column(0), b.column(1), out, "grams")
+
+    return settle(t.mapInArrow(run, f"k {t.schema['k'].dataType.simpleString()}, g string, grams array<long>"))
+
+
+def _prefixes(x: DataFrame, frequent: dict[int, int], least: float) -> DataFrame:
+    """(k, g, h): of each text its rarest grams, so many that a text with the share ``least`` of its grams in common has one of them."""
+    often = np.array(sorted(frequent), np.int64)
+    shared = x.sparkSession.sparkContext.broadcast((often, np.array([frequent[h] for h in often.tolist()], np.int64)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often, n = shared.value
+        for b in batches:
+            out, grams = [], b.column(2)
+            flat, off = grams.values.to_numpy(), grams.offsets.to_numpy()
+            for i in range(len(off) - 1):
+                hs = flat[off[i]:off[i + 1]]
+                if len(often):
+                    at = np.minimum(np.searchsorted(often, hs), len(often) - 1)
+                    hs = hs[np.argsort(np.where(often[at] == hs, n[at], 0), kind="stable")]
+                out.append(hs[:len(hs) - math.ceil(least * len(hs) - 1e-9) + 1])
+            yield _lists(b.column(0), b.column(1), out, "hs")
+
+    return x.mapInArrow(run, f"k {x.schema['k'].dataType.simpleString()}, g string, hs array<long>").select("k", "g", F.explode("hs").alias("h"))
+
+
+def scores(rows: DataFrame, objectives: DataFrame, row_key: str, objective_key: str, group: str, statement: str = "statement", least: float = 0.0, sample: int | None = None) -> DataFrame:
     """(row, objective, score): containment of 5-grams between rows and objectives of the same group.
 
-    Grams are exploded once on each side and meet in an equi-join on (group, gram); pairs without a common gram have no row.
-    With ``least`` above 0 pairs are only made by grams that a pair with that score must share: of the side with fewer grams, its
-    rarest ones down to the share that may be missing. Grams that everything contains then make no pairs.
+    Texts become sorted lists of coded grams once. With ``least`` above 0
+    pairs are made by the grams that a pair with that score must share: of the side with fewer grams, its
+    rarest ones down to the share that may be missing; else by any gram. Each pair is then compared by its lists. ``sample``: only so many characters
+    of a row's text count, as for rows of tables whose text was kept so far; by default all.
     """
-    a = _grams(rows, row_key, group, T.without_row_code(F.substring(F.col(statement), 1, SAMPLE)))
-    b = _grams(objectives, objective_key, group, F.col(statement))
-    rk, ok = f"{row_key}_", f"{objective_key}_"
-    na, nb = a.select(F.col(rk).alias("ra"), F.size("grams").alias("na")), b.select(F.col(ok).alias("ob"), F.size("grams").alias("nb"))
+    said = F.col(statement) if sample is None else F.substring(F.col(statement), 1, sample)
+    a, b = _grams(rows, row_key, group, T.without_row_code(said)), _grams(objectives, objective_key, group, F.col(statement))
+    x, y = (d.select("g", F.col("k").alias(n), F.explode("grams").alias("h")) for d, n in ((a, "row"), (b, "objective")))
+    on = ["g", "h"]
     if least > 0:
-        h = F.transform("grams", lambda g: F.xxhash64("g_", g))  # equal hashes of different grams only make a pair that is then dropped
-        x, y = a.select(rk, F.explode(h).alias("h")), b.select(ok, F.explode(h).alias("h"))
-        n = x.select("h").unionByName(y.select("h")).groupBy("h").agg(F.count("*").alias("df"))
-        rare = lambda d, k: d.join(n, "h").groupBy(k).agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("s")).select(
-            k, F.explode(F.slice("s", F.lit(1), F.size("s") - F.ceil(F.size("s") * least).cast("int") + 1)).alias("s")).select(k, "s.h")
-        pairs = rare(x, rk).join(y, "h").select(rk, ok).unionByName(x.join(rare(y, ok), "h").select(rk, ok)).distinct()
-        both = pairs.join(a, rk).join(b.select(ok, F.col("g_").alias("g2"), F.col("grams").alias("other")), ok).where("g_ = g2")
-        common = both.select(rk, ok, F.size(F.array_intersect("grams", "other")).alias("common"))
+        n = x.select("h").unionByName(y.select("h")).groupBy("h").agg(F.count("*").alias("n"))
+        frequent = {r.h: r.n for r in n.where(F.col("n") > max(50, int((a.count() + b.count()) * FREQUENT))).collect()}
+        p, q = (_prefixes(d, frequent, least).withColumnRenamed("k", n) for d, n in ((a, "row"), (b, "objective")))
+        pairs = p.join(y, on).select("row", "objective").unionByName(x.join(q, on).select("row", "objective")).distinct()
     else:
-        x, y = a.select(rk, "g_", F.explode("grams").alias("gram")), b.select(ok, "g_", F.explode("grams").alias("gram"))
-        common = x.join(y, ["g_", "gram"]).groupBy(rk, ok).agg(F.count("*").alias("common"))
-    s = common.join(na, F.col(rk) == F.col("ra")).join(nb, F.col(ok) == F.col("ob"))
-    out = s.select(F.col(rk).alias("row"), F.col(ok).alias("objective"), (F.col("common") / F.least("na", "nb")).alias("score"))
+        pairs = x.join(y, on).select("row", "objective").distinct()
+    both = pairs.join(a.select(F.col("k").alias("row"), F.col("grams").alias("ga")), "row").join(b.select(F.col("k").alias("objective"), F.col("grams").alias("gb")), "objective")
+    out = both.select("row", "objective", (F.size(F.array_intersect("ga", "gb")) / F.least(F.size("ga"), F.size("gb"))).alias("score"))
     return out.where(F.col("score") >= least) if least > 0 else out
 
 

@@ -44,7 +44,8 @@ def assign_bands(items: DataFrame, marks: DataFrame, group: list[str], y: str, m
 
 
 def upper_median(df: DataFrame, group: list[str], value: str, name: str = "median") -> DataFrame:
-    """The middle value of a group, the upper of the two middle ones."""
+    """The middle value of a group, the upper of the two middle ones. Equal values are counted within tasks first, so only different ones are sorted."""
     w = Window.partitionBy(*group)
-    r = df.where(F.col(value).isNotNull()).select(*group, value, F.row_number().over(w.orderBy(value)).alias("_r"), F.count("*").over(w).alias("_n"))
-    return r.where("_r = floor(_n / 2) + 1").select(*group, F.col(value).alias(name))
+    c = df.where(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count("*").alias("_c"))
+    r = c.select(*group, value, "_c", F.sum("_c").over(w.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_to"), F.sum("_c").over(w).alias("_n"))
+    return r.where("_to - _c < floor(_n / 2) + 1 AND floor(_n / 2) + 1 <= _to").select(*group, F.col(value).alias(name))

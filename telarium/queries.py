@@ -296,7 +296,7 @@ def upper_median(spark, d):
 _COMPACT = "regexp_replace(lower(strip_accents(replace(replace(coalesce({0}, ''), 'ﬁ', 'fi'), 'ﬂ', 'fl'))), '[^a-z0-9]', '', 'g')"
 _GRAMS = "list_distinct(list_transform(range(1, length(t) - 3), lambda i: substr(t, i, 5)))"
 _SCORES = f"""
-a AS (SELECT row_id, g, {_GRAMS} AS grams FROM (SELECT row_id, {_LETTERS.format('code')} AS g, {_COMPACT.format("regexp_replace(substr(statement, 1, 400), '^\\s*OA\\s*[0-9A-Za-z]{{1,2}}[.)]?\\s*', '')")} AS t FROM raw_objectives) WHERE length(t) >= 25),
+a AS (SELECT row_id, g, {_GRAMS} AS grams FROM (SELECT row_id, {_LETTERS.format('code')} AS g, {_COMPACT.format("regexp_replace(statement, '^\\s*OA\\s*[0-9A-Za-z]{{1,2}}[.)]?\\s*', '')")} AS t FROM raw_objectives) WHERE length(t) >= 25),
 b AS (SELECT row_id, g, {_GRAMS} AS grams FROM (SELECT row_id, {_LETTERS.format('code')} AS g, {_COMPACT.format('statement')} AS t FROM objectives) WHERE length(t) >= 25),
 s AS (SELECT "row", objective, score FROM (SELECT a.row_id AS "row", b.row_id AS objective, len(list_intersect(a.grams, b.grams)) / least(len(a.grams), len(b.grams)) AS score FROM a JOIN b ON a.g = b.g) WHERE score >= 0.45)"""
 
@@ -607,7 +607,7 @@ def manifest(spark, d):
     return exports.manifest(objectives(spark, d), table(spark, d, "offerings"))
 
 
-_TITLE = "coalesce(nullif(trim(regexp_replace(subject_name, '(?i)\\s+\\d+\\s*[°º]?(?:\\s*(?:básico|basico|medio))?\\s*$', '')), ''), subject_name)"
+_TITLE = "coalesce(nullif(trim(regexp_replace(subject_name, '(?i)\\s+(?:[1-8]\\s*[º°]?\\s*(?:Básico|Medio)|[12])\\s*$', '')), ''), trim(subject_name))"
 
 
 @query("document_index", f"""

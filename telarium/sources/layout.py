@@ -17,8 +17,10 @@ LEAST, SAMPLE = 12, 400
 _PAGE = ["doc", "page"]
 # Captions of columns, markers of objectives, bullets.
 _OBJ, _IND = r"(?iu)objetivos\s+de\s+aprendizaje", r"(?iu)indicadores\s+de\s+evaluaci"
-_STANDALONE, _PREFIXED, _BARE = r"^OA\s*(\d{1,2}|[A-Za-z])\.?$", r"^OA\s*(\d{1,2}|[A-Za-z])\s*[.:)]\s", r"^(\d{1,2}|[a-zA-Z])[.)]\s"
-_CAPTION = r"(?i)se espera que|l[ao]s(?: y l[ao]s)? estudiantes que"
+_STANDALONE = r"^\s*OA\s*([0-9]{1,2}|[A-Za-z])\s*\.?\s*$"
+_PREFIXED = r"^\s*OA\s*([0-9]{1,2}|[A-Za-z])\s*[.:)]?\s+(?=\S)"
+_BARE = r"^\s*([0-9]{1,2}|[A-Za-z])[.)]\s+(?=[A-ZÁÉÍÓÚÑ¿])"
+_CAPTION = r"(?i)(?:se espera que.*capaces de|que han alcanzado este aprendizaje)"
 _BULLET = r"^\s*(?:•|›|>>|‣|●|>(?=\s+[A-ZÁÉÍÓÚÑ])|ú(?=\s))"
 
 
