@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from telarium.functions import text as T
@@ -75,3 +75,15 @@ def violations(df: DataFrame, rules: dict[str, str]) -> DataFrame:
     """(row_id, rule): rows that break an expectation, each a SQL condition; a null outcome breaks it too. One scan for all rules."""
     found = F.array_compact(F.array(*[F.when(~F.coalesce(F.expr(cond), F.lit(False)), F.lit(name)) for name, cond in rules.items()]))
     return df.select("row_id", F.explode(found).alias("rule"))
+
+
+def flags_without(df: DataFrame, flag: str, needed: str, group: str) -> DataFrame:
+    """(group, flagged, without_metadata): flagged rows, and those of them that lack what a flag must come with."""
+    return df.where(F.col(flag)).groupBy(group).agg(F.count("*").alias("flagged"), F.count_if(F.col(needed).isNull()).alias("without_metadata"))
+
+
+def report(found: DataFrame, rule: str, key: str, most: int) -> DataFrame:
+    """(rule, n, examples): how often each rule is broken, with its first ``most`` keys; nothing but these is gathered."""
+    w = Window.partitionBy(rule).orderBy(key)
+    first = found.withColumn("_k", F.row_number().over(w)).where(F.col("_k") <= most).groupBy(rule).agg(F.array_sort(F.collect_list(key)).alias("examples"))
+    return found.groupBy(rule).agg(F.count("*").alias("n")).join(first, rule)

@@ -78,12 +78,12 @@ def facets(df: DataFrame, cols: list[str]) -> DataFrame:
     return x.groupBy("facet", "value").agg(F.count("*").alias("n"))
 
 
-def progression(df: DataFrame, key: str = "row_id") -> DataFrame:
-    """(key, other): records that share the code, or strand, subject and number at another level. Two equi-joins.
+def progression(df: DataFrame, key: str = "row_id", asked: DataFrame | None = None) -> DataFrame:
+    """(key, other): records that share the code, or strand, subject and number at another level, with each of ``asked`` (all by default). Two equi-joins.
 
-    Codes that hold many records make as many pairs; give records that are distinct.
+    Codes that hold many records make as many pairs; ask for some records, or give records that are distinct.
     """
-    a, b = df.alias("a"), df.alias("b")
+    a, b = (df if asked is None else asked).alias("a"), df.alias("b")
     same = a.join(b, (F.col("a.code") == F.col("b.code")) & (F.col(f"a.{key}") != F.col(f"b.{key}"))).select(F.col(f"a.{key}").alias(key), F.col(f"b.{key}").alias("other"))
     strand = a.join(b, (F.col("a.strand_eje") == F.col("b.strand_eje")) & (F.col("a.subject_id") == F.col("b.subject_id")) & (F.col("a.oa_number") == F.col("b.oa_number")) & (F.col("a.level_id") != F.col("b.level_id"))).select(
         F.col(f"a.{key}").alias(key), F.col(f"b.{key}").alias("other"))
@@ -135,3 +135,11 @@ def highlight(c: Column, query: str, least: int = 2) -> Column:
     one = lambda ch: "[" + ch + "".join(sorted(variants.get(ch, ()))) + "][\\u0300-\\u036f]*" if ch.isalpha() else ch
     pattern = "|".join("".join(map(one, t)) for t in toks)
     return F.regexp_replace(safe, f"(?iu)(?<!&)({pattern})(?![a-z]{{0,4}};)", "<mark>$1</mark>")
+
+
+def grep(df: DataFrame, text: str, level: str | None = None, subject: str | None = None, category: str | None = None, limit: int = 20, indicators: Column | None = None) -> DataFrame:
+    """The first ``limit`` rows by row_id in whose statement, code, id, keywords or indicators the text stands; subject is a part of the id. Filters reach the scan."""
+    for cond, given in ((F.col("level_id") == level, level), (F.contains(F.col("subject_id"), F.lit(subject)), subject), (F.col("category") == category, category)):
+        df = df.where(cond) if given else df
+    fields = [F.col("statement"), F.col("code"), F.col("oa_id"), F.array_join("keywords", " ")] + ([indicators] if indicators is not None else [])
+    return top(substring(df, text, fields), [F.col("row_id")], limit)

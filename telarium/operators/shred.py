@@ -118,7 +118,7 @@ def nodes(body: str | None) -> list[tuple]:
 def shred(df: DataFrame, id_col: str = "record_id", body_col: str = "body") -> DataFrame:
     """Adjacency table of the JSON bodies of df.
 
-    Null bodies and bodies that do not parse give no rows; a body that is a scalar or an array
+    Null bodies and bodies that do not parse give no rows (refused() lists them); a body that is a scalar or an array
     gives its record node and plain nodes. A null entry is no node but keeps its place. Repeated
     ids are shredded as often as they stand there. Columns of df other than the two named are not
     read, so clashing names do no harm. Row-local: no shuffle, whatever the skew.
@@ -140,6 +140,27 @@ def shred(df: DataFrame, id_col: str = "record_id", body_col: str = "body") -> D
     return df.select(F.col(id_col).cast("long"), F.col(body_col).cast("string")).mapInArrow(run, SCHEMA)
 
 
+def refused(df: DataFrame, id_col: str = "record_id", body_col: str = "body") -> DataFrame:
+    """(record_id, reason) of the bodies that give no rows: null, not_json, or too_deep for the parser."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for rid, body in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                try:
+                    if body is None:
+                        out.append((rid, "null"))
+                    else:
+                        json.loads(body)
+                except ValueError:
+                    out.append((rid, "not_json"))
+                except RecursionError:
+                    out.append((rid, "too_deep"))
+            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in out], pa.int64()), pa.array([r for _, r in out], pa.string())], ["record_id", "reason"])
+
+    return df.select(F.col(id_col).cast("long"), F.col(body_col).cast("string")).mapInArrow(run, "record_id long, reason string")
+
+
 def found_nodes(adjacency: DataFrame) -> DataFrame:
     """Entity nodes with the path of the parent: record_id, node, path, parent_path."""
     return adjacency.where("entity IS NOT NULL").select("record_id", F.col("entity").alias("node"), "path", "parent_path")

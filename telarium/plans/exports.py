@@ -15,6 +15,17 @@ def csv_line(cells: list[Column]) -> Column:
     return F.concat_ws(",", *[T.csv_cell(F.regexp_replace(c.cast("string"), "\n", " ")) for c in cells])
 
 
+def json_line(cols: list[str]) -> Column:
+    """A row as one line of JSON, with its null fields."""
+    return F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
+
+
+def ddl(df: DataFrame, name: str) -> str:
+    """CREATE TABLE of a star table for a database with the types INTEGER, REAL and TEXT."""
+    TEXT, kinds = "TEXT", {"bigint": "INTEGER", "int": "INTEGER", "smallint": "INTEGER", "boolean": "INTEGER", "double": "REAL", "float": "REAL"}
+    return f"CREATE TABLE {name} ({', '.join(f'{c} {kinds.get(t, TEXT)}' for c, t in df.dtypes)})"
+
+
 def prompt_block(code: Column, subject: Column, level: Column, track: Column, statement: Column, indicators: Column) -> Column:
     body = F.replace(F.regexp_replace(F.coalesce(statement, F.lit("")), r"\n\s*-\s*", "; "), F.lit("\n"), F.lit(" "))
     more = F.when(F.size(indicators) > 0, F.concat(F.lit("\nIndicadores: "), F.array_join(indicators, " "))).otherwise("")

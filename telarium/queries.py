@@ -33,27 +33,42 @@ def _opened(x: str) -> str:
 
 
 def _children(parent: str, field: str, prefix: str) -> str:
-    """Rows (record_id, parent_path, path, v) of the children in a field of the rows of parent."""
+    """Rows (record_id, parent_path, path, k, v) of the children in a field of the rows of parent; k is the place."""
     c = f"(SELECT record_id, path AS parent_path, {_opened(f'json_extract(v, {chr(39)}$.{field}{chr(39)})')} AS c, row_number() OVER () AS u FROM {parent} WHERE json_type(v) = 'OBJECT')"
     if not prefix:
-        return f"SELECT record_id, parent_path, parent_path || '/' || e.key AS path, {_opened('e.value')} AS v FROM {c} x, json_each(x.c) e WHERE json_type(x.c) = 'OBJECT' AND json_type(e.value) <> 'NULL'"
+        return f"SELECT record_id, parent_path, parent_path || '/' || e.key AS path, list_position(json_keys(x.c), e.key) - 1 AS k, {_opened('e.value')} AS v FROM {c} x, json_each(x.c) e WHERE json_type(x.c) = 'OBJECT' AND json_type(e.value) <> 'NULL'"
     numbered = "len(json_keys(x.c)) > 0 AND len(list_filter(json_keys(x.c), lambda k: NOT regexp_full_match(k, '\\d+'))) = 0"
     return f"""
-SELECT record_id, parent_path, parent_path || '/{prefix}' || e.key AS path, {_opened('e.value')} AS v FROM {c} x, json_each(x.c) e WHERE json_type(x.c) = 'ARRAY' AND json_type(e.value) <> 'NULL'
-UNION ALL SELECT record_id, parent_path, parent_path || '/{prefix}' || k AS path, v FROM (
+SELECT record_id, parent_path, parent_path || '/{prefix}' || e.key AS path, e.key::INT AS k, {_opened('e.value')} AS v FROM {c} x, json_each(x.c) e WHERE json_type(x.c) = 'ARRAY' AND json_type(e.value) <> 'NULL'
+UNION ALL SELECT record_id, parent_path, parent_path || '/{prefix}' || k AS path, k, v FROM (
   SELECT record_id, parent_path, {_opened('e.value')} AS v, row_number() OVER (PARTITION BY x.u ORDER BY CAST(e.key AS INT)) - 1 AS k FROM {c} x, json_each(x.c) e WHERE json_type(x.c) = 'OBJECT' AND {numbered}) WHERE json_type(v) <> 'NULL'
-UNION ALL SELECT record_id, parent_path, parent_path || '/{prefix}0' AS path, x.c AS v FROM {c} x WHERE json_type(x.c) NOT IN ('ARRAY', 'NULL') AND NOT (json_type(x.c) = 'OBJECT' AND ({numbered} OR len(json_keys(x.c)) = 0)) AND x.c <> '\"\"'"""
+UNION ALL SELECT record_id, parent_path, parent_path || '/{prefix}0' AS path, 0 AS k, x.c AS v FROM {c} x WHERE json_type(x.c) NOT IN ('ARRAY', 'NULL') AND NOT (json_type(x.c) = 'OBJECT' AND ({numbered} OR len(json_keys(x.c)) = 0)) AND x.c <> '\"\"'"""
 
 
-def _nested_sql() -> str:
-    """Paths of the nested records, by one table for each entity of shred.CHILDREN."""
+def _nested_tables() -> str:
+    """One table n_ENTITY for each entity of shred.CHILDREN."""
     above: dict[str, list[tuple[str, str, str]]] = {e: [] for e in shred.ENTITIES}
     for parent, fields in shred.CHILDREN.items():
         for field, (child, prefix) in fields.items():
             above[child].append((parent, field, prefix))
-    ctes = ["n_record AS (SELECT record_id, '' AS parent_path, 'root' AS path, CAST(body AS JSON) AS v FROM nested_records WHERE json_valid(body))"]
+    ctes = ["n_record AS (SELECT record_id, '' AS parent_path, 'root' AS path, 0 AS k, CAST(body AS JSON) AS v FROM nested_records WHERE json_valid(body))"]
     ctes += [f"n_{e} AS MATERIALIZED (" + " UNION ALL ".join(_children(f"n_{p}", f, x) for p, f, x in above[e]) + ")" for e in shred.ENTITIES[1:]]
-    return "WITH " + ", ".join(ctes) + " " + " UNION ALL ".join(f"SELECT record_id, '{e}' AS node, path, parent_path FROM n_{e}" for e in shred.ENTITIES)
+    return "WITH " + ", ".join(ctes) + " "
+
+
+def _nested_sql() -> str:
+    """Paths of the nested records."""
+    return _nested_tables() + " UNION ALL ".join(f"SELECT record_id, '{e}' AS node, path, parent_path FROM n_{e}" for e in shred.ENTITIES)
+
+
+def _scalar(x: str) -> str:
+    return f"CASE json_type({x}) WHEN 'VARCHAR' THEN {x} ->> '$' WHEN 'NULL' THEN NULL WHEN 'OBJECT' THEN NULL WHEN 'ARRAY' THEN NULL ELSE CAST({x} AS VARCHAR) END"
+
+
+def _entity_sql(name: str) -> str:
+    taken = {"record_id", "path", "parent_path", "ordinal", "text"}
+    fields = ", ".join(f"{_scalar(f'json_extract(v, {chr(39)}$.{f}{chr(39)})')} AS {'f_' if f in taken else ''}{f}" for f in shred.FIELDS[name])
+    return f"{_nested_tables()} SELECT record_id, path, parent_path, k AS ordinal, {_scalar('v')} AS text, {fields} FROM n_{name}"
 
 
 @query("p3_found", _nested_sql())
@@ -61,7 +76,9 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return shred.found_nodes(shred.shred(table(spark, d, "nested_records")))
 
 
-@query("p3_totals")
+@query("p3_totals", f"""{_nested_tables()}
+SELECT *, total_oas <> objectives AS stale FROM (SELECT r.record_id, CASE WHEN regexp_full_match(any_value(r.t), '[+-]?\\d+') THEN any_value(r.t)::BIGINT END AS total_oas, count(o.record_id) AS objectives
+FROM (SELECT record_id, {_scalar("json_extract(v, '$.metadata.total_oas')")} AS t FROM n_record) r LEFT JOIN n_objective o ON r.record_id = o.record_id GROUP BY r.record_id)""")
 def p3_totals(spark: SparkSession, d: str) -> DataFrame:
     return shred.totals(settle(shred.shred(table(spark, d, "nested_records"))))
 
@@ -71,7 +88,12 @@ def _entity(name: str) -> Query:
 
 
 for _e in shred.FIELDS:
-    QUERIES[f"p3_{_e}s" if _e != "criterion" else "p3_criteria"] = _entity(_e)
+    query(f"p3_{_e}s" if _e != "criterion" else "p3_criteria", _entity_sql(_e))(_entity(_e))
+
+
+@query("p3_refused", "SELECT record_id, CASE WHEN body IS NULL THEN 'null' ELSE 'not_json' END AS reason FROM nested_records WHERE NOT coalesce(json_valid(body), false)")
+def p3_refused(spark: SparkSession, d: str) -> DataFrame:
+    return shred.refused(table(spark, d, "nested_records"))
 
 
 # ---- text functions --------------------------------------------------------------------------------------------------
@@ -197,9 +219,9 @@ def audit_ids(spark, d):
     return audits.duplicate_ids(objectives(spark, d))
 
 
-@query("audit_routes", "SELECT source_url, count(DISTINCT offering_key) AS n FROM objectives WHERE source_url IS NOT NULL GROUP BY source_url HAVING count(DISTINCT offering_key) > 1")
+@query("audit_routes", "SELECT regexp_replace(source_url, '/[^/]*$', '') AS source_url, count(DISTINCT offering_key) AS n FROM documents WHERE source_url IS NOT NULL GROUP BY 1 HAVING count(DISTINCT offering_key) > 1")
 def audit_routes(spark, d):
-    return audits.routes_used_twice(objectives(spark, d))
+    return audits.routes_used_twice(table(spark, d, "documents").select("offering_key", F.regexp_replace("source_url", "/[^/]*$", "").alias("source_url")))
 
 
 @query("audit_provenance", "SELECT problem, count(*) AS n FROM (SELECT CASE WHEN source IS NULL THEN 'no_source' WHEN source_url IS NULL THEN 'no_source_url' WHEN retrieved_at IS NULL THEN 'no_retrieved_at' END AS problem FROM objectives) WHERE problem IS NOT NULL GROUP BY problem")
@@ -423,30 +445,30 @@ def postings(spark, d):
     return _postings(spark, d).groupBy("token").agg(F.count("*").alias("rows"))
 
 
-@query("search_boolean", f"SELECT row_id FROM ({_POST}) GROUP BY row_id HAVING bool_or(starts_with(token, 'celula')) AND bool_or(starts_with(token, 'anal'))")
+@query("search_boolean", f"SELECT row_id FROM ({_POST}) GROUP BY row_id HAVING bool_or(starts_with(token, 'control')) AND bool_or(starts_with(token, 'cuent'))")
 def search_boolean(spark, d):
-    return search.matching(_postings(spark, d), "row_id", "célula anal")
+    return search.matching(_postings(spark, d), "row_id", "Contról cuent")
 
 
 _SCORE = " + ".join(
-    f"CASE WHEN contains(c, '{t}') THEN 40 ELSE 0 END + CASE WHEN starts_with(s, '{t}') THEN 12 ELSE 0 END + CASE WHEN contains(s, '{t}') THEN 10 ELSE 0 END + CASE WHEN contains(k, '{t}') THEN 5 ELSE 0 END + CASE WHEN contains(e, '{t}') THEN 3 ELSE 0 END" for t in ("medir", "celula"))
+    f"CASE WHEN contains(c, '{t}') THEN 40 ELSE 0 END + CASE WHEN starts_with(s, '{t}') THEN 12 ELSE 0 END + CASE WHEN contains(s, '{t}') THEN 10 ELSE 0 END + CASE WHEN contains(k, '{t}') THEN 5 ELSE 0 END + CASE WHEN contains(e, '{t}') THEN 3 ELSE 0 END" for t in ("reparar", "cuento"))
 
 
 @query("search_ranked", f"""
 SELECT row_id, coalesce(prioritized, false)::INT + {_SCORE} AS score FROM (SELECT row_id, prioritized, {_FOLD.format('code')} AS c, {_FOLD.format('statement')} AS s, {_FOLD.format("array_to_string(keywords, ' ')")} AS k, {_FOLD.format('strand_eje')} AS e FROM objectives)
-WHERE row_id IN (SELECT row_id FROM ({_POST}) GROUP BY row_id HAVING bool_or(starts_with(token, 'medir')) AND bool_or(starts_with(token, 'celula'))) ORDER BY score DESC, row_id LIMIT 20""")
+WHERE row_id IN (SELECT row_id FROM ({_POST}) GROUP BY row_id HAVING bool_or(starts_with(token, 'reparar')) AND bool_or(starts_with(token, 'cuento'))) ORDER BY score DESC, row_id LIMIT 20""")
 def search_ranked(spark, d):
-    hits = search.matching(_postings(spark, d), "row_id", "medir célula")
-    s = search.score("medir célula", F.col("code"), F.col("statement"), F.array_join("keywords", " "), F.col("strand_eje"), F.lit(""), F.col("prioritized"))
+    hits = search.matching(_postings(spark, d), "row_id", "reparar cuento")
+    s = search.score("reparar cuento", F.col("code"), F.col("statement"), F.array_join("keywords", " "), F.col("strand_eje"), F.lit(""), F.col("prioritized"))
     return search.top(objectives(spark, d).join(hits, "row_id", "left_semi").select("row_id", s.alias("score")), [F.desc("score"), F.col("row_id")], 20)
 
 
 _HAY = f"{_FOLD.format(chr(39).join(['concat_ws(', ' ', ', statement, code, oa_id)']))}"
 
 
-@query("search_substring", f"SELECT row_id FROM objectives WHERE level_id = '1_medio' AND contains({_HAY}, 'celula') ORDER BY row_id LIMIT 20")
+@query("search_substring", f"SELECT row_id FROM objectives WHERE level_id = '1_medio' AND contains({_HAY}, 'cuento') ORDER BY row_id LIMIT 20")
 def search_substring(spark, d):
-    x = search.substring(objectives(spark, d).where("level_id = '1_medio'"), "Célula", [F.col("statement"), F.col("code"), F.col("oa_id")])
+    x = search.substring(objectives(spark, d).where("level_id = '1_medio'"), "Cuento", [F.col("statement"), F.col("code"), F.col("oa_id")])
     return search.top(x.select("row_id"), [F.col("row_id")], 20)
 
 
@@ -463,13 +485,13 @@ def facets(spark, d):
     return search.facets(objectives(spark, d), ["level_id", "category", "strand_eje", "curriculum_status", "source"])
 
 
-@query("progression", f"""
-WITH b AS {_FIRST.format('bases_objectives').replace('PARTITION BY code', 'PARTITION BY subject_slug, level_id, number, strand_eje')}
-SELECT a.row_id, b.row_id AS other FROM b a JOIN b ON a.strand_eje = b.strand_eje AND a.subject_slug = b.subject_slug AND a.number = b.number AND a.level_id <> b.level_id""")
+@query("progression", """
+WITH a AS (SELECT * FROM bases_objectives WHERE row_id % 100 = 0)
+SELECT a.row_id, b.row_id AS other FROM a JOIN bases_objectives b ON a.code = b.code AND a.row_id <> b.row_id
+UNION SELECT a.row_id, b.row_id FROM a JOIN bases_objectives b ON a.strand_eje = b.strand_eje AND a.subject_slug = b.subject_slug AND a.number = b.number AND a.level_id <> b.level_id""")
 def progression(spark, d):
-    x = table(spark, d, "bases_objectives").where("code IS NOT NULL").withColumn("k", F.concat_ws("|", "subject_slug", "level_id", "number", "strand_eje"))
-    x = merging.best_by_rank(x, ["subject_slug", "level_id", "number", "strand_eje"], [F.col("row_id")])
-    return search.progression(x.select("row_id", F.concat(F.col("row_id").cast("string")).alias("code"), "strand_eje", F.col("subject_slug").alias("subject_id"), F.col("number").alias("oa_number"), "level_id"))
+    x = table(spark, d, "bases_objectives").select("row_id", "code", "strand_eje", F.col("subject_slug").alias("subject_id"), F.col("number").alias("oa_number"), "level_id")
+    return search.progression(x, asked=x.where("row_id % 100 = 0"))
 
 
 @query("search_explained", f"SELECT row_id, concat_ws(',', CASE WHEN contains({_FOLD.format('code')}, 'lec') THEN 'code' END, CASE WHEN contains({_FOLD.format('statement')}, 'lec') THEN 'statement' END, CASE WHEN contains({_FOLD.format('strand_eje')}, 'lec') THEN 'strand' END) AS fields FROM objectives")
@@ -584,17 +606,34 @@ def cook_sources(spark, d):
 # ---- readers -----------------------------------------------------------------------------------------------------------
 
 
-@query("prose_objectives")
+_LINES = r"""
+l AS (SELECT page_id AS page, pos, regexp_replace(line, '[\r\s]+$', '') AS line FROM (SELECT page_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos FROM bases_pages WHERE text IS NOT NULL))"""
+_PROSE = rf"""
+WITH {_LINES},
+n AS (SELECT *, count(number) OVER (PARTITION BY page ORDER BY pos) AS nr FROM (SELECT *, nullif(regexp_extract(line, '^OA\s*(\d+)\.\s*', 1), '')::INT AS number FROM l WHERE line <> '')),
+b AS (SELECT *, trim(regexp_replace(regexp_replace(line, '^OA\s*(\d+)\.\s*', ''), '^(?:[-•›‣●*]|\ty)\s*', ''), ' ') AS body, sum((number IS NOT NULL OR regexp_matches(line, '^(?:[-•›‣●*]|\ty)\s*'))::INT) OVER (PARTITION BY page, nr ORDER BY pos) AS part FROM n WHERE nr > 0),
+p AS (SELECT page, nr, part, max(number) AS number, string_agg(body, ' ' ORDER BY pos) AS t FROM b GROUP BY ALL),
+w AS (SELECT page, nr, max(number) AS number, string_agg(CASE WHEN part = 1 THEN t ELSE '- ' || t END, chr(10) ORDER BY part) AS t FROM p GROUP BY ALL),
+o AS (SELECT *, coalesce(label <> '' AND len(string_split_regex(label, '\s+')) <= 6 AND NOT ends_with(label, '.'), false) AS is_strand FROM (SELECT *, regexp_extract(t, '\(([^()]{{2,80}})\)\s*$', 1) AS label FROM w)),
+f AS (SELECT page, number, trim(CASE WHEN is_strand THEN regexp_replace(t, '\s*\([^()]{{2,80}}\)\s*$', '') ELSE t END, ' ') AS statement, CASE WHEN is_strand THEN trim(label, ' ') END AS strand FROM o)"""
+
+
+@query("prose_objectives", f"{_PROSE} SELECT * FROM f")
 def prose_objectives(spark, d):
     return prose.objectives(table(spark, d, "bases_pages"))
 
 
-@query("prose_ideas")
+@query("prose_ideas", rf"""
+WITH {_LINES},
+a AS (SELECT * FROM (SELECT *, max(regexp_matches(line, '^OA\s*\d+\.')::INT) OVER (PARTITION BY page ORDER BY pos) AS after FROM l) WHERE after = 0),
+n AS (SELECT *, count(number) OVER (PARTITION BY page ORDER BY pos) AS nr FROM (SELECT *, nullif(regexp_extract(line, '^(\d+)\.\s', 1), '')::INT AS number FROM a))
+SELECT page, max(number) AS number, trim(regexp_replace(string_agg(line, ' ' ORDER BY pos), '^\d+\.\s*', ''), ' ') AS idea FROM n WHERE nr > 0 AND line <> '' AND NOT regexp_matches(line, ':$') GROUP BY page, nr""")
 def prose_ideas(spark, d):
     return prose.ideas(table(spark, d, "bases_pages"))
 
 
-@query("prose_problems")
+@query("prose_problems", f"""{_PROSE} SELECT page, 'numbers' AS problem FROM (SELECT page, list(number ORDER BY number) AS n FROM f GROUP BY page) WHERE n <> range(1, len(n) + 1)
+UNION ALL SELECT DISTINCT page, 'no strand' FROM f WHERE strand IS NULL UNION ALL SELECT DISTINCT page, 'empty' FROM f WHERE statement = ''""")
 def prose_problems(spark, d):
     return prose.problems(settle(prose.objectives(table(spark, d, "bases_pages"))))
 
@@ -628,9 +667,9 @@ def child_counts(spark, d):
     return dimensions.child_counts(table(spark, d, "offerings").select("offering_key"), objectives(spark, d), "offering_key", "offering_key").select("offering_key", "children")
 
 
-@query("search_highlighted")
+@query("search_highlighted", "SELECT row_id, regexp_replace(replace(replace(replace(replace(replace(statement, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#39;'), '(c[uúùûü][\\x{300}-\\x{36F}]*[eéèêë][\\x{300}-\\x{36F}]*n[\\x{300}-\\x{36F}]*t[\\x{300}-\\x{36F}]*[oóòôö][\\x{300}-\\x{36F}]*)', '<mark>\\1</mark>', 'gi') AS html FROM objectives WHERE contains(" + _FOLD.format("statement") + ", 'cuento')")
 def search_highlighted(spark, d):
-    return objectives(spark, d).where(F.contains(T.fold(F.col("statement")), F.lit("celula"))).select("row_id", search.highlight(F.col("statement"), "célula").alias("html"))
+    return objectives(spark, d).where(F.contains(T.fold(F.col("statement")), F.lit("cuento"))).select("row_id", search.highlight(F.col("statement"), "cuénto").alias("html"))
 
 
 @query("export_modules", """
@@ -639,3 +678,6 @@ SELECT source_pdf, module_number, '#### ' || concat_ws(' · ', 'Módulo ' || mod
 FROM expected_learnings WHERE number IS NOT NULL GROUP BY source_pdf, module_number""")
 def export_modules(spark, d):
     return exports.modules_document(table(spark, d, "expected_learnings").where("number IS NOT NULL"))
+
+
+from telarium import landed  # noqa: E402, F401  registers its queries

@@ -56,3 +56,8 @@ def test_long_and_deep():
     assert len(paths(json.dumps({"modules": [{}] * 20_000}))) == 20_001
     deep = '{"a":' * 5000 + "1" + "}" * 5000
     assert paths(deep) in ([("record", "root", "")], [])
+
+
+def test_refused(spark):
+    df = spark.createDataFrame([(1, None), (2, "{"), (3, "{}"), (4, "[" * 100_000 + "]" * 100_000), (5, "3")], "record_id long, body string")
+    assert sorted(map(tuple, S.refused(df).collect())) == [(1, "null"), (2, "not_json"), (4, "too_deep")]
