@@ -266,8 +266,8 @@ def cook_totals(spark, d):
     from telarium.operators import shred
 
     a = shred.shred(table(spark, d, "nested_records"))
-    m = a.where("label = 'metadata' AND parent_id = 0 AND kind = 'object'").select(F.col("record_id").alias("rid"), F.col("node_id").alias("mid"))
-    return a.where("label LIKE 'total%' AND scalar IS NOT NULL").join(m, (F.col("record_id") == F.col("rid")) & (F.col("parent_id") == F.col("mid"))).select("record_id", F.col("label").alias("key"), F.col("scalar").alias("value"))
+    m = a.where("label = 'metadata' AND parent_id = 0 AND kind = 'object'").select(F.col("doc").alias("md"), F.col("node_id").alias("mid"))
+    return a.where("label LIKE 'total%' AND scalar IS NOT NULL").join(m, (F.col("doc") == F.col("md")) & (F.col("parent_id") == F.col("mid"))).select("record_id", F.col("label").alias("key"), F.col("scalar").alias("value"))
 
 
 @query("cook_indicator_search", f"""

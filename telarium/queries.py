@@ -73,18 +73,23 @@ def _entity_sql(name: str) -> str:
 
 @query("p3_found", _nested_sql())
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    return shred.found_nodes(shred.shred(table(spark, d, "nested_records")))
+    return shred.found_nodes(shred.entities(settle(shred.skeleton(shred.shred(table(spark, d, "nested_records"))))))
+
+
+def _nested(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    adjacency = settle(shred.shred(table(spark, d, "nested_records")))
+    return adjacency, shred.entities(adjacency)
 
 
 @query("p3_totals", f"""{_nested_tables()}
 SELECT *, total_oas <> objectives AS stale FROM (SELECT r.record_id, CASE WHEN regexp_full_match(any_value(r.t), '[+-]?\\d+') THEN any_value(r.t)::BIGINT END AS total_oas, count(o.record_id) AS objectives
 FROM (SELECT record_id, {_scalar("json_extract(v, '$.metadata.total_oas')")} AS t FROM n_record) r LEFT JOIN n_objective o ON r.record_id = o.record_id GROUP BY r.record_id)""")
 def p3_totals(spark: SparkSession, d: str) -> DataFrame:
-    return shred.totals(settle(shred.shred(table(spark, d, "nested_records"))))
+    return shred.totals(*_nested(spark, d))
 
 
 def _entity(name: str) -> Query:
-    return lambda spark, d: shred.entity_table(settle(shred.shred(table(spark, d, "nested_records"))), name, shred.FIELDS[name])
+    return lambda spark, d: shred.entity_table(*_nested(spark, d), name, shred.FIELDS[name])
 
 
 for _e in shred.FIELDS:
