@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -30,8 +31,6 @@ ENTITIES = ("record", "level", "subject", "objective", "module", "learning", "cr
 
 #: Field -> (entity of its entries, prefix of their path steps); a field means the same wherever it may stand.
 _FIELD = {f: c for fields in CHILDREN.values() for f, c in fields.items()}
-#: Entries of entries of ... the record, at most.
-DEPTH = 5
 
 SCHEMA = "doc long, record_id long, node_id int, parent_id int, label string, parent_label string, ordinal int, kind string, scalar string"
 _ARROW = pa.schema([
@@ -127,7 +126,7 @@ def _entries(rows: DataFrame) -> DataFrame:
     keyed = F.col("field").isin(*(f for f, (c, _) in _FIELD.items() if c in KEY_FIELDS))
     box = rows.where(F.col("label").isin(*_FIELD) & F.col("parent_id").isNotNull()).select("doc", F.col("node_id").alias("cid"), F.col("parent_id").alias("owner"), F.col("label").alias("field"), F.col("kind").alias("ckind"), F.col("scalar").alias("cscalar"))
     kid = rows.where(F.col("parent_label").isin(*_FIELD)).select("doc", F.col("parent_id").alias("cid"), "node_id", F.col("label").alias("key"), F.col("ordinal").alias("place"), F.col("kind").alias("k"), F.col("scalar").alias("s"))
-    both = box.join(kid, ["doc", "cid"], "left")
+    both = box.join(kid, ["doc", "cid"], "left")  # sorted by (doc, cid), as the windows need it
     w = Window.partitionBy("doc", "cid")
     number = F.regexp_extract("key", r"^\s*(-*\d+)\s*$", 1)
     both = both.withColumn("numbered", F.coalesce(F.min((number != "").cast("int")).over(w) == 1, F.lit(False)) & (F.col("ckind") == "object"))
@@ -148,31 +147,23 @@ def _entries(rows: DataFrame) -> DataFrame:
 def entities(adjacency: DataFrame) -> DataFrame:
     """(doc, record_id, node_id, entity, path, parent_path, ordinal, kind, scalar) of every entity node of a settled adjacency table.
 
-    Entries are joined with the entry that they stand in, DEPTH - 1 times, so each knows its way up; those whose way doesn't lead to the
-    record by fields that entities may have are none. All joins are on (doc, node), so no body and no id gathers rows.
+    From the record down, the entries of each field are joined with the entities that may hold it, and so get their path; entries
+    that stand elsewhere are none. Each entry and each entity is shuffled once, on (doc, node), so no body and no id gathers rows.
     """
     from telarium.session import settle
 
     rows = skeleton(adjacency)
-    root = rows.where("parent_id IS NULL").select("doc", "record_id", "node_id", F.lit("record").alias("entity"), F.lit("root").alias("path"), F.lit("").alias("parent_path"), F.lit(0).alias("ordinal"), "kind", "scalar")
+    columns = ["doc", "record_id", "node_id", "entity", "path", "parent_path", "ordinal", "kind", "scalar"]
+    found = {"record": rows.where("parent_id IS NULL").select("doc", "record_id", "node_id", F.lit("record").alias("entity"), F.lit("root").alias("path"), F.lit("").alias("parent_path"), F.lit(0).alias("ordinal"), "kind", "scalar")}
     edges = settle(_entries(rows))
-    x = edges.withColumns({"fields": F.array("field"), "steps": F.array("step"), "top": F.col("owner")})
-    up = edges.select("doc", F.col("node_id").alias("top"), F.col("owner").alias("next"), F.col("field").alias("upper"), F.col("step").alias("ustep"))
-    for _ in range(DEPTH - 1):
-        x = x.join(up, ["doc", "top"], "left").withColumns({
-            "fields": F.when(F.col("upper").isNotNull(), F.concat(F.array("upper"), "fields")).otherwise(F.col("fields")),
-            "steps": F.when(F.col("upper").isNotNull(), F.concat(F.array("ustep"), "steps")).otherwise(F.col("steps")), "top": F.coalesce("next", "top"),
-        }).drop("next", "upper", "ustep")
-    may = F.create_map(*[y for e, fields in CHILDREN.items() for y in (F.lit(e), F.array(*map(F.lit, fields)))])
-    child = F.create_map(*[F.lit(y) for f, (c, _) in _FIELD.items() for y in (f, c)])
-    prefix = F.create_map(*[F.lit(y) for f, (_, p) in _FIELD.items() for y in (f, p)])
-    above = F.concat(F.array(F.lit("record")), F.transform("fields", lambda f: child[f]))
-    right = F.forall(F.arrays_zip(F.slice(above, F.lit(1), F.size("fields")).alias("e"), F.col("fields").alias("f")), lambda z: F.array_contains(F.coalesce(may[z["e"]], F.array().cast("array<string>")), z["f"]))
-    way = F.transform(F.arrays_zip(F.col("fields").alias("f"), F.col("steps").alias("s")), lambda z: F.concat(prefix[z["f"]], z["s"]))
-    walk = lambda parts: F.array_join(F.concat(F.array(F.lit("root")), parts), "/")
-    found = x.where((F.col("top") == 0) & right).withColumn("way", way).select("doc", "node_id", child[F.element_at("fields", -1)].alias("entity"), walk(F.col("way")).alias("path"), walk(F.slice("way", F.lit(1), F.size("way") - 1)).alias("parent_path"), "ordinal", "kind", "scalar")
-    ids = root.select("doc", "record_id")
-    return root.unionByName(found.join(ids, "doc").select(*root.columns))
+    for entity in ENTITIES[1:]:
+        field, prefix = next((f, p) for f, (c, p) in _FIELD.items() if c == entity)
+        holders = [found[e].select("doc", "record_id", F.col("node_id").alias("owner"), F.col("path").alias("parent_path")) for e, fields in CHILDREN.items() if field in fields]
+        inside = edges.where(F.col("field") == field).join(reduce(DataFrame.unionByName, holders), ["doc", "owner"])
+        found[entity] = inside.select("doc", "record_id", "node_id", F.lit(entity).alias("entity"), F.concat("parent_path", F.lit(f"/{prefix}"), "step").alias("path"), "parent_path", "ordinal", "kind", "scalar")
+        if entity in CHILDREN:
+            found[entity] = settle(found[entity])
+    return reduce(DataFrame.unionByName, (x.select(*columns) for x in found.values()))
 
 
 def refused(df: DataFrame, id_col: str = "record_id", body_col: str = "body") -> DataFrame:
