@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,9 +31,11 @@ def get_spark(app: str = "telarium", cpus: int | None = None, **conf: str) -> Sp
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that all executors share: spark.checkpoint.dir, or one of our own where that is unset (tests)."""
+    """Folder that all executors share: spark.checkpoint.dir, or one of our own where that is unset (tests); a cluster must name it."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="telarium-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
@@ -40,31 +45,52 @@ def local_path(url: str) -> str:
     return url[len("file://"):] if url.startswith("file://") else url[len("file:"):] if url.startswith("file:") else url
 
 
-_settled: list[str] = []
+#: Tables of each session, by its identity, that nothing has removed yet.
+_settled: dict[str, list[str]] = {}
+
+
+def _session(spark: SparkSession) -> str:
+    return f"{spark.sparkContext.applicationId}/{spark._jsparkSession.hashCode()}"
 
 
 def settle(df: DataFrame) -> DataFrame:
     """Write df once to the shared folder and read it back.
 
     Cuts the lineage and keeps the rows through the loss of an executor; columnar and
-    compressed, so cheaper on disk than checkpoint(). release() removes the tables.
+    compressed, so cheaper on disk than checkpoint(). release() or the end of scope() removes the tables.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/t-{uuid.uuid4().hex}.parquet"
     df.write.parquet(path)
-    _settled.append(path)
+    _settled.setdefault(_session(spark), []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def release(spark: SparkSession) -> int:
-    """Remove the tables that settle() wrote so far; call it when the results built on them are written. The number removed."""
+    """Remove the tables that settle() wrote in this session so far; call it when all results built on them are written. The number removed."""
+    return _remove(spark, _settled.pop(_session(spark), []))
+
+
+def _remove(spark: SparkSession, paths: list[str]) -> int:
     conf, jvm = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm
     n = 0
-    while _settled:
-        path = jvm.org.apache.hadoop.fs.Path(_settled.pop())
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
         n += bool(path.getFileSystem(conf).delete(path, True))
     return n
 
 
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Tables settled inside are removed at the end, others stay; write what is built on them before."""
+    key = _session(spark)
+    before = _settled.pop(key, [])
+    try:
+        yield
+    finally:
+        _remove(spark, _settled.pop(key, []))
+        _settled[key] = before
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
