@@ -2,92 +2,160 @@
 
 from __future__ import annotations
 
-import math
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from telarium.functions import text as T
-from telarium.session import settle
 
 # Least similarity, margin to the second, least length, length of grams.
 THRESHOLD, MARGIN, LEAST, GRAM = 0.55, 0.10, 25, 5
-#: A gram is frequent in more than this share of the texts; so there are at most mean number of grams / FREQUENT of them, which tasks get whole.
-FREQUENT = 1 / 500
-
-
-def _lists(keys: pa.Array, groups: pa.Array, lists: list[np.ndarray], name: str) -> pa.RecordBatch:
-    off = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
-    flat = np.concatenate(lists) if lists else np.zeros(0, np.int64)
-    return pa.RecordBatch.from_arrays([keys, groups, pa.ListArray.from_arrays(pa.array(off), pa.array(flat, pa.int64()))], ["k", "g", name])
-
-
-def _grams(df: DataFrame, key: str, group: str, c: Column) -> DataFrame:
-    """(k, g, grams): sorted codes of the grams of each text, written once; texts under LEAST characters and null groups have none.
-
-    A compact text has ASCII letters and digits only, so a gram is 40 bits; above them are 24 bits of its group's hash.
+#: Least score of a candidate: THRESHOLD - MARGIN, without the error of that subtraction.
+CANDIDATE = 0.45
+#: Rows or objectives of a group in one block; larger groups are divided. So there are at most rows / BLOCK of these.
+BLOCK = 8192
+#: Pairs of a block compared at a time, postings counted at a time, pairs returned at a time.
+CELLS, POSTINGS, PAIRS = 1 << 17, 1 << 20, 1 << 18
+
+#: Compact texts have these letters only, so a gram is a number of GRAM digits to this base, below 2^26.
+_DIGIT = np.zeros(128, np.int64)
+_DIGIT[list(b"0123456789abcdefghijklmnopqrstuvwxyz")] = np.arange(36)
+
+
+def _grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(text, gram): the distinct grams of each text, in order of texts."""
+    n = np.array([len(t) for t in texts], np.int64)
+    x = _DIGIT[np.frombuffer("".join(texts).encode(), np.uint8)]
+    code = sum(x[i:len(x) - GRAM + 1 + i] * 36 ** i for i in range(GRAM))
+    text = np.repeat(np.arange(len(n)), n)[:len(code)]
+    whole = np.arange(len(code)) + GRAM <= np.cumsum(n)[text]
+    key = np.unique(text[whole] << 26 | code[whole])
+    return key >> 26, key & (1 << 26) - 1
+
+
+def _ranges(starts: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The numbers starts[i], starts[i] + 1, ... (n[i] of them) of all i in turn."""
+    return np.repeat(starts - np.cumsum(n) + n, n) + np.arange(n.sum())
+
+
+def _members(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct texts, and for each the places that have it: their order, first of them and number."""
+    number: dict[str, int] = {}
+    of = np.array([number.setdefault(t, len(number)) for t in texts])
+    n = np.bincount(of)
+    return list(number), np.argsort(of, kind="stable"), np.cumsum(n) - n, n
+
+
+def _near(row: np.ndarray, score: np.ndarray, near: float) -> np.ndarray:
+    """Of pairs in order of rows, those less than ``near`` below the best of their row, and the two best of it."""
+    first = np.flatnonzero(np.diff(row, prepend=-1))
+    n = np.diff(first, append=len(row))
+    best = np.repeat(np.maximum.reduceat(score, first), n)
+    at = np.where(score == best, np.arange(len(row)), len(row))
+    rest = score.copy()
+    rest[np.minimum.reduceat(at, first)] = -1
+    return (best - score < near) | (score >= np.repeat(np.maximum.reduceat(rest, first), n))
+
+
+def _compare(a: list[str], b: list[str], least: float, near: float | None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(place in a, place in b, score) of the pairs of one block, some at a time; equal texts are compared once."""
+    ta, ma, fa, na = _members(a)
+    tb, mb, fb, nb = _members(b)
+    text, gram = _grams(ta)
+    held, posted = _grams(tb)
+    size_a, size_b = np.bincount(text, minlength=len(ta)), np.bincount(held, minlength=len(tb))
+    order = np.argsort(posted, kind="stable")
+    posted, held = posted[order], held[order]
+    known = np.flatnonzero(np.diff(posted, prepend=-1))
+    at = np.minimum(np.searchsorted(posted[known], gram), len(known) - 1)
+    found = posted[known][at] == gram
+    text, start, n = text[found], known[at[found]], np.diff(known, append=len(posted))[at[found]]
+    step = max(1, CELLS // len(b))
+    for low in range(0, len(ta), step):
+        high = min(low + step, len(ta))
+        i, end = np.searchsorted(text, [low, high])
+        shared = np.zeros((high - low) * len(tb), np.int64)
+        total = np.cumsum(n[i:end])
+        for k in _slices(total):
+            s = slice(i + k.start, i + k.stop)
+            shared += np.bincount(np.repeat(text[s] - low, n[s]) * len(tb) + held[_ranges(start[s], n[s])], minlength=len(shared))
+        score = shared.reshape(-1, len(tb)) / np.minimum.outer(size_a[low:high], size_b)
+        r, c = np.nonzero((score > 0) & (score >= least))
+        score = score[r, c]
+        r, score, o = np.repeat(r + low, nb[c]), np.repeat(score, nb[c]), mb[_ranges(fb[c], nb[c])]
+        if near is not None and len(r):
+            kept = _near(r, score, near)
+            r, score, o = r[kept], score[kept], o[kept]
+        for k in _slices(np.cumsum(na[r]), PAIRS):
+            yield ma[_ranges(fa[r[k]], na[r[k]])], np.repeat(o[k], na[r[k]]), np.repeat(score[k], na[r[k]])
+
+
+def _slices(total: np.ndarray, most: int = POSTINGS) -> Iterator[slice]:
+    """Divides places whose weights have the running total ``total``: at most ``most`` in a slice, or one place."""
+    i = 0
+    while i < len(total):
+        j = max(i + 1, int(np.searchsorted(total, most + (total[i - 1] if i else 0), "right")))
+        yield slice(i, j)
+        i = j
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each block (g, i, j), whose rows follow one another."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        g = b.column("g").dictionary_encode().indices.to_numpy()
+        i, j = b.column("i").to_numpy(), b.column("j").to_numpy()
+        starts = [0, *(np.flatnonzero((np.diff(g) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)) + 1).tolist()]
+        for low, high in zip(starts, [*starts[1:], b.num_rows]):
+            key = (b.column("g")[low].as_py(), i[low], j[low])
+            if held and key != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            last = key
+            held.append(b.slice(low, high - low))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def scores(rows: DataFrame, objectives: DataFrame, row_key: str, objective_key: str, group: str, statement: str = "statement", least: float = 0.0, sample: int | None = None, near: float | None = None) -> DataFrame:
+    """(row, objective, score): containment of 5-grams between rows and objectives of the same group, where it is above 0 and ``least`` or more.
+
+    Texts under LEAST characters and null groups are in no pair. The texts of a group meet in one task, which makes their grams and counts
+    those that pairs share, so neither grams nor candidates are shuffled; groups of more than BLOCK rows or objectives are divided into blocks. ``sample``: only so many characters
+    of a row's text count, as for rows of tables whose text was kept so far; by default all. ``near``: of a row's pairs in a block, only those
+    less than this below the best, and the two best, are returned; no other can be among the two best of the row or as near to its best, so decide() with this margin and first_match() give the same.
     """
-    t = df.where(F.col(group).isNotNull()).select(F.col(key).alias("k"), F.col(group).cast("string").alias("g"), T.compact(c).alias("t")).where(F.length("t") >= LEAST)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for g, text in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-                x = np.frombuffer(text.encode(), np.uint8).astype(np.int64)
-                n = len(x) - GRAM + 1
-                out.append(np.unique(sum(x[i:n + i] << 8 * i for i in range(GRAM))) | (zlib.crc32(g.encode()) & 0x7FFFFF) << 8 * GRAM)
-            yield _lists(b.column(0), b.column(1), out, "grams")
-
-    return settle(t.mapInArrow(run, f"k {t.schema['k'].dataType.simpleString()}, g string, grams array<long>"))
-
-
-def _prefixes(x: DataFrame, frequent: dict[int, int], least: float) -> DataFrame:
-    """(k, g, h): of each text its rarest grams, so many that a text with the share ``least`` of its grams in common has one of them."""
-    often = np.array(sorted(frequent), np.int64)
-    shared = x.sparkSession.sparkContext.broadcast((often, np.array([frequent[h] for h in often.tolist()], np.int64)))
+    said = F.col(statement) if sample is None else F.substring(F.col(statement), 1, sample)
+    g = F.col(group).cast("string").alias("g")
+    r, o = (d.where(F.col(group).isNotNull()) for d in (rows, objectives))
+    a = r.select(F.lit(True).alias("is_row"), g, F.col(row_key).alias("row"), F.lit(None).cast(o.schema[objective_key].dataType).alias("objective"), T.compact(T.without_row_code(said)).alias("t"))
+    b = o.select(F.lit(False).alias("is_row"), g, F.lit(None).cast(r.schema[row_key].dataType).alias("row"), F.col(objective_key).alias("objective"), T.compact(F.col(statement)).alias("t"))
+    count = r.select(g, F.lit(1).alias("a"), F.lit(0).alias("b")).unionByName(o.select(g, F.lit(0).alias("a"), F.lit(1).alias("b"))).groupBy("g")
+    parts = lambda n: F.ceil(F.sum(n) / BLOCK).cast("int")
+    large = count.agg(F.greatest(parts("a"), F.lit(1)).alias("na"), F.greatest(parts("b"), F.lit(1)).alias("nb")).where("na > 1 OR nb > 1")
+    own, other = (F.coalesce(F.when(F.col("is_row"), F.col(x)).otherwise(F.col(y)), F.lit(1)) for x, y in (("na", "nb"), ("nb", "na")))
+    x = a.unionByName(b).where(F.length("t") >= LEAST).join(F.broadcast(large), "g", "left")
+    x = x.select("*", F.pmod(F.xxhash64("row", "objective"), own).cast("int").alias("own"), F.explode(F.sequence(F.lit(0), other - 1)).alias("other"))
+    i, j = (F.when(F.col("is_row"), F.col(m)).otherwise(F.col(n)) for m, n in (("own", "other"), ("other", "own")))
+    x = x.select("g", i.alias("i"), j.alias("j"), "is_row", "row", "objective", "t").repartition("g", "i", "j").sortWithinPartitions("g", "i", "j")
+    out = f"row {x.schema['row'].dataType.simpleString()}, objective {x.schema['objective'].dataType.simpleString()}, score double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often, n = shared.value
-        for b in batches:
-            out, grams = [], b.column(2)
-            flat, off = grams.values.to_numpy(), grams.offsets.to_numpy()
-            for i in range(len(off) - 1):
-                hs = flat[off[i]:off[i + 1]]
-                if len(often):
-                    at = np.minimum(np.searchsorted(often, hs), len(often) - 1)
-                    hs = hs[np.argsort(np.where(often[at] == hs, n[at], 0), kind="stable")]
-                out.append(hs[:len(hs) - math.ceil(least * len(hs) - 1e-9) + 1])
-            yield _lists(b.column(0), b.column(1), out, "hs")
-
-    return x.mapInArrow(run, f"k {x.schema['k'].dataType.simpleString()}, g string, hs array<long>").select("k", "g", F.explode("hs").alias("h"))
-
-
-def scores(rows: DataFrame, objectives: DataFrame, row_key: str, objective_key: str, group: str, statement: str = "statement", least: float = 0.0, sample: int | None = None) -> DataFrame:
-    """(row, objective, score): containment of 5-grams between rows and objectives of the same group.
-
-    Texts become sorted lists of coded grams once. With ``least`` above 0
-    pairs are made by the grams that a pair with that score must share: of the side with fewer grams, its
-    rarest ones down to the share that may be missing; else by any gram. Each pair is then compared by its lists. ``sample``: only so many characters
-    of a row's text count, as for rows of tables whose text was kept so far; by default all.
-    """
-    said = F.col(statement) if sample is None else F.substring(F.col(statement), 1, sample)
-    a, b = _grams(rows, row_key, group, T.without_row_code(said)), _grams(objectives, objective_key, group, F.col(statement))
-    x, y = (d.select("g", F.col("k").alias(n), F.explode("grams").alias("h")) for d, n in ((a, "row"), (b, "objective")))
-    on = ["g", "h"]
-    if least > 0:
-        n = x.select("h").unionByName(y.select("h")).groupBy("h").agg(F.count("*").alias("n"))
-        frequent = {r.h: r.n for r in n.where(F.col("n") > max(50, int((a.count() + b.count()) * FREQUENT))).collect()}
-        p, q = (_prefixes(d, frequent, least).withColumnRenamed("k", n) for d, n in ((a, "row"), (b, "objective")))
-        pairs = p.join(y, on).select("row", "objective").unionByName(x.join(q, on).select("row", "objective")).distinct()
-    else:
-        pairs = x.join(y, on).select("row", "objective").distinct()
-    both = pairs.join(a.select(F.col("k").alias("row"), F.col("grams").alias("ga")), "row").join(b.select(F.col("k").alias("objective"), F.col("grams").alias("gb")), "objective")
-    out = both.select("row", "objective", (F.size(F.array_intersect("ga", "gb")) / F.least(F.size("ga"), F.size("gb"))).alias("score"))
-    return out.where(F.col("score") >= least) if least > 0 else out
+        for block in _blocks(batches):
+            a, b = block.filter(block["is_row"]), block.filter(pc.invert(block["is_row"]))
+            if a.num_rows and b.num_rows:
+                row, objective = a["row"].combine_chunks(), b["objective"].combine_chunks()
+                for p, q, score in _compare(a["t"].to_pylist(), b["t"].to_pylist(), least, near):
+                    yield pa.RecordBatch.from_arrays([row.take(pa.array(p)), objective.take(pa.array(q)), pa.array(score, pa.float64())], ["row", "objective", "score"])
+
+    return x.mapInArrow(run, out)
 
 
 def decide(scored: DataFrame, agrees: DataFrame, threshold: float = THRESHOLD, margin: float = MARGIN) -> DataFrame:

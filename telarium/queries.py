@@ -328,12 +328,12 @@ b AS (SELECT row_id, g, {_GRAMS} AS grams FROM (SELECT row_id, {_LETTERS.format(
 s AS (SELECT "row", objective, score FROM (SELECT a.row_id AS "row", b.row_id AS objective, len(list_intersect(a.grams, b.grams)) / least(len(a.grams), len(b.grams)) AS score FROM a JOIN b ON a.g = b.g) WHERE score >= 0.45)"""
 
 
-def _scored(spark, d):
+def _scored(spark, d, near=None):
     c = copies_key(F.col("code"))
     a, b = table(spark, d, "raw_objectives"), objectives(spark, d)
     pick = lambda x, k: x.select(F.col("row_id").alias(k), c.alias("g"), "statement", F.col("code").alias("c"), "category")
     a, b = pick(a, "rid"), pick(b, "oid")
-    return a, b, matching.scores(a, b, "rid", "oid", "g", least=matching.THRESHOLD - matching.MARGIN)
+    return a, b, matching.scores(a, b, "rid", "oid", "g", least=matching.CANDIDATE, near=near)
 
 
 def copies_key(c):
@@ -353,7 +353,7 @@ o AS (SELECT *, CASE WHEN best < 0.55 THEN 'rejected' WHEN best - runner < 0.1 A
 
 
 def _decided(spark, d):
-    a, b, s = _scored(spark, d)
+    a, b, s = _scored(spark, d, matching.MARGIN)
     s = settle(s)
     agrees = s.join(a.select(F.col("rid").alias("row"), F.col("category").alias("ca")), "row").join(b.select(F.col("oid").alias("objective"), F.col("category").alias("cb")), "objective").where("ca = cb").select("row", "objective")
     return matching.decide(s, agrees)
