@@ -371,7 +371,7 @@ def attach_outcomes(spark, d):
 
 @query("link_first", f'WITH {_SCORES} SELECT "row", objective, score FROM (SELECT *, row_number() OVER (PARTITION BY "row" ORDER BY score DESC, objective) AS k FROM s WHERE score >= 0.55) WHERE k = 1')
 def link_first(spark, d):
-    return matching.first_match(_scored(spark, d)[2])
+    return matching.first_match(_scored(spark, d, 0.0)[2])
 
 
 # ---- merges and comparisons --------------------------------------------------------------------------------------------
