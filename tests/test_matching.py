@@ -35,7 +35,7 @@ def shuffled(spark) -> int:
     return sum(own.apply(i).totalShuffleWrite() for i in range(own.size()))
 
 
-@pytest.mark.parametrize("name", ["attach_best", "link_first", "statement_scores"])
+@pytest.mark.parametrize("name", ["attach_best", "attach_outcomes", "link_first", "statement_scores"])
 @pytest.mark.parametrize("block", [8192, 64])
 def test_large_group(spark, folder, name, block, monkeypatch):
     import duckdb
