@@ -42,12 +42,10 @@ def _ranges(starts: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.repeat(starts - np.cumsum(n) + n, n) + np.arange(n.sum())
 
 
-def _members(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct texts, and for each the places that have it: their order, first of them and number."""
-    number: dict[str, int] = {}
-    of = np.array([number.setdefault(t, len(number)) for t in texts])
-    n = np.bincount(of)
-    return list(number), np.argsort(of, kind="stable"), np.cumsum(n) - n, n
+def _members(of: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The places that have each of the numbers below n: their order, first of them and number."""
+    many = np.bincount(of, minlength=n)
+    return np.argsort(of, kind="stable"), np.cumsum(many) - many, many
 
 
 def _near(row: np.ndarray, score: np.ndarray, near: float) -> np.ndarray:
@@ -61,10 +59,31 @@ def _near(row: np.ndarray, score: np.ndarray, near: float) -> np.ndarray:
     return (best - score < near) | (score >= np.repeat(np.maximum.reduceat(rest, first), n))
 
 
+def _numbered(texts: list[str], number: dict[str, int]) -> np.ndarray:
+    """Of each text its number in ``number``, which takes up new ones."""
+    return np.array([number.setdefault(t, len(number)) for t in texts], np.int64)
+
+
 def _compare(a: list[str], b: list[str], least: float, near: float | None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(place in a, place in b, score) of the pairs of one block, some at a time; equal texts are compared once."""
-    ta, ma, fa, na = _members(a)
-    tb, mb, fb, nb = _members(b)
+    ta, tb = {}, {}
+    return _places(ta, _numbered(a, ta), tb, _numbered(b, tb), least, near)
+
+
+def _places(ta: dict[str, int], of_a: np.ndarray, tb: dict[str, int], of_b: np.ndarray, least: float, near: float | None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """As _compare(), from the distinct texts and the number of the text at each place."""
+    (ma, fa, na), (mb, fb, nb) = _members(of_a, len(ta)), _members(of_b, len(tb))
+    for r, c, score in _pairs(list(ta), list(tb), least, len(of_b)):
+        r, score, o = np.repeat(r, nb[c]), np.repeat(score, nb[c]), mb[_ranges(fb[c], nb[c])]
+        if near is not None and len(r):
+            kept = _near(r, score, near)
+            r, score, o = r[kept], score[kept], o[kept]
+        for k in _slices(np.cumsum(na[r]), PAIRS):
+            yield ma[_ranges(fa[r[k]], na[r[k]])], np.repeat(o[k], na[r[k]]), np.repeat(score[k], na[r[k]])
+
+
+def _pairs(ta: list[str], tb: list[str], least: float, width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(number in ta, number in tb, score) of distinct texts, in order of ta, those of some of ta at a time; width: what one of ta may lead to."""
     text, gram = _grams(ta)
     held, posted = _grams(tb)
     size_a, size_b = np.bincount(text, minlength=len(ta)), np.bincount(held, minlength=len(tb))
@@ -74,7 +93,7 @@ def _compare(a: list[str], b: list[str], least: float, near: float | None) -> It
     at = np.minimum(np.searchsorted(posted[known], gram), len(known) - 1)
     found = posted[known][at] == gram
     text, start, n = text[found], known[at[found]], np.diff(known, append=len(posted))[at[found]]
-    step = max(1, CELLS // len(b))
+    step = max(1, CELLS // width)
     for low in range(0, len(ta), step):
         high = min(low + step, len(ta))
         i, end = np.searchsorted(text, [low, high])
@@ -85,13 +104,7 @@ def _compare(a: list[str], b: list[str], least: float, near: float | None) -> It
             shared += np.bincount(np.repeat(text[s] - low, n[s]) * len(tb) + held[_ranges(start[s], n[s])], minlength=len(shared))
         score = shared.reshape(-1, len(tb)) / np.minimum.outer(size_a[low:high], size_b)
         r, c = np.nonzero((score > 0) & (score >= least))
-        score = score[r, c]
-        r, score, o = np.repeat(r + low, nb[c]), np.repeat(score, nb[c]), mb[_ranges(fb[c], nb[c])]
-        if near is not None and len(r):
-            kept = _near(r, score, near)
-            r, score, o = r[kept], score[kept], o[kept]
-        for k in _slices(np.cumsum(na[r]), PAIRS):
-            yield ma[_ranges(fa[r[k]], na[r[k]])], np.repeat(o[k], na[r[k]]), np.repeat(score[k], na[r[k]])
+        yield r + low, c, score[r, c]
 
 
 def _slices(total: np.ndarray, most: int = POSTINGS) -> Iterator[slice]:
@@ -103,57 +116,84 @@ def _slices(total: np.ndarray, most: int = POSTINGS) -> Iterator[slice]:
         i = j
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """The rows of each block (g, i, j), whose rows follow one another."""
-    held: list[pa.RecordBatch] = []
+class _Side:
+    """Rows or objectives of a block: the distinct texts, and of each place the number of its text, its key and, if asked for, the number of its kind."""
+
+    def __init__(self, key: str) -> None:
+        self.key, self.texts = key, {}
+        self._of: list[np.ndarray] = []
+        self._keys: list[pa.Array] = []
+        self._kinds: list[np.ndarray] = []
+
+    def add(self, b: pa.RecordBatch, kinds: dict[str | None, int]) -> None:
+        self._of.append(_numbered(b.column("t").to_pylist(), self.texts))
+        self._keys.append(b.column(self.key).take(pa.array(np.arange(b.num_rows))))  # a copy; a slice would hold the texts of the batch
+        if "kind" in b.schema.names:
+            self._kinds.append(_numbered(b.column("kind").to_pylist(), kinds))
+
+    of = property(lambda self: np.concatenate(self._of))
+    keys = property(lambda self: pa.concat_arrays(self._keys))
+    kinds = property(lambda self: np.concatenate(self._kinds))
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[_Side, _Side, dict[str | None, int]]]:
+    """Rows, objectives and kinds of each block (g, i, j) that has both; its rows follow one another, and of a text that repeats one copy is held."""
     last = None
     for b in batches:
         if not b.num_rows:
             continue
-        g = b.column("g").dictionary_encode().indices.to_numpy()
+        g, is_row = b.column("g").dictionary_encode().indices.to_numpy(), b.column("is_row").to_numpy(zero_copy_only=False)
         i, j = b.column("i").to_numpy(), b.column("j").to_numpy()
-        starts = [0, *(np.flatnonzero((np.diff(g) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)) + 1).tolist()]
+        starts = [0, *(np.flatnonzero((np.diff(g) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0) | (is_row[1:] != is_row[:-1])) + 1).tolist()]
         for low, high in zip(starts, [*starts[1:], b.num_rows]):
             key = (b.column("g")[low].as_py(), i[low], j[low])
-            if held and key != last:
-                yield pa.Table.from_batches(held)
-                held = []
-            last = key
-            held.append(b.slice(low, high - low))
-    if held:
-        yield pa.Table.from_batches(held)
+            if key != last:
+                if last is not None and rows.texts and objectives.texts:
+                    yield rows, objectives, kinds
+                rows, objectives, kinds, last = _Side("row"), _Side("objective"), {None: 0}, key
+            (rows if is_row[low] else objectives).add(b.slice(low, high - low), kinds)
+    if last is not None and rows.texts and objectives.texts:
+        yield rows, objectives, kinds
 
 
-def scores(rows: DataFrame, objectives: DataFrame, row_key: str, objective_key: str, group: str, statement: str = "statement", least: float = 0.0, sample: int | None = None, near: float | None = None) -> DataFrame:
-    """(row, objective, score): containment of 5-grams between rows and objectives of the same group, where it is above 0 and ``least`` or more.
+def _blocked(rows: DataFrame, objectives: DataFrame, row_key: str, objective_key: str, group: str, statement: str, sample: int | None, kind: str | None = None) -> DataFrame:
+    """(g, i, j, is_row, row, objective, t), and kind if asked for: texts of both sides in blocks (g, i, j), whose rows follow one another in one task.
 
-    Texts under LEAST characters and null groups are in no pair. The texts of a group meet in one task, which makes their grams and counts
-    those that pairs share, so neither grams nor candidates are shuffled; groups of more than BLOCK rows or objectives are divided into blocks. ``sample``: only so many characters
-    of a row's text count, as for rows of tables whose text was kept so far; by default all. ``near``: of a row's pairs in a block, only those
-    less than this below the best, and the two best, are returned; no other can be among the two best of the row or as near to its best, so decide() with this margin and first_match() give the same.
+    A group is divided by its statements, not by its rows: those that are equal stay together, so a group that repeats few statements is no larger for it.
     """
     said = F.col(statement) if sample is None else F.substring(F.col(statement), 1, sample)
     g = F.col(group).cast("string").alias("g")
     r, o = (d.where(F.col(group).isNotNull()) for d in (rows, objectives))
-    a = r.select(F.lit(True).alias("is_row"), g, F.col(row_key).alias("row"), F.lit(None).cast(o.schema[objective_key].dataType).alias("objective"), T.compact(T.without_row_code(said)).alias("t"))
-    b = o.select(F.lit(False).alias("is_row"), g, F.lit(None).cast(r.schema[row_key].dataType).alias("row"), F.col(objective_key).alias("objective"), T.compact(F.col(statement)).alias("t"))
-    count = r.select(g, F.lit(1).alias("a"), F.lit(0).alias("b")).unionByName(o.select(g, F.lit(0).alias("a"), F.lit(1).alias("b"))).groupBy("g")
-    parts = lambda n: F.ceil(F.sum(n) / BLOCK).cast("int")
-    large = count.agg(F.greatest(parts("a"), F.lit(1)).alias("na"), F.greatest(parts("b"), F.lit(1)).alias("nb")).where("na > 1 OR nb > 1")
+    kinds = [] if kind is None else [F.col(kind).cast("string").alias("kind")]
+    a = r.select(F.lit(True).alias("is_row"), g, F.col(row_key).alias("row"), F.lit(None).cast(o.schema[objective_key].dataType).alias("objective"), F.xxhash64(said).alias("h"), *kinds, T.compact(T.without_row_code(said)).alias("t"))
+    b = o.select(F.lit(False).alias("is_row"), g, F.lit(None).cast(r.schema[row_key].dataType).alias("row"), F.col(objective_key).alias("objective"), F.xxhash64(statement).alias("h"), *kinds, T.compact(F.col(statement)).alias("t"))
+    count = a.select("g", "is_row", "h").unionByName(b.select("g", "is_row", "h")).distinct().groupBy("g")
+    parts = lambda side: F.greatest(F.ceil(F.count_if(side) / BLOCK).cast("int"), F.lit(1))
+    large = count.agg(parts(F.col("is_row")).alias("na"), parts(~F.col("is_row")).alias("nb")).where("na > 1 OR nb > 1")
     own, other = (F.coalesce(F.when(F.col("is_row"), F.col(x)).otherwise(F.col(y)), F.lit(1)) for x, y in (("na", "nb"), ("nb", "na")))
     x = a.unionByName(b).where(F.length("t") >= LEAST).join(F.broadcast(large), "g", "left")
-    x = x.select("*", F.pmod(F.xxhash64("row", "objective"), own).cast("int").alias("own"), F.explode(F.sequence(F.lit(0), other - 1)).alias("other"))
+    x = x.select("*", F.pmod("h", own).cast("int").alias("own"), F.explode(F.sequence(F.lit(0), other - 1)).alias("other"))
     i, j = (F.when(F.col("is_row"), F.col(m)).otherwise(F.col(n)) for m, n in (("own", "other"), ("other", "own")))
-    x = x.select("g", i.alias("i"), j.alias("j"), "is_row", "row", "objective", "t").repartition("g", "i", "j").sortWithinPartitions("g", "i", "j")
+    x = x.select("g", i.alias("i"), j.alias("j"), "is_row", "row", "objective", *["kind"] * bool(kinds), "t")
+    return x.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j", "is_row")
+
+
+def scores(rows: DataFrame, objectives: DataFrame, row_key: str, objective_key: str, group: str, statement: str = "statement", least: float = 0.0, sample: int | None = None, near: float | None = None) -> DataFrame:
+    """(row, objective, score): containment of 5-grams between rows and objectives of the same group, where it is above 0 and ``least`` or more.
+
+    Texts under LEAST characters and null groups are in no pair. The texts of a group meet in one task, which makes their grams and counts
+    those that pairs share, so neither grams nor candidates are shuffled; groups of more than BLOCK different statements of rows or objectives are divided into blocks. ``sample``: only so many characters
+    of a row's text count, as for rows of tables whose text was kept so far; by default all. ``near``: of a row's pairs in a block, only those
+    less than this below the best, and the two best, are returned; no other can be among the two best of the row or as near to its best, so decide() with this margin and first_match() give the same.
+    """
+    x = _blocked(rows, objectives, row_key, objective_key, group, statement, sample)
     out = f"row {x.schema['row'].dataType.simpleString()}, objective {x.schema['objective'].dataType.simpleString()}, score double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in _blocks(batches):
-            a, b = block.filter(block["is_row"]), block.filter(pc.invert(block["is_row"]))
-            if a.num_rows and b.num_rows:
-                row, objective = a["row"].combine_chunks(), b["objective"].combine_chunks()
-                for p, q, score in _compare(a["t"].to_pylist(), b["t"].to_pylist(), least, near):
-                    yield pa.RecordBatch.from_arrays([row.take(pa.array(p)), objective.take(pa.array(q)), pa.array(score, pa.float64())], ["row", "objective", "score"])
+        for a, b, _ in _blocks(batches):
+            row, objective = a.keys, b.keys
+            for p, q, score in _places(a.texts, a.of, b.texts, b.of, least, near):
+                yield pa.RecordBatch.from_arrays([row.take(pa.array(p)), objective.take(pa.array(q)), pa.array(score, pa.float64())], ["row", "objective", "score"])
 
     return x.mapInArrow(run, out)
 

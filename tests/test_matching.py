@@ -71,3 +71,36 @@ def test_pairs_in_parts(monkeypatch):
         for i in range(len(a)):
             s = sorted((v for (x, _), v in want.items() if x == i), reverse=True)
             assert {j for x, j in near if x == i} == {j for j in range(len(b)) if s[0] - want[i, j] < 0.1 or want[i, j] >= s[1]}
+
+
+@pytest.fixture(scope="module")
+def copies(spark, tmp_path_factory):
+    """40 statements of one group, each 10 times in objectives and 5 times in rows, with other keys and kinds."""
+    d, r = str(tmp_path_factory.mktemp("copies")), random.Random(11)
+    said = [f"{statement(r)} {WORDS[i % len(WORDS)]} caso {i}" for i in range(40)]
+    kind = lambda: r.choice(["habilidad", "actitud", None])
+    for name, n in (("objectives", 400), ("raw_objectives", 200)):
+        rows = [(i, "OA 1", said[i % 40], kind()) for i in range(n)]
+        spark.createDataFrame(rows, "row_id long, code string, statement string, category string").coalesce(2).write.parquet(f"{d}/{name}.parquet")
+    return d
+
+
+def check_copies(spark, folder, name) -> int:
+    """Compares with SQL; what was shuffled."""
+    import duckdb
+
+    before = shuffled(spark)
+    got = sorted(map(repr, map(tuple, Q.QUERIES[name](spark, folder).collect())))
+    written = shuffled(spark) - before
+    con = duckdb.connect()
+    for t in ("objectives", "raw_objectives"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet/*.parquet'")
+    assert got == sorted(map(repr, con.sql(Q.ORACLE[name]).fetchall()))
+    return written
+
+
+def test_scores_of_copies(spark, copies, monkeypatch):
+    """Copies of few statements make no further blocks, so no text is shuffled more than once."""
+    once = check_copies(spark, copies, "statement_scores")
+    monkeypatch.setattr(matching, "BLOCK", 48)
+    assert check_copies(spark, copies, "statement_scores") < 1.2 * once
