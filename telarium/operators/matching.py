@@ -107,6 +107,46 @@ def _pairs(ta: list[str], tb: list[str], least: float, width: int) -> Iterator[t
         yield r + low, c, score[r, c]
 
 
+def _standings(a: _Side, b: _Side, least: float, near: float, width: int) -> Iterator[list[pa.Array]]:
+    """(row, score, n, first, n_agree, last_agree) of one block, as standings() has them, some at a time; equal texts of a kind are compared once."""
+    of_a, of_b = a.of, b.of
+    rank = np.empty(len(of_b), np.int64)
+    order = pc.sort_indices(b.keys).to_numpy()
+    rank[order] = np.arange(len(order))
+    ordered = b.keys.take(pa.array(order))
+    mb, fb, nb = _members(of_b, len(b.texts))
+    lowest = np.minimum.reduceat(rank[mb], fb)
+    # A null kind has the number 0 and agrees with none: it is left out of what objectives have.
+    ua, number = np.unique(of_a * width + a.kinds, return_inverse=True)
+    ma, fa, na = _members(number, len(ua))
+    own = np.bincount(ua // width, minlength=len(a.texts))
+    begin = np.cumsum(own) - own
+    at = np.flatnonzero(b.kinds > 0)
+    at = at[np.lexsort((rank[at], of_b[at] * width + b.kinds[at]))]
+    ub, start, many = np.unique(of_b[at] * width + b.kinds[at], return_index=True, return_counts=True)
+    highest = rank[at[start + many - 1]]
+    for r, c, score in _pairs(list(a.texts), list(b.texts), least, len(b.texts)):
+        if not len(r):
+            continue
+        kept = _near(r, score, near)
+        r, c, score = r[kept], c[kept], score[kept]
+        q, c, score = _ranges(begin[r], own[r]), np.repeat(c, own[r]), np.repeat(score, own[r])
+        o = np.lexsort((score, q))
+        q, c, score = q[o], c[o], score[o]
+        key = c * width + ua[q] % width
+        place = np.minimum(np.searchsorted(ub, key), max(len(ub) - 1, 0))
+        agree = ub[place] == key if len(ub) else np.zeros(len(key), bool)
+        top = np.full(len(key), -1)
+        count = np.zeros(len(key), np.int64)
+        top[agree], count[agree] = highest[place[agree]], many[place[agree]]
+        first = np.flatnonzero((np.diff(q, prepend=-1) != 0) | (np.diff(score, prepend=-1) != 0))
+        n, low, count, top = np.add.reduceat(nb[c], first), np.minimum.reduceat(lowest[c], first), np.add.reduceat(count, first), np.maximum.reduceat(top, first)
+        q, score = q[first], score[first]
+        for k in _slices(np.cumsum(na[q]), PAIRS):
+            x = np.repeat(np.arange(len(q))[k], na[q[k]])
+            yield [a.keys.take(pa.array(ma[_ranges(fa[q[k]], na[q[k]])])), pa.array(score[x]), pa.array(n[x]), ordered.take(pa.array(low[x])), pa.array(count[x]), ordered.take(pa.array(top[x], mask=top[x] < 0))]
+
+
 def _slices(total: np.ndarray, most: int = POSTINGS) -> Iterator[slice]:
     """Divides places whose weights have the running total ``total``: at most ``most`` in a slice, or one place."""
     i = 0
@@ -198,6 +238,39 @@ def scores(rows: DataFrame, objectives: DataFrame, row_key: str, objective_key:
     return x.mapInArrow(run, out)
 
 
+def standings(rows: DataFrame, objectives: DataFrame, row_key: str, objective_key: str, group: str, kind: str, statement: str = "statement", least: float = CANDIDATE, near: float = MARGIN) -> DataFrame:
+    """(row, score, n, first, n_agree, last_agree): the pairs of scores() with ``near``, those of a row and score in one: how many objectives have it, the first of them,
+    how many are of the row's ``kind``, and the last of these. So what is returned grows with the rows, not with their copies among the objectives. A row in several blocks may have a score several times.
+    """
+    x = _blocked(rows, objectives, row_key, objective_key, group, statement, None, kind)
+    key = x.schema["objective"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for a, b, kinds in _blocks(batches):
+            for arrays in _standings(a, b, least, near, len(kinds)):
+                yield pa.RecordBatch.from_arrays(arrays, ["row", "score", "n", "first", "n_agree", "last_agree"])
+
+    return x.mapInArrow(run, f"row {x.schema['row'].dataType.simpleString()}, score double, n bigint, first {key}, n_agree bigint, last_agree {key}")
+
+
+def decide_standings(standing: DataFrame, threshold: float = THRESHOLD, margin: float = MARGIN) -> DataFrame:
+    """As decide(), from standings(); pairs agree where they are of one kind."""
+    r = standing.withColumn("top", F.max("score").over(Window.partitionBy("row")))
+    first, tied = F.col("score") == F.col("top"), F.col("top") - F.col("score") < margin
+    g = r.groupBy("row").agg(
+        F.max("top").alias("best"), F.when(F.sum(F.when(first, F.col("n"))) > 1, F.max("top")).otherwise(F.coalesce(F.max(F.when(~first, F.col("score"))), F.lit(0.0))).alias("runner_up"),
+        F.min(F.when(first, F.col("first"))).alias("first"), F.coalesce(F.sum(F.when(tied, F.col("n_agree"))), F.lit(0)).alias("n"), F.max(F.when(tied, F.col("last_agree"))).alias("coded"),
+    )
+    return _outcomes(g, threshold, margin)
+
+
+def _outcomes(g: DataFrame, threshold: float, margin: float) -> DataFrame:
+    """(row, outcome, objective, score) from a row's best score, runner-up, first objective, and the number and last of those whose codes agree."""
+    close = F.col("best") - F.col("runner_up") < margin
+    outcome = F.when(F.col("best") < threshold, "rejected").when(close & (F.col("n") != 1), "ambiguous").otherwise("attached")
+    return g.select("row", outcome.alias("outcome"), F.when(outcome != "ambiguous", F.when(close & (F.col("best") >= threshold), F.col("coded")).otherwise(F.col("first"))).alias("objective"), F.col("best").alias("score"))
+
+
 def decide(scored: DataFrame, agrees: DataFrame, threshold: float = THRESHOLD, margin: float = MARGIN) -> DataFrame:
     """(row, outcome, objective, score): attached, rejected (best below the threshold) or ambiguous.
 
@@ -215,9 +288,7 @@ def decide(scored: DataFrame, agrees: DataFrame, threshold: float = THRESHOLD, m
         F.max("best").alias("best"), F.max("runner_up").alias("runner_up"), F.max(F.when(F.col("rank") == 1, F.col("objective"))).alias("first"),
         F.count_if(tied).alias("n"), F.max(F.when(tied, F.col("objective"))).alias("coded"),
     )
-    close = F.col("best") - F.col("runner_up") < margin
-    outcome = F.when(F.col("best") < threshold, "rejected").when(close & (F.col("n") != 1), "ambiguous").otherwise("attached")
-    return g.select("row", outcome.alias("outcome"), F.when(outcome != "ambiguous", F.when(close & (F.col("best") >= threshold), F.col("coded")).otherwise(F.col("first"))).alias("objective"), F.col("best").alias("score"))
+    return _outcomes(g, threshold, margin)
 
 
 def first_match(scored: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -328,12 +328,15 @@ b AS (SELECT row_id, g, {_GRAMS} AS grams FROM (SELECT row_id, {_LETTERS.format(
 s AS (SELECT "row", objective, score FROM (SELECT a.row_id AS "row", b.row_id AS objective, len(list_intersect(a.grams, b.grams)) / least(len(a.grams), len(b.grams)) AS score FROM a JOIN b ON a.g = b.g) WHERE score >= 0.45)"""
 
 
-def _scored(spark, d, near=None):
+def _matched(spark, d):
     c = copies_key(F.col("code"))
-    a, b = table(spark, d, "raw_objectives"), objectives(spark, d)
-    pick = lambda x, k: x.select(F.col("row_id").alias(k), c.alias("g"), "statement", F.col("code").alias("c"), "category")
-    a, b = pick(a, "rid"), pick(b, "oid")
-    return a, b, matching.scores(a, b, "rid", "oid", "g", least=matching.CANDIDATE, near=near)
+    pick = lambda x, k: x.select(F.col("row_id").alias(k), c.alias("g"), "statement", "category")
+    return pick(table(spark, d, "raw_objectives"), "rid"), pick(objectives(spark, d), "oid")
+
+
+def _scored(spark, d, near=None):
+    a, b = _matched(spark, d)
+    return matching.scores(a, b, "rid", "oid", "g", least=matching.CANDIDATE, near=near)
 
 
 def copies_key(c):
@@ -342,7 +345,7 @@ def copies_key(c):
 
 @query("statement_scores", f'WITH {_SCORES} SELECT "row", objective, score FROM s')
 def statement_scores(spark, d):
-    return _scored(spark, d)[2]
+    return _scored(spark, d)
 
 
 _DECIDED = """
@@ -353,10 +356,8 @@ o AS (SELECT *, CASE WHEN best < 0.55 THEN 'rejected' WHEN best - runner < 0.1 A
 
 
 def _decided(spark, d):
-    a, b, s = _scored(spark, d, matching.MARGIN)
-    s = settle(s)
-    agrees = s.join(a.select(F.col("rid").alias("row"), F.col("category").alias("ca")), "row").join(b.select(F.col("oid").alias("objective"), F.col("category").alias("cb")), "objective").where("ca = cb").select("row", "objective")
-    return matching.decide(s, agrees)
+    a, b = _matched(spark, d)
+    return matching.decide_standings(matching.standings(a, b, "rid", "oid", "g", "category"))
 
 
 @query("attach_best", f'WITH {_SCORES}, {_DECIDED} SELECT "row", outcome, CASE WHEN outcome = \'ambiguous\' THEN NULL WHEN best - runner < 0.1 AND best >= 0.55 THEN coded ELSE first END AS objective, best AS score FROM o')
@@ -371,7 +372,7 @@ def attach_outcomes(spark, d):
 
 @query("link_first", f'WITH {_SCORES} SELECT "row", objective, score FROM (SELECT *, row_number() OVER (PARTITION BY "row" ORDER BY score DESC, objective) AS k FROM s WHERE score >= 0.55) WHERE k = 1')
 def link_first(spark, d):
-    return matching.first_match(_scored(spark, d, 0.0)[2])
+    return matching.first_match(_scored(spark, d, 0.0))
 
 
 # ---- merges and comparisons --------------------------------------------------------------------------------------------

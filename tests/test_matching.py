@@ -104,3 +104,12 @@ def test_scores_of_copies(spark, copies, monkeypatch):
     once = check_copies(spark, copies, "statement_scores")
     monkeypatch.setattr(matching, "BLOCK", 48)
     assert check_copies(spark, copies, "statement_scores") < 1.2 * once
+
+
+@pytest.mark.parametrize("block", [8192, 16])
+def test_outcomes_of_copies(spark, copies, block, monkeypatch):
+    """What is shuffled follows the rows, not the pairs, of which there are ten times as many as rows."""
+    monkeypatch.setattr(matching, "BLOCK", block)
+    for name in ("attach_best", "attach_outcomes"):
+        written = check_copies(spark, copies, name)
+        assert block == 16 or written < 60_000
