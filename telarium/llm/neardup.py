@@ -4,8 +4,9 @@
 2. Each word set takes keys such that two sets similar enough surely share one: the rarest words that
    they may miss none of, and, where a word is so common that its bucket would be large, that word with the next ones.
 3. In each bucket, bit planes of set sketches are compared, which have the more bits the longer the sets are: for a block of
-   sets at once, carry-save counters add up where the bits differ, and a block is abandoned once every distance exceeds the
-   radius. A sketch distance never exceeds the number of words in which two sets differ, so no pair is lost.
+   sets at once, carry-save counters add up which of the sets' rarest bits others lack. A similar set lacks few words,
+   so some more bits than that are enough for nearly all pairs; the others are compared by whole sketches. A sketch never lacks more
+   bits of another than its set lacks words, so no pair is lost.
 4. What is left is compared word by word.
 """
 
@@ -17,15 +18,17 @@ import unicodedata as U
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache, lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from telarium.llm import copies as C
-from telarium.llm.lookalike import consistent
+from telarium.llm.lookalike import LOOKALIKES, consistent
 from telarium.session import settle
 
 THRESHOLD = 0.70
@@ -44,6 +47,11 @@ SPLIT = 65_536
 BLOCK = 16_384
 #: Buckets up to this size are compared row by row.
 SMALL = 24
+#: Signs of texts that are taken at once.
+SIGNS = 1 << 20
+#: Bits of a sketch that are looked at first, for each that may be missing; bits of sketches that are made ready for that at once.
+LOOKS = 3
+AHEAD = 1 << 18
 
 #: Bits of a sketch for sets of so many words or fewer; so its bits don't fill up, and unrelated sets stay apart.
 WIDTHS = [(40, 64), (160, 256), (640, 1024), (1 << 62, 4096)]
@@ -83,14 +91,64 @@ def _canonical(text: str) -> str:
     return _ALIKE.sub("", (text if text.isascii() else U.normalize("NFC", text)).lower())
 
 
+@lru_cache(1 << 16)
+def _part(text: str) -> list[str]:
+    return words(text).split()
+
+
+@cache
+def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each code point: the letter or digit of _canonical(), or 0; the one of words(), or a space; whether it takes more than a look at itself, as do all from the last one on. Line ends stay."""
+    odd = np.ones(0x2301, bool)
+    canon, word = np.zeros(len(odd), np.uint16), np.full(len(odd), 32, np.uint16)
+    for cp in (*range(0x530), *range(0x1E00, 0x2300)):
+        c = chr(cp)
+        low = c.lower()
+        bare = "".join(x for x in U.normalize("NFD", low) if U.category(x) != "Mn")
+        if len(low) == len(bare) == 1 and c not in LOOKALIKES and consistent(c) == c and not U.combining(c) and U.is_normalized("NFC", c) and c not in "\u03a3\u034f":
+            odd[cp] = False
+            canon[cp], word[cp] = ord(low) if low.isalnum() else 0, ord(bare) if bare.isalnum() else 32
+    canon[10] = word[10] = 10
+    return canon, word, odd
+
+
+def _pieces(sizes: np.ndarray, most: int) -> list[tuple[int, int]]:
+    """Slices of about most in size, so that arrays over all signs or words of a batch stay small."""
+    cut = [0, *(np.flatnonzero(np.diff(np.cumsum(sizes) // most)) + 1).tolist(), len(sizes)]
+    return [(a, b) for a, b in zip(cut, cut[1:]) if b > a]
+
+
+def _forms(texts: list[str]) -> tuple[list[bytes], list[str]]:
+    """_canonical(), encoded, and the words of each text, distinct ones as they come. Many texts at once by code point, but those with odd signs."""
+    out: tuple[list[bytes], list[str]] = [], []
+    for a, b in _pieces(np.fromiter(map(len, texts), np.int64, len(texts)), SIGNS):
+        for whole, some in zip(out, _some_forms(texts[a:b])):
+            whole += some
+    return out
+
+
+def _some_forms(texts: list[str]) -> tuple[list[bytes], list[str]]:
+    canon, word, odd = _tables()
+    joined = "\n".join(texts) + "\n"
+    if joined.count("\n") > len(texts):
+        joined = "\n".join(t.replace("\n", " ") for t in texts) + "\n"
+    cps = np.minimum(np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32), len(odd) - 1)
+    c = canon[cps]
+    out = c[c > 0].tobytes().decode("utf-16-le").encode().split(b"\n")[:-1]
+    sets = [" ".join(dict.fromkeys(x.split())) for x in word[cps].tobytes().decode("utf-16-le").split("\n")[:-1]]
+    for i in np.unique(np.searchsorted(np.flatnonzero(cps == 10), np.flatnonzero(odd[cps]))).tolist():
+        out[i], sets[i] = _canonical(texts[i]).encode("utf-8", "replace"), " ".join(dict.fromkeys(w for part in texts[i].split(" ") for w in _part(part)))
+    return out, sets
+
+
 def word_sets(df: DataFrame) -> DataFrame:
     """(id, h1, h2, h3, n, words) of texts (id, text) with letters: two hashes, a third and the length of the letters and digits, and the words."""
     arrow = pa.schema([("id", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("h3", pa.int64()), ("n", pa.int32()), ("words", pa.string())])
 
     def rows(ids: list[int], texts: list[str]) -> list:
-        c = [_canonical(t).encode("utf-8", "replace") for t in texts]
+        c, sets = _forms(texts)
         h = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, c)), np.int64).reshape(len(c), 2)
-        return [ids, pa.array(h[:, 0]), pa.array(h[:, 1]), list(map(zlib.crc32, c)), list(map(len, c)), list(map(words, texts))]
+        return [ids, pa.array(h[:, 0]), pa.array(h[:, 1]), list(map(zlib.crc32, c)), list(map(len, c)), sets]
 
     return _map(df.where(F.col("text").rlike(r"\p{L}")), "id long, h1 long, h2 long, h3 long, n int, words string", arrow, rows)
 
@@ -161,40 +219,60 @@ def set_keys(ws: list[tuple[int, int]], n_sets: int, t: float, bucket: int) -> l
 
 
 def keyed(sets: DataFrame, common: dict[int, int], n_sets: int, t: float, bucket: int) -> DataFrame:
-    """(k, id, s, n): key, set, sketch and number of words. A sketch has a bit for each value of the first bits of the words' hashes."""
+    """(k, id, s, n): key, set, sketch and number of words, for all keys of all sets."""
     shared = sets.sparkSession.sparkContext.broadcast(common)
     arrow = pa.schema([("k", pa.int64()), ("id", pa.int64()), ("s", pa.binary()), ("n", pa.int32())])
-    memo: dict[str, tuple[int, int]] = {}
     often = n_sets * EVERYWHERE
 
-    def rows(ids: list[int], texts: list[str]) -> list:
-        common = shared.value
-        if len(memo) > 1 << 18:
-            memo.clear()
-        K, S, N, many = [], [], [], []
-        for text in texts:
-            ws = []
-            for w in text.split():
-                x = memo.get(w)
-                if x is None:
-                    h = xxhash.xxh3_64_intdigest(w)
-                    x = memo[w] = (common.get(h, 0), h)
-                ws.append(x)
-            ws.sort()
-            sketch, wide = 0, width(len(ws))
-            shift = 65 - wide.bit_length()
-            for df, h in ws:
-                if df <= often:
-                    sketch |= 1 << (h >> shift)
-            ks = set_keys(ws, n_sets, t, bucket)
-            K += ks
-            S.append(sketch.to_bytes(wide // 8, "little"))
-            N.append(len(ws))
-            many.append(len(ks))
-        at = np.repeat(np.arange(len(S)), many)
-        return [pa.array(np.array(K, np.uint64).view(np.int64)), *(pa.array(c, kind).take(pa.array(at)) for c, kind in ((ids, pa.int64()), (S, pa.binary()), (N, pa.int32())))]
-
-    return _map(sets, "k long, id long, s binary, n int", arrow, rows)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in _pieces(pc.binary_length(batch.column(1)).to_numpy(), SIGNS):
+                n, df, h = sorted_words(batch.column(1).slice(a, b - a), shared.value)
+                at, k = keys(n, df, h, n_sets, t, bucket)
+                s, at = sketched(n, df, h, often), pa.array(at)
+                yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), batch.column(0).slice(a, b - a).take(at), s.take(at), pa.array(n.astype(np.int32)).take(at)], schema=arrow)
+
+    return sets.select("id", "words").where("words <> ''").mapInArrow(run, "k long, id long, s binary, n int")
+
+
+def sorted_words(sets: pa.Array, common: dict[int, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(words of each set; of all words, those of a set behind each other and ascending, 0 or their number of sets, and their hash)."""
+    split = pc.split_pattern(sets, " ")
+    n = pc.list_value_length(split).to_numpy().astype(np.int64)
+    all_ = split.flatten().dictionary_encode()
+    h = np.array(list(map(xxhash.xxh3_64_intdigest, all_.dictionary.to_pylist())), np.uint64)
+    df = np.array([common.get(x, 0) for x in h.tolist()], np.int64)
+    order = np.lexsort((h, df))
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    mine = order[np.sort(np.repeat(np.arange(len(n)) << 32, n) | rank[all_.indices.to_numpy()]) & 0xFFFFFFFF]
+    return n, df[mine], h[mine]
+
+
+def sketched(n: np.ndarray, df: np.ndarray, h: np.ndarray, often: float) -> pa.Array:
+    """Sketches of sets as sorted_words() has them: a bit for each value of the first bits of the words' hashes."""
+    wide = np.array([w for _, w in WIDTHS])[np.searchsorted([most for most, _ in WIDTHS], n)]
+    end = np.cumsum(wide)
+    bits = np.zeros(end[-1], bool)
+    some = df <= often
+    bits[(np.repeat(end - wide, n) + (h >> np.repeat(64 - np.log2(wide).astype(np.int64), n).astype(np.uint64)).astype(np.int64))[some]] = True
+    return pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(np.concatenate([[0], end // 8]).astype(np.int32)), pa.py_buffer(np.packbits(bits, bitorder="little"))])
+
+
+def keys(n: np.ndarray, df: np.ndarray, h: np.ndarray, n_sets: int, t: float, bucket: int) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the set, key) for set_keys() of all sets; those that make keys of one rare word only, nearly all, at once."""
+    start = np.cumsum(n) - n
+    most = n - np.ceil(t * n - 1e-9).astype(np.int64)
+    plain = (n < LONG) & (df[start + most] == 0)
+    first = np.arange(len(h)) - np.repeat(start, n) <= np.repeat(np.where(plain, most, -1), n)
+    k = h[first] * np.uint64(0xFF51AFD7ED558CCD) + np.uint64(0x2545F4914F6CDD1D)
+    at, out = [np.repeat(np.arange(len(n)), np.where(plain, most + 1, 0))], [k ^ k >> np.uint64(32)]
+    for i in np.flatnonzero(~plain).tolist():
+        of = slice(start[i], start[i] + n[i])
+        more = set_keys(list(zip(df[of].tolist(), h[of].tolist())), n_sets, t, bucket)
+        at.append(np.full(len(more), i))
+        out.append(np.array(more, np.uint64))
+    return np.concatenate(at), np.concatenate(out)
 
 
 def radius(n: np.ndarray, m: np.ndarray, t: float) -> np.ndarray:
@@ -245,36 +323,33 @@ def _planes(s: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(np.packbits(bits.T, axis=1, bitorder="little")).view(np.uint64)
 
 
-def _within(planes: np.ndarray, queries: np.ndarray, r: int) -> np.ndarray:
-    """For each query, a bit for each sketch at distance r or less, or perhaps more if the block was given up early: none.
+class _Sums:
+    """Carry-save sums over bit planes, a sum for each bit.
 
-    Carry-save: differences of weight 1 wait until three are there; a full adder turns them into one of
-    weight 1 and one of weight 2, and so on upward. After half and three quarters of the planes a lower bound of all
-    distances is compared with the radius; the block is abandoned when all exceed it.
+    Summands of weight 1 wait until three are there; a full adder turns them into one of weight 1 and one of weight 2, and so
+    on upward. What is put is overwritten.
     """
-    q, (bits, w) = len(queries), planes.shape
-    levels = bits.bit_length()
-    ones = np.unpackbits(np.ascontiguousarray(queries).view(np.uint8), axis=1, bitorder="little").astype(bool)
-    flip = np.where(ones, np.uint64(_MASK), np.uint64(0))
-    wait: list[list[np.ndarray]] = [[] for _ in range(levels)]
-
-    def put(x: np.ndarray, level: int) -> None:
-        while True:
-            wait[level].append(x)
-            if len(wait[level]) < 3:
+
+    def __init__(self, shape: tuple[int, int], most: int) -> None:
+        self.shape, self.wait = shape, [[] for _ in range(most.bit_length())]
+
+    def put(self, x: np.ndarray) -> None:
+        for level in self.wait:
+            level.append(x)
+            if len(level) < 3:
                 return
-            a, b, c = wait[level]
-            ab = a ^ b
-            wait[level] = [ab ^ c]
-            x = (a & b) | (ab & c)
-            level += 1
+            x, b, c = level
+            ab = x ^ b
+            x &= b
+            x |= np.bitwise_and(ab, c, out=b)
+            level[:] = [np.bitwise_xor(ab, c, out=ab)]
 
-    def settled(r: int) -> np.ndarray:
+    def settled(self, r: int) -> np.ndarray:
         """Bits where the sum so far is r or less."""
         carry: list[np.ndarray] = []
         digits = []
-        for level in range(levels):
-            xs = carry + wait[level]
+        for level in self.wait:
+            xs = carry + level
             carry = []
             while len(xs) > 1:
                 if len(xs) >= 3:
@@ -287,13 +362,13 @@ def _within(planes: np.ndarray, queries: np.ndarray, r: int) -> np.ndarray:
                     xs.append(a ^ b)
                     carry.append(a & b)
             digits.append(xs[0] if xs else None)
-        less, equal = np.zeros((q, w), np.uint64), np.full((q, w), _MASK, np.uint64)
-        for level in reversed(range(levels)):
+        less, equal = np.zeros(self.shape, np.uint64), np.full(self.shape, _MASK, np.uint64)
+        for level in reversed(range(len(digits))):
             d = digits[level]
             if r >> level & 1:
                 if d is None:
                     less |= equal
-                    equal = np.zeros((q, w), np.uint64)
+                    equal = np.zeros(self.shape, np.uint64)
                 else:
                     less |= equal & ~d
                     equal &= d
@@ -301,13 +376,59 @@ def _within(planes: np.ndarray, queries: np.ndarray, r: int) -> np.ndarray:
                 equal &= ~d
         return less | equal
 
+
+def _bits(s: np.ndarray) -> np.ndarray:
+    return np.unpackbits(np.ascontiguousarray(s).view(np.uint8), axis=1, bitorder="little").astype(bool)
+
+
+def _within(planes: np.ndarray, queries: np.ndarray, r: int) -> np.ndarray:
+    """For each query, a bit for each sketch at distance r or less, or perhaps more if the block was given up early: none.
+
+    After half and three quarters of the planes a lower bound of all distances is compared with the radius; the block is
+    abandoned when all exceed it.
+    """
+    q, (bits, w) = len(queries), planes.shape
+    flip = np.where(_bits(queries), np.uint64(_MASK), np.uint64(0))
     if r >= bits:
         return np.full((q, w), _MASK, np.uint64)
+    sums = _Sums((q, w), bits)
     for b in range(bits):
-        put(planes[b][None, :] ^ flip[:, b][:, None], 0)
-        if b + 1 in (bits // 2, bits * 3 // 4) and not settled(r).any():
+        sums.put(planes[b][None, :] ^ flip[:, b][:, None])
+        if b + 1 in (bits // 2, bits * 3 // 4) and not sums.settled(r).any():
             return np.zeros((q, w), np.uint64)
-    return settled(r)
+    return sums.settled(r)
+
+
+def _lacking(planes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places of the planes, those with fewest bits first; in that order a bit for each sketch that lacks the plane's, and a row of none)."""
+    order = np.argsort(np.bitwise_count(planes).sum(1, dtype=np.int64), kind="stable")
+    return order, np.concatenate([~planes[order], np.zeros((1, planes.shape[1]), np.uint64)])
+
+
+def _first(s: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
+    """Ranks in order of the first bits, at most so many, of each sketch: a row for the first ones, one for the second ones, and so on; the number of planes where there are no more."""
+    ones = np.take(_bits(s), order, axis=1)
+    many = np.count_nonzero(ones, axis=1)
+    out = np.full((min(most, int(many.max(initial=0))), len(s)), len(order))
+    if len(order) == 64:
+        left = np.packbits(ones, axis=1, bitorder="little").view(np.uint64)[:, 0]
+        for row in out:
+            row[:] = np.bitwise_count((left & -left) - np.uint64(1))  # all 64 bits once none is left
+            left &= left - np.uint64(1)
+        return out
+    row, bit = np.nonzero(ones)
+    place = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+    some = place < len(out)
+    out[place[some], row[some]] = bit[some]
+    return out
+
+
+def _covered(lacking: np.ndarray, first: np.ndarray, r: int) -> np.ndarray:
+    """For each query, a bit for each sketch that lacks r or fewer of the query's first bits."""
+    sums = _Sums((first.shape[1], lacking.shape[1]), len(first))
+    for x in first:
+        sums.put(lacking[x])
+    return sums.settled(r)
 
 
 def compare(ids: np.ndarray, s: np.ndarray, n: np.ndarray, t: float, other: tuple | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -327,34 +448,54 @@ def compare(ids: np.ndarray, s: np.ndarray, n: np.ndarray, t: float, other: tupl
             bits = min(width(int(n[p])), width(int(on[u])))
             mine, theirs = _folded(s[p:q], n[p:q], bits), _folded(os_[u:v], on[u:v], bits)
             step = max(8, min(256, 200_000 // max(1, len(on) // 64 + 1) // 8))
-            for a in range(p, q, step):
-                b = min(a + step, q)
-                lo = max(u, int(np.searchsorted(on, math.ceil(n[a] * t - 1e-9))))
-                if other is None:
-                    lo = max(lo, a)
-                hi = min(v, int(np.searchsorted(on, math.floor(n[b - 1] / t + 1e-9), "right")))
-                for c in range(lo, hi, 8192):
-                    e = min(c + 8192, hi)
-                    x, y = _hits(mine[a - p:b - p], theirs[c - u:e - u], n[a:b], on[c:e], t)
-                    if other is None:
-                        ok = y + c > x + a
-                        x, y = x[ok], y[ok]
-                    A.append(ids[x + a])
-                    B.append(oi[y + c])
+            for c in range(u, v, 8192):
+                planes = _planes(theirs[c - u:c - u + 8192])
+                order, lacking = _lacking(planes)
+                for d in range(p, q, AHEAD // bits):
+                    some = slice(d - p, min(d + AHEAD // bits, q) - p)
+                    first = _first(mine[some], order, LOOKS * missing(n[p + some.stop - 1], 0, t, other is None) + 4)
+                    for a in range(d, p + some.stop, step):
+                        b = min(a + step, p + some.stop)
+                        lo = max(c, int(np.searchsorted(on, math.ceil(n[a] * t - 1e-9))))
+                        if other is None:
+                            lo = max(lo, a)
+                        lo -= (lo - c) % 64
+                        hi = min(v, c + 8192, int(np.searchsorted(on, math.floor(n[b - 1] / t + 1e-9), "right")))
+                        r = missing(n[b - 1], on[min(lo, hi)] if hi > lo else 0, t, other is None)
+                        if lo >= hi or r < 0:
+                            continue
+                        at = slice((lo - c) // 64, -(-(hi - c) // 64))
+                        hit = _covered(lacking[:, at], first[:LOOKS * r + 4, a - d:b - d], r)
+                        if np.bitwise_count(hit).sum(dtype=np.int64) > hit.size * 8:
+                            hit &= _within(planes[:, at], mine[a - p:b - p], int(radius(n[b - 1], on[hi - 1], t)))
+                        x, y = _hits(hit, mine[a - p:b - p], theirs[lo - u:hi - u], n[a:b], on[lo:hi], t)
+                        if other is None:
+                            ok = y + lo > x + a
+                            x, y = x[ok], y[ok]
+                        A.append(ids[x + a])
+                        B.append(oi[y + lo])
     return _pairs(A, B)
 
 
-def _hits(mine: np.ndarray, theirs: np.ndarray, n: np.ndarray, m: np.ndarray, t: float) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of both whose sketches are within the radius of their sizes."""
-    hit = _within(_planes(theirs), mine, int(radius(n[-1], m[-1], t)))
-    rows, cols = np.nonzero(hit)
-    if not len(rows):
-        return rows, cols
-    k, bit = np.nonzero(np.unpackbits(hit[rows, cols][:, None].view(np.uint8), axis=1, bitorder="little"))
-    x, y = rows[k], cols[k] * 64 + bit
+def missing(n: int, m: int, t: float, ascending: bool) -> int:
+    """Words that a set of m words or more lacks at most of one of n words or fewer that is similar to it. ascending: it isn't the smaller one."""
+    return math.floor(n - t / (1 + t) * (n + max(m, n if ascending else n * t)) + 1e-9)
+
+
+def _hits(hit: np.ndarray, mine: np.ndarray, theirs: np.ndarray, n: np.ndarray, m: np.ndarray, t: float) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of both, of those in hit, neither of which has more bits that the other lacks than similar sets of their sizes have words; so they are within the radius, too."""
+    at = np.flatnonzero(hit != 0)
+    if not len(at):
+        return at, at
+    one = np.flatnonzero(np.unpackbits(hit.ravel()[at].view(np.uint8), bitorder="little").view(bool))
+    at = at[one >> 6]
+    x, y = at // hit.shape[1], (at % hit.shape[1] << 6) + (one & 63)
     ok = y < len(m)
     x, y = x[ok], y[ok]
-    ok = np.bitwise_count(mine[x] ^ theirs[y]).sum(1, dtype=np.int64) <= radius(n[x], m[y], t)
+    ok, both = np.ones(len(x), bool), np.ceil(t / (1 + t) * (n[x] + m[y]) - 1e-9)
+    for one, other, size in ((mine[x], theirs[y], n[x]), (theirs[y], mine[x], m[y])):
+        far = np.bitwise_count(one & ~other)
+        ok &= (far[:, 0] if far.shape[1] == 1 else far.sum(1, dtype=np.int64)) <= size - both
     return x[ok], y[ok]
 
 

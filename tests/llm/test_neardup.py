@@ -148,3 +148,50 @@ def test_keys_of_similar_sets_meet(monkeypatch):
         b += [(r.choice([0, 50, 500]), r.randrange(10**6, 2 * 10**6)) for _ in range(r.randint(0, 2))]
         if len(set(a) & set(b)) >= 0.7 * len(set(a) | set(b)):
             assert set(N.set_keys(sorted(a), 1000, 0.7, 20)) & set(N.set_keys(sorted(b), 1000, 0.7, 20))
+
+
+def test_few_planes_tell_unrelated_sets_apart(monkeypatch):
+    """Of 26 words, 4 may be missing: some more bits than these are looked at, in place of all 64 planes; no similar pair is lost."""
+    r = random.Random(11)
+    sets = [{r.getrandbits(64) for _ in range(26)} for _ in range(512)]
+    sets += [set(sorted(x)[3:]) | {r.getrandbits(64)} for x in sets[:40]]
+    puts, put = [], N._Sums.put
+    monkeypatch.setattr(N._Sums, "put", lambda self, x: (puts.append(x.shape), put(self, x))[1])
+    ids, s, n = sketched(sets)
+    a, b = N.compare(ids, s, n, 0.7)
+    assert {(i, 512 + i) for i in range(40)} <= set(zip(a.tolist(), b.tolist()))
+    assert sum(q * w for q, w in puts) < 0.3 * 64 * len(sets) * -(-len(sets) // 64)
+
+
+def test_texts_at_once_are_as_one_by_one(monkeypatch):
+    r = random.Random(12)
+    signs = [*"aÉñ \n_-ßΣςİº²ﬁаόǅ", "́", "​", "\xa0", "3", ". "]
+    texts = ["".join(r.choice(signs) for _ in range(r.randint(0, 15))) for _ in range(3000)]
+    texts += [x + chr(cp) + y for cp in (*range(0x600), *range(0x1E00, 0x2400), 0xAC00, 0x1D400, 0xE0041) for x, y in (("", ""), ("a", "b "), ("ό", " á"))]
+    for most in (N.SIGNS, 40):
+        monkeypatch.setattr(N, "SIGNS", most)
+        canon, sets = N._forms(texts)
+        assert canon == [N._canonical(t).encode() for t in texts]
+        assert [" ".join(sorted(x.split())) for x in sets] == list(map(N.words, texts))
+    assert N._forms([]) == ([], [])
+
+
+def test_keys_at_once_are_as_one_by_one():
+    import pyarrow as pa
+    import xxhash
+
+    r = random.Random(13)
+    texts = [" ".join({f"w{int(r.paretovariate(0.4)) % 3000}" for _ in range(r.choice([1, 3, 12, 30, 70, 150]))}) for _ in range(400)]
+    common = {xxhash.xxh3_64_intdigest(f"w{i}"): 400 // i for i in range(1, 12)}
+    n, df, h = N.sorted_words(pa.array(texts), common)
+    at, k = N.keys(n, df, h, 400, 0.7, 30)
+    sketch = N.sketched(n, df, h, 150).to_pylist()
+    for i, text in enumerate(texts):
+        ws = sorted((common.get(x, 0), x) for x in map(xxhash.xxh3_64_intdigest, text.split()))
+        assert sorted(k[at == i].tolist()) == sorted(N.set_keys(ws, 400, 0.7, 30)) and n[i] == len(ws)
+        wide = N.width(len(ws))
+        assert int.from_bytes(sketch[i], "little") == sum({1 << (x >> (65 - wide.bit_length())) for m, x in ws if m <= 150}) and len(sketch[i]) == wide // 8
+
+
+def test_texts_without_a_word_make_no_pair(spark):
+    assert run(spark, [(1, "ᅟ"), (2, "ᅟㅤ"), (3, "ᅟ uno dos"), (4, "uno, dos!")]) == [(3, 4)]
