@@ -425,7 +425,10 @@ def _first(s: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
 
 def _covered(lacking: np.ndarray, first: np.ndarray, r: int) -> np.ndarray:
     """For each query, a bit for each sketch that lacks r or fewer of the query's first bits."""
-    sums = _Sums((first.shape[1], lacking.shape[1]), len(first))
+    shape = first.shape[1], lacking.shape[1]
+    if r >= len(first):
+        return np.full(shape, _MASK, np.uint64)
+    sums = _Sums(shape, len(first))
     for x in first:
         sums.put(lacking[x])
     return sums.settled(r)
